@@ -22,7 +22,7 @@ def relative_date(text: Column | str, as_of: Column) -> Column:
     n = F.regexp_extract(text, RELATIVE_PATTERN, 1).try_cast("int")
     unit = F.lower(F.regexp_extract(text, RELATIVE_PATTERN, 2))
     day = F.to_date(as_of)
-    shifted = (F.when(unit == "hour", F.to_date(F.timestamp_add("HOUR", -n, as_of)))
+    shifted = (F.when(unit == "hour", F.to_date(as_of - F.make_dt_interval(hours=n)))
                .when(unit == "day", F.date_sub(day, n))
                .when(unit == "week", F.date_sub(day, n * 7))
                .when(unit == "month", F.date_sub(day, n * 30)))

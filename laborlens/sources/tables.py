@@ -57,8 +57,8 @@ def job_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 SIGNAL_OF_EVENT = {"error": "layoff", "signup": "hiring", "purchase": "hiring"}
 
 
-def news_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze news records (NEWS schema order)."""
+def news_signals(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
+    """Bronze news records (NEWS schema order; ``keep_id`` appends the event id)."""
     e = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -90,7 +90,8 @@ def news_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
         url.alias("url"),
         F.concat(F.lit("feed_"), F.col("event_type")).alias("source_name"),
         F.when(F.col("event_type") == "click", "rss").otherwise("api").alias("source"),
-        F.date_format("ts", ISO_Z).alias("scraped_at"))
+        F.date_format("ts", ISO_Z).alias("scraped_at"),
+        *([F.col("event_id")] if keep_id else []))
 
 
 def raw_record(*pairs) -> "F.Column":

@@ -9,7 +9,8 @@ ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 
 JOBS = f"""
 SELECT p.p_name AS title, c.c_name AS company, n.n_name AS location, lower(n.n_name) AS city_key,
-       CAST(NULL AS VARCHAR) AS experience, CAST(NULL AS VARCHAR) AS salary,
+       CAST(NULL AS VARCHAR) AS experience,
+       CASE WHEN o.o_orderstatus = 'F' THEN CAST(CAST(round(l.l_extendedprice) AS BIGINT) AS VARCHAR) END AS salary,
        strftime(o.o_orderdate, '%Y-%m-%d') AS posted_date,
        'https://jobs.example/' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS job_url,
        CASE WHEN o.o_orderstatus = 'F' THEN 'board_a' ELSE 'board_b' END AS source,

@@ -31,7 +31,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def job_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze job records (JOB schema order)."""
-    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate",
+                                                "l_extendedprice")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -46,7 +47,8 @@ def job_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("location"),
         F.lower("n_name").alias("city_key"),
         F.lit(None).cast("string").alias("experience"),
-        F.lit(None).cast("string").alias("salary"),
+        F.when(F.col("o_orderstatus") == "F",
+               F.round("l_extendedprice").cast("bigint").cast("string")).alias("salary"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("posted_date"),
         F.concat(F.lit("https://jobs.example/"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("job_url"),

@@ -16,11 +16,13 @@ from laborlens.catalog.registry import register
 from laborlens.functions import dictionaries as D
 from laborlens.functions import text as X
 from laborlens.functions.dates import relative_date
+from laborlens.operators.lookup import spread
 from laborlens.sources import tables
 
 
 def _t(spark, sf_dir, name):
-    return tables.read(spark, sf_dir, name)
+    """A whole input table, spread over the cores for the per-row text work."""
+    return spread(tables.read(spark, sf_dir, name))
 
 
 @register("document_sector", sql=lambda: f"""

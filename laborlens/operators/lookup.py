@@ -46,3 +46,14 @@ def map_distinct(df: DataFrame, col: str, fn: Callable[[DataFrame], DataFrame],
     mapping = maybe_broadcast(mapping.persist(), max_broadcast_rows)
     joined = df.join(mapping, df[col].eqNullSafe(mapping["_k"]), "left")
     return joined.drop("_k")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy per-row work (regex extraction, text scoring) over all
+    cores when the input arrives in fewer partitions than that (a small table
+    in one file). Large inputs already have enough splits and pass through
+    untouched, so no shuffle is added at scale."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -192,7 +192,7 @@ def q_gold_sector(spark, sf_dir):
 
 @register("silver_jobs", sql=lambda: f"""
 SELECT company_norm, city, title, posted_date::VARCHAR AS posted_date, job_url, source, scraped_at
-FROM ({R.silver_jobs(dic())})""", ops="A2 B1 B4 B13 T1 U1 X1 X2 Y2")
+FROM ({R.silver_jobs(dic())})""", ops="A2 B1 B4 B13 T1 U1 X1 J7 X2 Y2")
 def q_silver_jobs(spark, sf_dir):
     s = silver_jobs(spark, sf_dir)
     return s.select("company_norm", "city", "title", F.date_format("posted_date", "yyyy-MM-dd").alias("posted_date"),
@@ -212,7 +212,7 @@ def q_silver_news(spark, sf_dir):
 
 @register("silver_register", sql=lambda: f"""
 SELECT name_norm, name, city, state, sector, status, cin, cin_prefix, roc, source
-FROM ({R.silver_register(dic())})""", ops="U3 T3 B2 J5 X4 X1 X2 X11")
+FROM ({R.silver_register(dic())})""", ops="U3 T3 B2 J5 X4 X1 J7 X2 X11")
 def q_silver_register(spark, sf_dir):
     s = silver_register(spark, sf_dir)
     return s.select("name_norm", "name", "city", "state", "sector", "status", "cin", "cin_prefix", "roc", "source")
@@ -263,3 +263,16 @@ def q_jobs_left_news(spark, sf_dir):
     j = gold.jobs_left_news(recent, silver_news(spark, sf_dir), silver_register(spark, sf_dir))
     return j.select("company_norm", "city", "open_positions", "total_layoffs", "layoff_articles",
                     "hiring_articles", "sector", "cin", "company_status")
+
+
+LEADERBOARD_K = 5
+
+
+@register("city_leaderboard", sql=lambda: f"""
+SELECT 'hiring' AS board, city, total_hiring AS total_hiring, avg_sentiment FROM ({sql_city_rollup()})
+ORDER BY total_hiring DESC, city LIMIT {LEADERBOARD_K}""", ops="V5")
+def q_city_leaderboard(spark, sf_dir):
+    """V5: the top-k cities by total hiring (the limit is the report)."""
+    c = city_rollup(spark, sf_dir)
+    return (c.orderBy(F.desc("total_hiring"), F.asc("city")).limit(LEADERBOARD_K)
+            .select(F.lit("hiring").alias("board"), "city", "total_hiring", "avg_sentiment"))

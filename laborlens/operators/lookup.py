@@ -28,22 +28,28 @@ def literal_table(spark, rows: Sequence[tuple], schema: str) -> DataFrame:
 
 
 def map_distinct(df: DataFrame, col: str, fn: Callable[[DataFrame], DataFrame], out: str,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int | None = None) -> DataFrame:
     """Add ``out`` computed by ``fn`` once per distinct value of ``col``.
 
     ``fn`` maps a frame with the key column ``_k`` to one that also has ``out``.
     Expensive scalar work (the similarity match) then costs distinct values x
     dictionary instead of rows x dictionary. The distinct step aggregates
     partially on the map side (hot names collapse before the shuffle); the
-    mapping joins back null-safely and is broadcast only when its row count is
-    under the bound, otherwise it is a shuffle join (AQE splits skewed keys).
+    mapping joins back null-safely. By default AQE broadcasts it only when its
+    materialised size is under the runtime threshold (else a shuffle join with
+    skew splitting); ``max_broadcast_rows`` switches to an explicit row-count check.
     """
     keys = df.select(F.col(col).alias("_k")).distinct()
     # The key set is small in bytes, so AQE would coalesce it into one task;
     # the per-key work is CPU-heavy, so spread it over every core explicitly.
     spread = keys.repartition(df.sparkSession.sparkContext.defaultParallelism, "_k")
     mapping = fn(spread).select("_k", out)
-    mapping = maybe_broadcast(mapping.persist(), max_broadcast_rows)
+    if max_broadcast_rows is not None:
+        # explicit check: one extra job over the input, then a hinted broadcast
+        mapping = maybe_broadcast(mapping.persist(), max_broadcast_rows)
+    # otherwise AQE decides at runtime from the mapping's materialised size
+    # (spark.sql.adaptive.autoBroadcastJoinThreshold) and keeps the shuffle
+    # join beyond it; the input is read once, in the same job.
     joined = df.join(mapping, df[col].eqNullSafe(mapping["_k"]), "left")
     return joined.drop("_k")
 

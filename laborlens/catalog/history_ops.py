@@ -166,9 +166,9 @@ def payroll_portal_html(spark, sf_dir):
 
 def payroll_records(spark, sf_dir):
     """T4: API records and portal-table records (both raw maps) in one relation."""
-    api = tables.payroll_api_raw(spark, sf_dir).select(F.lit("epfo_data_gov").alias("origin"), "rec")
+    api = tables.payroll_api_raw(spark, sf_dir).select(F.lit("payroll_api").alias("origin"), "rec")
     portal = header_records(table_rows(payroll_portal_html(spark, sf_dir), "html", ["page_id"]), ["page_id"])
-    return api.unionByName(portal.select(F.lit("epfo_portal").alias("origin"), "rec"))
+    return api.unionByName(portal.select(F.lit("payroll_portal").alias("origin"), "rec"))
 
 
 def payroll_by_city(spark, sf_dir):
@@ -192,8 +192,8 @@ def _sql_payroll():
     reg = "(SELECT r.r_regionkey AS k, r.r_name, strftime(o.o_orderdate, '%Y-%m') AS ym, count(*) AS n FROM orders o " \
           "JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey " \
           "JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY 1, 2, 3)"
-    api = f"SELECT 'epfo_data_gov' AS origin, {S.title_case(S.strip_ws('lower(r_name)'))} AS state, ym AS month, n * 1000 AS value FROM {reg}"
-    portal = f"SELECT 'epfo_portal' AS origin, {S.title_case(S.strip_ws('lower(r_name)'))} AS state, ym AS month, n * 7 AS value FROM {reg}"
+    api = f"SELECT 'payroll_api' AS origin, {S.title_case(S.strip_ws('lower(r_name)'))} AS state, ym AS month, n * 1000 AS value FROM {reg}"
+    portal = f"SELECT 'payroll_portal' AS origin, {S.title_case(S.strip_ws('lower(r_name)'))} AS state, ym AS month, n * 7 AS value FROM {reg}"
     fixed = " UNION ALL ".join(f"SELECT {S.q(s)} AS state, [{', '.join(S.q(c) for c in cs)}] AS cities" for s, cs in D.STATE_CITIES)
     reg_cities = (f"SELECT {S.title_case('r.r_name')} AS state, list(n.n_name ORDER BY n.n_nationkey) AS cities "
                   f"FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name")

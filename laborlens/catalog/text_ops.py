@@ -21,8 +21,8 @@ from laborlens.sources import tables
 
 
 def _t(spark, sf_dir, name):
-    """A whole input table, spread over the cores for the per-row text work."""
-    return spread(tables.read(spark, sf_dir, name))
+    """A whole input table (spread over the cores for the per-row text work)."""
+    return tables.read(spark, sf_dir, name)
 
 
 @register("document_sector", sql=lambda: f"""

@@ -180,4 +180,7 @@ def best_match_udf(canonical: Sequence[str], cutoff: float):
     def _best(sorted_names: pd.Series) -> pd.Series:
         return pd.Series(best_match_batch(sorted_names.tolist(), canon, cutoff), index=sorted_names.index)
 
-    return _best
+    # Deterministic in fact; declared otherwise so that Catalyst evaluates it
+    # exactly where it is written (on the spread distinct names) instead of
+    # pushing predicates over its result down into single-split scans.
+    return _best.asNondeterministic()

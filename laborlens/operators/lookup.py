@@ -42,7 +42,10 @@ def map_distinct(df: DataFrame, col: str, fn: Callable[[DataFrame], DataFrame],
     keys = df.select(F.col(col).alias("_k")).distinct()
     # The key set is small in bytes, so AQE would coalesce it into one task;
     # the per-key work is CPU-heavy, so spread it over every core explicitly.
-    spread = keys.repartition(df.sparkSession.sparkContext.defaultParallelism, "_k")
+    # Hash of a derived expression, not of _k itself (the distinct already
+    # satisfies that partitioning, so it would be dropped as redundant); AQE
+    # keeps a user-numbered repartition, and hashing needs no pre-sort.
+    spread = keys.repartition(df.sparkSession.sparkContext.defaultParallelism, F.xxhash64("_k"))
     mapping = fn(spread).select("_k", out)
     if max_broadcast_rows is not None:
         # explicit check: one extra job over the input, then a hinted broadcast
@@ -62,4 +65,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want)
+    # hash of the whole row: deterministic on retry without the pre-sort that
+    # a round-robin repartition needs
+    return df.repartition(want, F.xxhash64(*[F.col(c) for c in df.columns]))

@@ -13,6 +13,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # post-shuffle steps here are CPU-bound (sorting wide rows, regex): keep
+    # small-in-bytes shuffles spread over the cores instead of one task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

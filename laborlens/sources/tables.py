@@ -19,14 +19,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laborlens.operators.lookup import spread
 from laborlens.session import table_path
 
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 RFC822_OUT = "EEE, dd MMM yyyy HH:mm:ss 'GMT'"
 
 
+DIMENSIONS = ("nation", "region")
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """A generated table. Fact tables are spread over the cores when the scan
+    yields fewer splits than cores (a small file with few row groups); at
+    scale the scan already has many splits and this adds nothing. The two
+    fixed-size dimensions are always broadcast and are left as they are."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return df if name in DIMENSIONS else spread(df)
 
 
 def job_postings(spark: SparkSession, sf_dir: str) -> DataFrame:

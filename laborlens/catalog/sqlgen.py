@@ -89,13 +89,9 @@ def extract_company(text: str, known=D.KNOWN_COMPANIES, patterns=D.COMPANY_PATTE
 
 
 def extract_city(text: str, cities=D.MENTION_CITIES) -> str:
-    low = f"lower(coalesce({text}, ''))"
-    # earliest position, then longest name: encode as one sortable key per city
-    items = ", ".join(
-        f"CASE WHEN instr({low}, {q(c)}) > 0 THEN {{'p': instr({low}, {q(c)}), 'l': {-len(c)}, 'c': {q(c)}}} END"
-        for c in cities)
-    best = f"list_min(list_filter([{items}], lambda x: x IS NOT NULL))"
-    return f"coalesce({title_case(best + '.c')}, '')"
+    from laborlens.functions.text import mention_pattern
+    hit = f"regexp_extract(lower(coalesce({text}, '')), {q(mention_pattern(cities))}, 1)"
+    return f"CASE WHEN {hit} = '' THEN '' ELSE {title_case(hit)} END"
 
 
 def strip_html(x: str, limit: int = 500) -> str:

@@ -188,6 +188,22 @@ COMPANY_PATTERNS: list[str] = [
 ]
 COMPANY_STOP_WORDS: list[str] = ["The", "A", "An", "India", "New", "This"]
 
+# Literal words each pattern above cannot match without (derived by reading
+# the patterns' alternations); used only to skip hopeless regex scans.
+HEADCOUNT_GUARDS: list[list[str]] = [
+    ["laid off", "fired", "cut", "let go", "retrenched"],
+    ["lay off", "layoff", "cut", "fire", "retrench"],
+    ["job", "position", "role"],
+    ["reduce"],
+    ["%"],
+]
+COMPANY_GUARDS: list[list[str]] = [
+    ["lay", "laid off"],
+    ["fire", "let go", "retrench", "cut"],
+    ["hiring"],
+    ["to hire", "is hiring", "recruiting"],
+]
+
 # Known companies looked up (case-insensitively) before the patterns, in this priority order.
 KNOWN_COMPANIES: list[str] = [
     "Infosys", "TCS", "Wipro", "HCL", "Tech Mahindra", "Cognizant",

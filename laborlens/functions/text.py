@@ -104,39 +104,57 @@ def classify_signal(title: Column | str, description: Column | str,
     return F.when(lay > hire, "layoff").when(hire > lay, "hiring").otherwise("neutral")
 
 
-def extract_headcount(text: Column | str, patterns=D.HEADCOUNT_PATTERNS) -> Column:
-    """First pattern (case-insensitive) that matches and converts; commas dropped."""
+def _any_contains(text: Column, words: Sequence[str]) -> Column:
+    cond = F.lit(False)
+    for w in words:
+        cond = cond | text.contains(F.lit(w))
+    return cond
+
+
+def extract_headcount(text: Column | str, patterns=D.HEADCOUNT_PATTERNS, guards=D.HEADCOUNT_GUARDS) -> Column:
+    """First pattern (case-insensitive) that matches and converts; commas dropped.
+    A pattern is only run on texts containing one of its required words."""
     text = _c(text)
+    low = F.lower(text)
     outs = []
-    for p in patterns:
+    for i, p in enumerate(patterns):
         grp = F.regexp_extract(text, "(?i)" + p, 1)
-        outs.append(F.when(grp != "", F.regexp_replace(grp, ",", "").try_cast("bigint")))
+        hit = F.when(grp != "", F.regexp_replace(grp, ",", "").try_cast("bigint"))
+        outs.append(F.when(_any_contains(low, guards[i]), hit) if guards is not None else hit)
     return F.coalesce(*outs)
 
 
 def extract_company(text: Column | str, known=D.KNOWN_COMPANIES, patterns=D.COMPANY_PATTERNS,
-                    stop=D.COMPANY_STOP_WORDS) -> Column:
+                    stop=D.COMPANY_STOP_WORDS, guards=D.COMPANY_GUARDS) -> Column:
     """A known name contained (case-insensitive) in priority order, else the
-    first pattern whose capture is not a stop word, else ""."""
+    first pattern whose capture is not a stop word, else "". A pattern is only
+    run on texts containing one of its required words (case-sensitive, as the
+    patterns are)."""
     text = F.coalesce(_c(text), F.lit(""))
     low = F.lower(text)
     outs = [F.when(low.contains(F.lit(k.lower())), F.lit(k)) for k in known]
-    for p in patterns:
+    for i, p in enumerate(patterns):
         grp = F.regexp_extract(text, p, 1)
-        outs.append(F.when((grp != "") & ~grp.isin(*stop), grp))
+        hit = F.when((grp != "") & ~grp.isin(*stop), grp)
+        outs.append(F.when(_any_contains(text, guards[i]), hit) if guards is not None else hit)
     outs.append(F.lit(""))
     return F.coalesce(*outs)
 
 
+def mention_pattern(cities: Sequence[str]) -> str:
+    """One alternation, longest names first: the leftmost match wins and, at the
+    same position, the first (longest) alternative - i.e. the earliest mention,
+    then the longest name."""
+    import re
+    ordered = sorted(dict.fromkeys(cities), key=lambda c: (-len(c), c))
+    return "(" + "|".join(re.escape(c) for c in ordered) + ")"
+
+
 def extract_city(text: Column | str, cities=D.MENTION_CITIES) -> Column:
     """The city mentioned earliest (ties: the longest name), title-cased; else ""."""
     low = F.lower(F.coalesce(_c(text), F.lit("")))
-    cands = []
-    for c in cities:
-        pos = F.instr(low, c)
-        cands.append(F.when(pos > 0, F.struct(pos.alias("p"), F.lit(-len(c)).alias("l"), F.lit(c).alias("c"))))
-    best = F.least(*cands) if len(cands) > 1 else cands[0]
-    return F.coalesce(title_case(best.getField("c")), F.lit(""))
+    hit = F.regexp_extract(low, mention_pattern(cities), 1)
+    return F.when(hit == "", F.lit("")).otherwise(title_case(hit))
 
 
 def strip_html(col: Column | str, limit: int = 500) -> Column:

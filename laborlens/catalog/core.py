@@ -80,7 +80,7 @@ SELECT company_norm, city,
        CAST(sum(CASE WHEN signal_type = 'layoff' THEN coalesce(headcount, 0) ELSE 0 END) AS BIGINT) AS total_layoffs,
        CAST(sum(CASE WHEN signal_type = 'hiring' THEN coalesce(headcount, 0) ELSE 0 END) AS BIGINT) AS news_hires,
        CAST(sum(score_tenths) AS BIGINT) AS score_tenths, count(*) AS articles,
-       count_if(signal_type = 'layoff') AS layoff_articles, count_if(signal_type = 'hiring') AS hiring_articles,
+       CAST(count_if(signal_type = 'layoff') AS BIGINT) AS layoff_articles, CAST(count_if(signal_type = 'hiring') AS BIGINT) AS hiring_articles,
        {S.mean_score('sum(score_tenths)', 'count(*)')} AS avg_sentiment
 FROM ({src}) GROUP BY company_norm, city"""
 
@@ -166,8 +166,8 @@ def sql_city_rollup() -> str:
     agg = f"""
 SELECT city, CAST(sum(open_positions) AS BIGINT) AS total_hiring, CAST(sum(total_layoffs) AS BIGINT) AS total_layoffs,
        count(company_norm) AS total_companies, avg(avg_sentiment) AS avg_sentiment,
-       count_if(company_status = 'hiring') AS hiring_companies, count_if(company_status = 'layoff') AS layoff_companies,
-       count_if(sector = {S.q(dic().it_sector)}) AS it_companies, list_sort(list_distinct(list(sector))) AS sectors
+       CAST(count_if(company_status = 'hiring') AS BIGINT) AS hiring_companies, CAST(count_if(company_status = 'layoff') AS BIGINT) AS layoff_companies,
+       CAST(count_if(sector = {S.q(dic().it_sector)}) AS BIGINT) AS it_companies, list_sort(list_distinct(list(sector))) AS sectors
 FROM ({sql_gold_company(with_titles=False)}) GROUP BY city"""
     return f"""
 SELECT city, {lat} AS lat, {lng} AS lng, total_hiring, total_layoffs, total_companies, it_companies,

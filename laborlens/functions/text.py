@@ -52,10 +52,24 @@ def first_contained(text: Column, pairs: Sequence[tuple[str, str]], default: Col
     return out.otherwise(default) if default is not None else out
 
 
+_CITY_EXPRS: dict[tuple, Column] = {}
+
+
 def normalise_city(raw: Column | str, aliases: Sequence[tuple[str, str]] = D.CITY_ALIASES) -> Column:
     """First alias (in list order) contained in the lower-trimmed text,
-    else the trimmed text in title case; null/empty -> ""."""
-    raw = _c(raw)
+    else the trimmed text in title case; null/empty -> "".
+    For a column given by name the (large) expression is built once."""
+    if isinstance(raw, str):
+        from pyspark import SparkContext
+        sc = SparkContext._active_spark_context
+        key = (raw, tuple(aliases), sc.applicationId if sc else None)
+        if key not in _CITY_EXPRS:
+            _CITY_EXPRS[key] = _normalise_city(F.col(raw), aliases)
+        return _CITY_EXPRS[key]
+    return _normalise_city(raw, aliases)
+
+
+def _normalise_city(raw: Column, aliases: Sequence[tuple[str, str]]) -> Column:
     key = F.lower(strip_ws(raw))
     return (F.when(raw.isNull() | (raw == ""), F.lit(""))
             .otherwise(first_contained(key, aliases, title_case(strip_ws(raw)))))

@@ -27,34 +27,40 @@ def literal_table(spark, rows: Sequence[tuple], schema: str) -> DataFrame:
     return F.broadcast(spark.createDataFrame(list(rows), schema))
 
 
-def map_distinct(df: DataFrame, col: str, fn: Callable[[DataFrame], DataFrame], out: str,
-                 max_broadcast_rows: int | None = None) -> DataFrame:
-    """Add ``out`` computed by ``fn`` once per distinct value of ``col``.
+def map_distinct(df: DataFrame, cols: str | Sequence[str], fn: Callable[[DataFrame], DataFrame],
+                 out: str | Sequence[str], max_broadcast_rows: int | None = None) -> DataFrame:
+    """Add ``out`` column(s) computed by ``fn`` once per distinct value of ``cols``.
 
-    ``fn`` maps a frame with the key column ``_k`` to one that also has ``out``.
-    Expensive scalar work (the similarity match) then costs distinct values x
-    dictionary instead of rows x dictionary. The distinct step aggregates
-    partially on the map side (hot names collapse before the shuffle); the
-    mapping joins back null-safely. By default AQE broadcasts it only when its
-    materialised size is under the runtime threshold (else a shuffle join with
-    skew splitting); ``max_broadcast_rows`` switches to an explicit row-count check.
+    ``fn`` maps a frame whose key columns are renamed ``_k0, _k1, ...`` to one
+    that also has the ``out`` columns. Expensive scalar work (the similarity
+    match, dictionary chains) then costs distinct values x dictionary instead
+    of rows x dictionary. The distinct step aggregates partially on the map
+    side (hot values collapse before the shuffle); the mapping joins back
+    null-safely. By default AQE broadcasts it only when its materialised size
+    is under the runtime threshold (else a shuffle join with skew splitting);
+    ``max_broadcast_rows`` switches to an explicit row-count check.
     """
-    keys = df.select(F.col(col).alias("_k")).distinct()
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    outs = [out] if isinstance(out, str) else list(out)
+    keys = [f"_k{i}" for i in range(len(cols))]
+    distinct = df.select(*[F.col(c).alias(k) for c, k in zip(cols, keys)]).distinct()
     # The key set is small in bytes, so AQE would coalesce it into one task;
     # the per-key work is CPU-heavy, so spread it over every core explicitly.
-    # Hash of a derived expression, not of _k itself (the distinct already
-    # satisfies that partitioning, so it would be dropped as redundant); AQE
-    # keeps a user-numbered repartition, and hashing needs no pre-sort.
-    spread = keys.repartition(df.sparkSession.sparkContext.defaultParallelism, F.xxhash64("_k"))
-    mapping = fn(spread).select("_k", out)
+    # Hash of a derived expression, not of the keys themselves (the distinct
+    # already satisfies that partitioning, so it would be dropped as
+    # redundant); AQE keeps a user-numbered repartition, and hashing needs no
+    # pre-sort.
+    spread_keys = distinct.repartition(df.sparkSession.sparkContext.defaultParallelism,
+                                       F.xxhash64(*[F.col(k) for k in keys]))
+    mapping = fn(spread_keys).select(*keys, *outs)
     if max_broadcast_rows is not None:
         # explicit check: one extra job over the input, then a hinted broadcast
         mapping = maybe_broadcast(mapping.persist(), max_broadcast_rows)
-    # otherwise AQE decides at runtime from the mapping's materialised size
-    # (spark.sql.adaptive.autoBroadcastJoinThreshold) and keeps the shuffle
-    # join beyond it; the input is read once, in the same job.
-    joined = df.join(mapping, df[col].eqNullSafe(mapping["_k"]), "left")
-    return joined.drop("_k")
+    cond = None
+    for c, k in zip(cols, keys):
+        e = df[c].eqNullSafe(mapping[k])
+        cond = e if cond is None else (cond & e)
+    return df.join(mapping, cond, "left").drop(*keys)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

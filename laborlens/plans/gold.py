@@ -63,19 +63,21 @@ def company(silver_jobs_recent: DataFrame, silver_news: DataFrame, silver_regist
     by_name = silver_register.select(F.col("name_norm").alias("company_norm"),
                                      F.col("sector").alias("name_sector"))
     joined = joined.join(by_name, "company_norm", "left")
-    filled = (joined
-              .withColumn("open_positions", F.coalesce("open_positions", F.lit(0)).cast("bigint"))
-              .withColumn("total_layoffs", F.coalesce("total_layoffs", F.lit(0)).cast("bigint"))
-              .withColumn("news_hires", F.coalesce("news_hires", F.lit(0)).cast("bigint"))
-              .withColumn("score_tenths", F.coalesce("score_tenths", F.lit(0)).cast("bigint"))
-              .withColumn("articles", F.coalesce("articles", F.lit(0)).cast("bigint"))
-              .withColumn("avg_sentiment", F.coalesce("avg_sentiment", F.lit(0.0)))
-              .withColumn("layoff_articles", F.coalesce("layoff_articles", F.lit(0)).cast("bigint"))
-              .withColumn("hiring_articles", F.coalesce("hiring_articles", F.lit(0)).cast("bigint"))
-              .withColumn("sector", choose_sector(F.coalesce("reg_sector", "name_sector"), F.col("company_norm"), sectors))
-              .withColumn("company_status", company_status("score_tenths", "articles", "layoff_articles", "hiring_articles"))
-              .drop("reg_sector", "name_sector")
-              .where(F.length("company_norm") > 1))
+    zero = F.lit(0)
+    filled = (joined.withColumns({
+        "open_positions": F.coalesce("open_positions", zero).cast("bigint"),
+        "total_layoffs": F.coalesce("total_layoffs", zero).cast("bigint"),
+        "news_hires": F.coalesce("news_hires", zero).cast("bigint"),
+        "score_tenths": F.coalesce("score_tenths", zero).cast("bigint"),
+        "articles": F.coalesce("articles", zero).cast("bigint"),
+        "avg_sentiment": F.coalesce("avg_sentiment", F.lit(0.0)),
+        "layoff_articles": F.coalesce("layoff_articles", zero).cast("bigint"),
+        "hiring_articles": F.coalesce("hiring_articles", zero).cast("bigint"),
+        "sector": choose_sector(F.coalesce("reg_sector", "name_sector"), F.col("company_norm"), sectors),
+    })
+        .withColumn("company_status", company_status("score_tenths", "articles", "layoff_articles", "hiring_articles"))
+        .drop("reg_sector", "name_sector")
+        .where(F.length("company_norm") > 1))
     if with_titles:
         filled = filled.withColumn("news_titles", F.coalesce("news_titles", F.array().cast("array<string>")))
     return filled

@@ -1,7 +1,8 @@
 """Bronze -> silver: normalise, parse, score, filter, dedupe (B*, U*, X1/X2, Y1-Y4).
 
-Every function is lazy; company normalisation runs once per distinct raw
-name (``map_distinct``), everything else is a per-row codegen expression.
+Every function is lazy; company and city normalisation run once per
+distinct (name, raw city) pair (``map_distinct``); everything else is a
+per-row codegen expression.
 """
 
 from __future__ import annotations
@@ -44,17 +45,25 @@ def fixture_dictionaries() -> Dictionaries:
 
 
 def company_norm(df: DataFrame, col: str, out: str, dic: Dictionaries, min_len: int = 2) -> DataFrame:
-    """X1 + J7 per distinct value, joined back (size-checked broadcast)."""
-    return map_distinct(df, col, lambda k: with_company_norm(k, "_k", out, dic.canonical, dic.cutoff, min_len), out)
+    """X1 + J7 per distinct value, joined back."""
+    return map_distinct(df, col, lambda k: with_company_norm(k, "_k0", out, dic.canonical, dic.cutoff, min_len), out)
+
+
+def company_and_city(df: DataFrame, company: str, city_raw: str, dic: Dictionaries, company_out: str,
+                     city_out: str, min_len: int = 2) -> DataFrame:
+    """X1 + X2 once per distinct (company, raw city) pair, one join back."""
+    def fn(k: DataFrame) -> DataFrame:
+        named = with_company_norm(k, "_k0", company_out, dic.canonical, dic.cutoff, min_len)
+        return named.withColumn(city_out, normalise_city("_k1", dic.city_aliases))
+    return map_distinct(df, [company, city_raw], fn, [company_out, city_out])
 
 
 def jobs(bronze: DataFrame, dic: Dictionaries) -> DataFrame:
     """Silver job postings: company_norm, city, typed posted_date, one row per
     (company_norm, title, city) - the earliest scraped, then smallest URL."""
     df = bronze.withColumn("_city_raw", F.coalesce(F.nullif(F.col("city_key"), F.lit("")), F.col("location")))
-    df = company_norm(df, "company", "company_norm", dic)
-    df = (df.withColumn("city", normalise_city("_city_raw", dic.city_aliases))
-          .withColumn("posted_date", parse_iso_date("posted_date"))
+    df = company_and_city(df, "company", "_city_raw", dic, "company_norm", "city")
+    df = (df.withColumn("posted_date", parse_iso_date("posted_date"))
           .drop("_city_raw")
           .where(F.length("company_norm") > 2))
     return keep_first(df, ["company_norm", "title", "city"], ["scraped_at", "job_url"])
@@ -70,15 +79,17 @@ def news(bronze: DataFrame, dic: Dictionaries, as_of: Column, window_days: int =
     """Silver news: known signal types (B5), parsed dates (Y2, unparsed dropped),
     inside the window (B6), scored (Y4), one row per URL key (U2: URL, or
     title|company when the URL is empty) keeping the earliest scraped."""
-    df = company_norm(bronze, "company", "company_norm", dic)
-    df = (df.withColumn("city", normalise_city("city", dic.city_aliases))
+    df = company_and_city(bronze.withColumnRenamed("city", "_city_raw"), "company", "_city_raw", dic,
+                          "company_norm", "city")
+    cols = [c if c != "_city_raw" else "city" for c in bronze.columns] + ["company_norm"]
+    df = (df.select(*cols)
           .where(F.col("signal_type").isin(*D.SIGNAL_TYPES))
           .withColumn("published_ts", parse_published("published_at"))
           .where(F.col("published_ts").isNotNull()
                  & (F.to_date("published_ts") >= cutoff_date(as_of, window_days)))
-          .withColumn("score_tenths", signal_score_tenths("signal_type", "headcount"))
-          .withColumn("signal_score", signal_score("signal_type", "headcount"))
-          .withColumn("url_key", fallback_key("url", "title", "company")))
+          .withColumns({"score_tenths": signal_score_tenths("signal_type", "headcount"),
+                        "signal_score": signal_score("signal_type", "headcount"),
+                        "url_key": fallback_key("url", "title", "company")}))
     return keep_first(df, ["url_key"], ["scraped_at", "published_ts", "title"])
 
 
@@ -128,6 +139,7 @@ def first_contained_exact(key: Column, pairs, default: Column) -> Column:
 def register(bronze: DataFrame, dic: Dictionaries) -> DataFrame:
     """Silver register: name_norm (X1), city (X2), one row per name_norm keeping
     the first landed (API rows before curated seed rows, then by name) (U3)."""
-    df = company_norm(bronze, "name", "name_norm", dic)
-    df = df.withColumn("city", normalise_city("city", dic.city_aliases))
-    return keep_first(df, ["name_norm"], ["scraped_at", "name"])
+    df = company_and_city(bronze.withColumnRenamed("city", "_city_raw"), "name", "_city_raw", dic,
+                          "name_norm", "city")
+    cols = [c if c != "_city_raw" else "city" for c in bronze.columns] + ["name_norm"]
+    return keep_first(df.select(*cols), ["name_norm"], ["scraped_at", "name"])

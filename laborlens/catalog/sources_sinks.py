@@ -250,15 +250,23 @@ def q_city_pages(spark, sf_dir):
                         F.array_join(F.transform("companies", lambda e: e.getField("company_norm")), ",").alias("companies"))
 
 
-@register("run_meta", sql=lambda: f"""
+def _sql_run_meta():
+    from laborlens.catalog.history_ops import _sql_companies_all
+    c = _sql_companies_all()
+    return f"""
 SELECT '2024-01-31' AS updated_at, '{RUN_TS}' AS run_ts,
-       (SELECT count(*) FROM ({sql_gold_company(with_titles=False)}) WHERE company_norm <> '' AND city <> '') AS total_companies,
+       (SELECT count(*) FROM ({c})) AS total_companies,
+       (SELECT count(DISTINCT name) FROM ({c})) AS unique_companies,
+       (SELECT count(*) FROM ({c}) WHERE is_new) AS new_companies,
        (SELECT count(*) FROM ({sql_city_rollup()})) AS total_districts,
-       '{K.PIPELINE_VERSION}' AS pipeline_version, '{K.ENGINE}' AS engine""", ops="K8 G9")
+       '{K.PIPELINE_VERSION}' AS pipeline_version, '{K.ENGINE}' AS engine"""
+
+
+@register("run_meta", sql=_sql_run_meta, ops="K8 G9 J9")
 def q_run_meta(spark, sf_dir):
-    g = gold_company(spark, sf_dir, with_titles=False).persist()
-    return K.run_meta(g.where((F.col("company_norm") != "") & (F.col("city") != "")),
-                      city_rollup(spark, sf_dir), RUN_TS, "2024-01-31")
+    from laborlens.catalog.history_ops import companies_all
+    return K.run_meta(companies_all(spark, sf_dir), city_rollup(spark, sf_dir), RUN_TS, "2024-01-31",
+                      new_flag="is_new", name_col="name")
 
 
 @register("landed_file_listing", sql=None, ops="A11")

@@ -79,18 +79,22 @@ def write_city_pages(pages: DataFrame, path: str) -> None:
 
 
 def run_meta(companies: DataFrame, cities: DataFrame, run_ts: str, updated_at: str,
-             new_companies: DataFrame | None = None) -> DataFrame:
-    """K8: one row of run counts. Each count is a global aggregate (one row);
-    they are combined by a union of (metric, value) rows and a pivot."""
-    parts = [companies.agg(F.count(F.lit(1)).alias("v")).select(F.lit("total_companies").alias("m"), "v"),
-             cities.agg(F.count(F.lit(1)).alias("v")).select(F.lit("total_districts").alias("m"), "v")]
-    if new_companies is not None:
-        parts.append(new_companies.agg(F.count(F.lit(1)).alias("v")).select(F.lit("new_companies").alias("m"), "v"))
+             new_flag: str | None = None, name_col: str = "company_norm") -> DataFrame:
+    """K8 + G9: one row of run counts (companies, distinct names, districts and,
+    given an ``is_new`` column, new companies). Each count is a global
+    aggregate (one row); they are combined by a union of (metric, value) rows
+    and a pivot over that handful of rows."""
+    aggs = [F.count(F.lit(1)).alias("total_companies"), F.countDistinct(name_col).alias("unique_companies")]
+    if new_flag is not None:
+        aggs.append(F.count_if(F.col(new_flag)).alias("new_companies"))
+    co = companies.agg(*aggs)
+    metrics = [a for a in ("total_companies", "unique_companies", "new_companies") if a in co.columns]
+    parts = [co.select(F.lit(m).alias("m"), F.col(m).cast("bigint").alias("v")) for m in metrics]
+    parts.append(cities.agg(F.count(F.lit(1)).alias("v")).select(F.lit("total_districts").alias("m"), "v"))
+    metrics.append("total_districts")
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    metrics = [m for m in ("total_companies", "total_districts", "new_companies")
-               if m != "new_companies" or new_companies is not None]
     row = u.groupBy().agg(*[F.max(F.when(F.col("m") == m, F.col("v"))).alias(m) for m in metrics])
     return row.select(F.lit(updated_at).alias("updated_at"), F.lit(run_ts).alias("run_ts"), *metrics,
                       F.lit(PIPELINE_VERSION).alias("pipeline_version"), F.lit(ENGINE).alias("engine"))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from laborlens import schemas
 from laborlens.catalog import roles_sql as R
 from laborlens.catalog import sqlgen as S
-from laborlens.catalog.core import bronze_register, city_rollup, dic, gold_company, sql_city_rollup, sql_gold_company
+from laborlens.catalog.core import bronze_register, city_rollup, gold_company, sql_city_rollup, sql_gold_company
 from laborlens.catalog.registry import register
 from laborlens.functions import text as X
 from laborlens.functions.dates import parse_published

@@ -16,7 +16,6 @@ from laborlens.catalog.registry import register
 from laborlens.functions import dictionaries as D
 from laborlens.functions import text as X
 from laborlens.functions.dates import relative_date
-from laborlens.operators.lookup import spread
 from laborlens.sources import tables
 
 

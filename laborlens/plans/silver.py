@@ -16,8 +16,8 @@ from laborlens.functions import dictionaries as D
 from laborlens.functions.dates import cutoff_date, parse_iso_date, parse_published
 from laborlens.functions.scoring import signal_score, signal_score_tenths
 from laborlens.functions.similarity import with_company_norm
-from laborlens.functions.text import (classify_register_sector, first_contained, first_nonempty,
-                                      normalise_city, strip_ws, title_case)
+from laborlens.functions.text import (classify_register_sector, first_nonempty, normalise_city, strip_ws,
+                                      title_case)
 from laborlens.operators.dedupe import fallback_key, keep_first
 from laborlens.operators.lookup import map_distinct
 

@@ -1,7 +1,5 @@
 """X1 company match: ratio, cutoff, ties, short names; native == vectorised."""
 
-from pyspark.sql import functions as F
-
 from laborlens.functions import dictionaries as D
 from laborlens.functions.similarity import best_match_batch, py_token_sort, with_company_norm
 

@@ -180,7 +180,7 @@ def choose_sector(reg: str, company: str, groups=D.SECTOR_KEYWORDS) -> str:
 def keep_first(src: str, keys: list[str], order: list[str], columns: list[str], last: bool = False) -> str:
     """U* twin: row_number over the key by the order tuple, then every column (nulls first)."""
     d = "DESC NULLS LAST" if last else "ASC NULLS FIRST"
-    rest = [c for c in columns if c not in keys]
+    rest = [c for c in columns if c not in keys and c not in order]
     ob = ", ".join(f"{o} {d}" for o in order + rest)
     cols = ", ".join(columns)
     return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {ob}) AS _rn "

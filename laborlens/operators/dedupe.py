@@ -18,14 +18,20 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
                last: bool = False) -> DataFrame:
     """One row per ``keys``: the one with the smallest (``last``: largest)
     ``order`` tuple; nulls sort first. Remaining columns break exact ties, so
-    the result never depends on input order. Column order is preserved."""
+    the result never depends on input order. Column order is preserved.
+
+    Order items that are plain column names lead the packed struct under their
+    own names (not copied), so the sorted rows carry each column once."""
     keys = list(keys)
-    order_cols = []
+    lead, lead_names = [], []
     for i, o in enumerate(order):
-        c = F.col(o) if isinstance(o, str) else o
-        order_cols.append(c.alias(f"_o{i}"))
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*order_cols, *[F.col(c).alias(c) for c in rest])
+        if isinstance(o, str) and o in df.columns and o not in keys and o not in lead_names:
+            lead.append(F.col(o).alias(o))
+            lead_names.append(o)
+        else:
+            lead.append((F.col(o) if isinstance(o, str) else o).alias(f"_o{i}"))
+    rest = [c for c in df.columns if c not in keys and c not in lead_names]
+    packed = F.struct(*lead, *[F.col(c).alias(c) for c in rest])
     agg = F.max(packed) if last else F.min(packed)
     out = df.groupBy(*keys).agg(agg.alias("_kept"))
     return out.select(*[F.col(c) if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns])

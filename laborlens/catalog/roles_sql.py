@@ -48,16 +48,16 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
 
 REGISTER_API_RAW = """
-SELECT CASE WHEN s.s_nationkey % 2 = 0 THEN s.s_name END AS company_name,
-       CASE WHEN s.s_nationkey % 2 = 1 THEN s.s_name END AS company_name_uc,
+SELECT CASE WHEN n.n_regionkey < 3 THEN s.s_name END AS company_name,
+       CASE WHEN n.n_regionkey >= 3 THEN s.s_name END AS company_name_uc,
        CAST(NULL AS VARCHAR) AS name,
-       CASE WHEN s.s_nationkey % 2 = 0 THEN 'active' END AS company_status,
-       CASE WHEN s.s_nationkey % 2 = 1 THEN 'ACTIVE' END AS status_uc,
-       CASE WHEN s.s_nationkey % 2 = 0 THEN 'RoC-' || n.n_name END AS roc_code,
-       CASE WHEN s.s_nationkey % 2 = 1 THEN 'RoC-' || n.n_name END AS roc_code_uc,
+       CASE WHEN n.n_regionkey < 3 THEN 'active' END AS company_status,
+       CASE WHEN n.n_regionkey >= 3 THEN 'ACTIVE' END AS status_uc,
+       CASE WHEN n.n_regionkey < 3 THEN 'RoC-' || n.n_name END AS roc_code,
+       CASE WHEN n.n_regionkey >= 3 THEN 'RoC-' || n.n_name END AS roc_code_uc,
        lower(r.r_name) AS state_name,
-       CASE WHEN s.s_nationkey % 2 = 0 THEN 'U' || lpad(CAST(s.s_suppkey AS VARCHAR), 9, '0') END AS cin,
-       CASE WHEN s.s_nationkey % 2 = 1 THEN 'L' || lpad(CAST(s.s_suppkey AS VARCHAR), 9, '0') END AS cin_uc,
+       CASE WHEN n.n_regionkey < 3 THEN 'U' || lpad(CAST(s.s_suppkey AS VARCHAR), 9, '0') END AS cin,
+       CASE WHEN n.n_regionkey >= 3 THEN 'L' || lpad(CAST(s.s_suppkey AS VARCHAR), 9, '0') END AS cin_uc,
        CAST(NULL AS VARCHAR) AS company_class, CAST(NULL AS VARCHAR) AS class_uc,
        CAST(NULL AS VARCHAR) AS company_category, CAST(NULL AS VARCHAR) AS category_uc,
        CAST(NULL AS VARCHAR) AS date_of_incorporation, CAST(NULL AS VARCHAR) AS date_of_incorp_uc,

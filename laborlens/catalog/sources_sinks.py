@@ -149,17 +149,18 @@ LD_SCHEMA = ("struct<`@type`:string,title:string,hiringOrganization:struct<name:
 SELECT title, company, posted_date, job_url, salary FROM ({R.JOBS})""", ops="A6 Y11")
 def q_jsonld(spark, sf_dir):
     jobs = tables.job_postings(spark, sf_dir)
-    # rebuild per-order pages: one JSON-LD block per posting, a list block for even orders, one non-posting block
+    # per-order pages: one JSON-LD block per posting (a single list block on the first board's pages)
+    # plus one non-posting block
     j = jobs.withColumn("_ok", F.regexp_extract("job_url", r"/(\d+)-", 1).cast("bigint")) \
             .withColumn("_ln", F.regexp_extract("job_url", r"-(\d+)$", 1).cast("int"))
     obj = F.to_json(F.struct(F.lit("JobPosting").alias("@type"), F.col("title"),
                              F.struct(F.col("company").alias("name")).alias("hiringOrganization"),
                              F.col("posted_date").alias("datePosted"), F.col("job_url").alias("url"),
                              F.struct(F.struct(F.col("salary").alias("value")).alias("value")).alias("baseSalary")))
-    pages = (j.groupBy("_ok").agg(F.array_sort(F.collect_list(F.struct("_ln", "job_url", obj.alias("o")))).alias("_objs"))
-             .select("_ok", F.transform("_objs", lambda e: e.getField("o")).alias("objs")))
+    pages = (j.groupBy("_ok", "source").agg(F.array_sort(F.collect_list(F.struct("_ln", "job_url", obj.alias("o")))).alias("_objs"))
+             .select("_ok", "source", F.transform("_objs", lambda e: e.getField("o")).alias("objs")))
     block = lambda body: F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
-    html = F.when(F.col("_ok") % 2 == 0, block(F.concat(F.lit("["), F.array_join("objs", ","), F.lit("]")))) \
+    html = F.when(F.col("source") == "board_a", block(F.concat(F.lit("["), F.array_join("objs", ","), F.lit("]")))) \
         .otherwise(F.array_join(F.transform("objs", block), ""))
     html = F.concat(F.lit("<html><body>"), html, block(F.lit('{"@type":"Organization","name":"x"}')), F.lit("</body></html>"))
     page = pages.select("_ok", html.alias("html"))
@@ -176,12 +177,13 @@ def _tracker_pages(spark, sf_dir):
     s = tables.read(spark, sf_dir, "supplier")
     n = tables.read(spark, sf_dir, "nation")
     j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-    loc = (F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.initcap("n_name"), F.lit(", India")))
-           .when(F.col("s_suppkey") % 3 == 1, F.lit("Pune, MH")).otherwise(F.col("n_name")))
+    loc = (F.when(F.col("n_regionkey") == 2, F.concat(F.initcap("n_name"), F.lit(", India")))
+           .when(F.col("n_regionkey") == 1, F.lit("Pune, MH")).otherwise(F.col("n_name")))
     cells = [F.col("s_name"), F.format_number(F.floor(F.abs("s_acctbal")), 0), F.lit("2024-01-15"), F.lit("Retail"), loc]
     five = F.concat(*[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells])
     four = F.concat(*[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells[:4]])
-    tr = F.concat(F.lit("<tr>"), F.when(F.col("s_suppkey") % 7 == 0, four).otherwise(five), F.lit("</tr>"))
+    # suppliers with a negative balance come through with a missing cell (4 cells)
+    tr = F.concat(F.lit("<tr>"), F.when(F.col("s_acctbal") < 0, four).otherwise(five), F.lit("</tr>"))
     page_key = F.concat_ws("-", F.col("s_nationkey").cast("string"), F.floor(F.col("s_suppkey") / 100).cast("string"))
     return (j.groupBy(page_key.alias("page_id"))
             .agg(F.array_sort(F.collect_list(F.struct("s_suppkey", tr.alias("tr")))).alias("_r"))
@@ -195,10 +197,10 @@ FROM (SELECT s.s_name AS company,
              TRY_CAST(regexp_replace(format('{{:,}}', CAST(floor(abs(s.s_acctbal)) AS BIGINT)), '[^0-9]', '', 'g') AS BIGINT) AS headcount,
              s.s_name || ' lays off ' || format('{{:,}}', CAST(floor(abs(s.s_acctbal)) AS BIGINT)) || ' employees' AS title,
              concat_ws(' | ', s.s_name, 'Retail', loc) AS description, loc AS location
-      FROM (SELECT s.*, CASE WHEN s_suppkey % 3 = 0 THEN upper(n_name[1]) || lower(n_name[2:]) || ', India'
-                             WHEN s_suppkey % 3 = 1 THEN 'Pune, MH' ELSE n_name END AS loc
+      FROM (SELECT s.*, CASE WHEN n_regionkey = 2 THEN upper(n_name[1]) || lower(n_name[2:]) || ', India'
+                             WHEN n_regionkey = 1 THEN 'Pune, MH' ELSE n_name END AS loc
             FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey) s
-      WHERE s_suppkey % 7 <> 0)
+      WHERE s_acctbal >= 0)
 WHERE contains(lower(location), 'india') OR {' OR '.join(f"contains(lower(location), {S.q(c)})" for c in X.D.MENTION_CITIES)}""",
           ops="A9 B9 X13 X8 X10")
 def q_tracker(spark, sf_dir):

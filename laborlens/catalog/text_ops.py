@@ -129,12 +129,12 @@ RELATIVE_AS_OF = "2001-08-02 06:00:00"
 def _relative_text_sql() -> str:
     return f"""
 SELECT o_orderkey,
-       CASE o_orderkey % 5
-         WHEN 0 THEN CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(TIMESTAMP '{RELATIVE_AS_OF}' AS DATE)) AS VARCHAR) || ' days ago'
-         WHEN 1 THEN CAST(o_orderkey % 30 AS VARCHAR) || ' Hours ago'
-         WHEN 2 THEN CAST(o_orderkey % 9 AS VARCHAR) || ' weeks ago'
-         WHEN 3 THEN 'Posted ' || CAST(o_orderkey % 4 AS VARCHAR) || 'month'
-         ELSE CASE WHEN o_orderkey % 10 = 4 THEN '30+ Days Ago' ELSE 'Today' END END AS posted_text
+       CASE o_orderpriority
+         WHEN '1-URGENT' THEN CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(TIMESTAMP '{RELATIVE_AS_OF}' AS DATE)) AS VARCHAR) || ' days ago'
+         WHEN '2-HIGH' THEN CAST(dayofmonth(o_orderdate) AS VARCHAR) || ' Hours ago'
+         WHEN '3-MEDIUM' THEN CAST(month(o_orderdate) AS VARCHAR) || ' weeks ago'
+         WHEN '4-NOT SPECIFIED' THEN 'Posted ' || CAST(quarter(o_orderdate) AS VARCHAR) || 'month'
+         ELSE CASE WHEN o_orderstatus = 'F' THEN '30+ Days Ago' ELSE 'Today' END END AS posted_text
 FROM orders"""
 
 
@@ -151,14 +151,16 @@ SELECT o_orderkey, posted_text,
 FROM ({_relative_text_sql()})""", ops="Y1")
 def q_relative_date(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
+    pr = F.col("o_orderpriority")
     as_of = ts(RELATIVE_AS_OF)
     days = F.datediff(F.to_date(as_of), F.to_date("o_orderdate"))
-    text = (F.when(k % 5 == 0, F.concat(days.cast("string"), F.lit(" days ago")))
-            .when(k % 5 == 1, F.concat((k % 30).cast("string"), F.lit(" Hours ago")))
-            .when(k % 5 == 2, F.concat((k % 9).cast("string"), F.lit(" weeks ago")))
-            .when(k % 5 == 3, F.concat(F.lit("Posted "), (k % 4).cast("string"), F.lit("month")))
-            .otherwise(F.when(k % 10 == 4, F.lit("30+ Days Ago")).otherwise(F.lit("Today"))))
+    # the posting-age text a board shows varies with the order's priority class
+    text = (F.when(pr == "1-URGENT", F.concat(days.cast("string"), F.lit(" days ago")))
+            .when(pr == "2-HIGH", F.concat(F.dayofmonth("o_orderdate").cast("string"), F.lit(" Hours ago")))
+            .when(pr == "3-MEDIUM", F.concat(F.month("o_orderdate").cast("string"), F.lit(" weeks ago")))
+            .when(pr == "4-NOT SPECIFIED", F.concat(F.lit("Posted "), F.quarter("o_orderdate").cast("string"),
+                                                    F.lit("month")))
+            .otherwise(F.when(F.col("o_orderstatus") == "F", F.lit("30+ Days Ago")).otherwise(F.lit("Today"))))
     return (o.select("o_orderkey", text.alias("posted_text"))
             .withColumn("posted_date", relative_date("posted_text", as_of)))
 

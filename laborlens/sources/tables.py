@@ -124,13 +124,13 @@ def raw_record(*pairs) -> "F.Column":
 
 
 def register_api_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Register API records as raw maps (``rec``): even nations use lower-case
-    field names, odd nations the upper-case spellings."""
+    """Register API records as raw maps (``rec``): offices in the first three
+    regions send lower-case field names, the others the upper-case spellings."""
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
-    up = (F.col("s_nationkey") % 2) == 1
+    up = F.col("n_regionkey") >= 3
     roc = F.concat(F.lit("RoC-"), F.col("n_name"))
     cin = F.lpad(F.col("s_suppkey").cast("string"), 9, "0")
     rec = raw_record(
@@ -174,8 +174,8 @@ def payroll_api_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Region k writes its state under spelling k of the state fields (region 4
     sends an empty ``state_name`` and fills ``State``: the empty string must be
-    skipped), its value under value spelling k (odd regions with thousands
-    separators) and its month under month spelling k mod 3.
+    skipped), its value under value spelling k (regions 1 and 3 with thousands
+    separators) and its month under one of the three month spellings.
     """
     o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -188,12 +188,14 @@ def payroll_api_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("n")))
     k = F.col("r_regionkey")
     state_text = F.concat(F.lit(" "), F.lower("r_name"), F.lit(" "))
-    value_text = F.when(k % 2 == 1, F.format_number(F.col("n") * 1000, 0)).otherwise((F.col("n") * 1000).cast("string"))
+    value_text = F.when(k.isin(1, 3), F.format_number(F.col("n") * 1000, 0)).otherwise((F.col("n") * 1000).cast("string"))
     pairs = [("state_name", F.when(k == 0, state_text).when(k == 4, F.lit(""))),
              ("State", F.when((k == 1) | (k == 4), state_text)),
              ("state", F.when(k == 2, state_text)),
              ("STATE", F.when(k == 3, state_text))]
-    pairs += [(f, F.when(k % 3 == i, F.col("ym"))) for i, f in enumerate(PAYROLL_MONTH_FIELDS)]
+    month_field_of_region = {0: "month", 1: "Month", 2: "payroll_month", 3: "month", 4: "Month"}
+    pairs += [(f, F.when(k.isin(*[r for r, g in month_field_of_region.items() if g == f]), F.col("ym")))
+              for f in PAYROLL_MONTH_FIELDS]
     pairs += [(f, F.when(k == i, value_text)) for i, f in enumerate(PAYROLL_VALUE_FIELDS)]
     return agg.select(raw_record(*pairs).alias("rec"))
 

@@ -63,14 +63,17 @@ def map_distinct(df: DataFrame, cols: str | Sequence[str], fn: Callable[[DataFra
     return df.join(mapping, cond, "left").drop(*keys)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread CPU-heavy per-row work (regex extraction, text scoring) over all
-    cores when the input arrives in fewer partitions than that (a small table
-    in one file). Large inputs already have enough splits and pass through
-    untouched, so no shuffle is added at scale."""
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy per-row work (regex extraction, text scoring, joins
+    fused into the scan stage) over all cores when the input arrives in fewer
+    partitions than that (a small table in one file). Large inputs already have
+    enough splits and pass through untouched, so no shuffle is added at scale.
+
+    Rows are hash-partitioned on ``key`` (default: the first column, the key
+    of every generated table): deterministic on retry, no pre-sort, and the
+    repartition references one column only, so column pruning still reaches
+    the scan below it."""
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    # hash of the whole row: deterministic on retry without the pre-sort that
-    # a round-robin repartition needs
-    return df.repartition(want, F.xxhash64(*[F.col(c) for c in df.columns]))
+    return df.repartition(want, F.col(key or df.columns[0]))

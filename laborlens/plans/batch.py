@@ -7,7 +7,14 @@ reads every landed run of each source (A1-A3), builds silver (normalise,
 parse, score, dedupe), gold (company x city, city, sector), updates the
 company history to a new version directory (V1, K10) and writes the served
 documents (K4-K8) under ``out_root``. Returns the DataFrames by name. Source
-prefixes are parameters (the landed ``source=<prefix>`` directories).
+prefixes are parameters (the landed ``source=<prefix>`` directories);
+``run_ts`` names the history version and must sort in run order (for
+example ``20240131T060000Z``).
+
+Each layer is written as a table and read back before the next layer uses
+it: every stage is computed once even though several outputs share it, and
+the lineage is cut at durable files in the shared output folder, so a lost
+executor only costs the current stage.
 """
 
 from __future__ import annotations
@@ -45,17 +52,25 @@ def run(spark: SparkSession, raw_root: str, out_root: str, as_of: str, run_ts: s
     news_bronze = bronze.load_source(spark, raw_root, news_source, schemas.NEWS, multiline)
     reg_bronze = bronze.load_source(spark, raw_root, register_source, schemas.REGISTER, multiline)
 
-    # silver
-    s_jobs = silver.jobs(jobs_bronze.select(*job_cols), dic)
-    s_news = silver.news(news_bronze.select(*[f.name for f in schemas.NEWS.fields]), dic, as_of_ts, window_days)
-    s_reg = silver.register(reg_bronze.select(*[f.name for f in schemas.REGISTER.fields]), dic)
+    def materialise(df: DataFrame, name: str) -> DataFrame:
+        path = f"{out_root}/{name}"
+        write_table(df, path)
+        return spark.read.parquet(path)
+
+    # silver (written once, read back by every consumer)
+    s_jobs = materialise(silver.jobs(jobs_bronze.select(*job_cols), dic), "silver_jobs")
+    s_news = materialise(silver.news(news_bronze.select(*[f.name for f in schemas.NEWS.fields]), dic, as_of_ts,
+                                     window_days), "silver_news")
+    s_reg = materialise(silver.register(reg_bronze.select(*[f.name for f in schemas.REGISTER.fields]), dic),
+                        "silver_register")
 
     # gold
     g_company = gold.company(silver.recent_jobs(s_jobs, as_of_ts, recent_days), s_news, s_reg,
                              it_sector=dic.it_sector, sectors=dic.sectors)
-    g_company = g_company.withColumns({"run_ts": F.lit(run_ts), "updated_at": F.lit(today)})
-    g_city = gold.city(g_company, dic.it_sector)
-    g_sector = gold.sector(g_company)
+    g_company = materialise(g_company.withColumns({"run_ts": F.lit(run_ts), "updated_at": F.lit(today)}),
+                            "gold_companies")
+    g_city = materialise(gold.city(g_company, dic.it_sector), "gold_districts")
+    g_sector = materialise(gold.sector(g_company), "gold_sectors")
 
     # history: prior state -> new version; trend and is_new per company x city
     served = g_company.where((F.col("company_norm") != "") & (F.col("city") != ""))
@@ -65,6 +80,7 @@ def run(spark: SparkSession, raw_root: str, out_root: str, as_of: str, run_ts: s
     new_state = H.update_history(prior, snap)
     if history_root:
         write_table(new_state, f"{history_root}/v={run_ts}")
+        new_state = spark.read.schema(schemas.HISTORY).parquet(f"{history_root}/v={run_ts}")
     trend = H.trend(new_state)
     companies = (served.select(F.col("company_norm").alias("company"), "city", "sector",
                                F.col("company_status").alias("status"), F.col("open_positions").alias("hiring"),
@@ -72,12 +88,9 @@ def run(spark: SparkSession, raw_root: str, out_root: str, as_of: str, run_ts: s
                                F.slice("news_titles", 1, 3).alias("news_headlines"), "updated_at", "run_ts")
                  .join(trend, ["company", "city"], "left"))
     companies = H.mark_new(companies, prior).withColumnRenamed("company", "name")
-    companies = companies.orderBy(F.desc("is_new"), F.desc("hiring"), "name", "city")
+    companies = materialise(companies, "companies_served").orderBy(F.desc("is_new"), F.desc("hiring"), "name", "city")
 
     # served documents
-    write_table(g_company, f"{out_root}/gold_companies")
-    write_table(g_city, f"{out_root}/gold_districts")
-    write_table(g_sector, f"{out_root}/gold_sectors")
     coords = spark.createDataFrame(list(D.CITY_COORDS), "city string, lat double, lng double")  # J4, code-sized
     located = (g_city.join(F.broadcast(coords), "city", "left")
                .withColumns({"lat": F.coalesce("lat", F.lit(D.DEFAULT_COORDS[0])),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 RELATIVE_PATTERN = r"(?i)(\d+)\s*(day|hour|week|month)"
 ISO_Z_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 RFC822_FORMAT = "dd MMM yyyy HH:mm:ss zzz"  # after the "Www, " weekday prefix is dropped
+RFC822_OFFSET_FORMAT = "dd MMM yyyy HH:mm:ss Z"  # numeric offsets such as +0530
 
 
 def _c(col):
@@ -32,13 +33,15 @@ def relative_date(text: Column | str, as_of: Column) -> Column:
 
 
 def parse_published(col: Column | str) -> Column:
-    """Y2: ISO-8601 "Z" or RFC-822 ("Fri, 05 Jan 2024 10:11:12 GMT") -> timestamp;
+    """Y2: ISO-8601 "Z" or RFC-822 ("Fri, 05 Jan 2024 10:11:12 GMT", or with a
+    numeric offset such as +0530) -> timestamp;
     anything else -> null. ``try_to_timestamp`` keeps ANSI mode from raising,
     and the weekday is cut off because pattern letter E is not parseable."""
     s = _c(col)
     rfc_body = F.when(s.rlike(r"^[A-Za-z]{3}, "), F.substring(s, 6, 1000))
     return F.coalesce(F.try_to_timestamp(s, F.lit(ISO_Z_FORMAT)),
-                      F.try_to_timestamp(rfc_body, F.lit(RFC822_FORMAT)))
+                      F.try_to_timestamp(rfc_body, F.lit(RFC822_FORMAT)),
+                      F.try_to_timestamp(rfc_body, F.lit(RFC822_OFFSET_FORMAT)))
 
 
 def parse_iso_date(col: Column | str) -> Column:

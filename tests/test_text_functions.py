@@ -80,9 +80,9 @@ def test_relative_dates(spark):
 
 
 def test_published_dates(spark):
-    vals = ["2024-01-05T10:11:12Z", "Fri, 05 Jan 2024 10:11:12 GMT", "garbage", None]
+    vals = ["2024-01-05T10:11:12Z", "Fri, 05 Jan 2024 10:11:12 GMT", "Fri, 05 Jan 2024 15:41:12 +0530", "garbage", None]
     got = one_col(spark, vals, lambda c: F.date_format(parse_published(c), "yyyy-MM-dd HH:mm:ss"))
-    assert got == ["2024-01-05 10:11:12", "2024-01-05 10:11:12", None, None]
+    assert got == ["2024-01-05 10:11:12", "2024-01-05 10:11:12", "2024-01-05 10:11:12", None, None]
 
 
 def test_signal_score_bands(spark):

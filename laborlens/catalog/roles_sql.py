@@ -141,7 +141,7 @@ def silver_news(dic: Dictionaries, as_of: str, window_days: int = 30) -> str:
     step = f"""
 SELECT title, description, company, city, headcount, signal_type, published_at, url, source_name, source,
        scraped_at, company_norm, published_ts, score_tenths, score_tenths / 10.0 AS signal_score,
-       coalesce(nullif(url, ''), concat_ws('|', coalesce(title, ''), coalesce(company, ''))) AS url_key
+       {S.news_url_key('url', 'title', 'company')} AS url_key
 FROM (SELECT title, description, company, {S.normalise_city('city', dic.city_aliases)} AS city, headcount,
              signal_type, published_at, url, source_name, source, scraped_at, company_norm,
              {S.parse_published('published_at')} AS published_ts,

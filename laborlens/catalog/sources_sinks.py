@@ -18,7 +18,7 @@ from laborlens.catalog.core import bronze_register, city_rollup, gold_company, s
 from laborlens.catalog.registry import register
 from laborlens.functions import text as X
 from laborlens.functions.dates import parse_published
-from laborlens.operators.html import LD_JSON_RE, link_cards, table_rows
+from laborlens.operators.html import LD_JSON_RE, link_cards, page_postings, table_rows
 from laborlens.operators.numbering import chunk_records
 from laborlens.session import scratch_path
 from laborlens.sinks import documents as K
@@ -191,7 +191,11 @@ def _tracker_pages(spark, sf_dir):
                                         F.lit("</tbody></table>")).alias("html")))
 
 
-@register("tracker_layoffs", sql=f"""
+def _sql_tracker() -> str:
+    return _TRACKER_SQL
+
+
+_TRACKER_SQL = f"""
 SELECT company, headcount, title, description, {S.extract_city('location')} AS city
 FROM (SELECT s.s_name AS company,
              TRY_CAST(regexp_replace(format('{{:,}}', CAST(floor(abs(s.s_acctbal)) AS BIGINT)), '[^0-9]', '', 'g') AS BIGINT) AS headcount,
@@ -201,8 +205,10 @@ FROM (SELECT s.s_name AS company,
                              WHEN n_regionkey = 1 THEN 'Pune, MH' ELSE n_name END AS loc
             FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey) s
       WHERE s_acctbal >= 0)
-WHERE contains(lower(location), 'india') OR {' OR '.join(f"contains(lower(location), {S.q(c)})" for c in X.D.MENTION_CITIES)}""",
-          ops="A9 B9 X13 X8 X10")
+WHERE contains(lower(location), 'india') OR {' OR '.join(f"contains(lower(location), {S.q(c)})" for c in X.D.MENTION_CITIES)}"""
+
+
+@register("tracker_layoffs", sql=_sql_tracker, ops="A9 B9 X13 X8 X10")
 def q_tracker(spark, sf_dir):
     rows = table_rows(_tracker_pages(spark, sf_dir), "html", ["page_id"]).where(F.size("cells") >= 5)
     c = lambda i: F.get(F.col("cells"), i)
@@ -277,3 +283,90 @@ def q_file_listing(spark, sf_dir):
     _land_jobs(spark, sf_dir, root)
     files = bronze.list_files(spark, root)
     return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("total_bytes"))
+
+
+def _ld_pages(spark, sf_dir):
+    """Per-order pages carrying only JSON-LD postings (no cards), as in q_jsonld."""
+    jobs = tables.job_postings(spark, sf_dir)
+    j = jobs.withColumn("_ok", F.regexp_extract("job_url", r"/(\d+)-", 1).cast("bigint")) \
+            .withColumn("_ln", F.regexp_extract("job_url", r"-(\d+)$", 1).cast("int"))
+    obj = F.to_json(F.struct(F.lit("JobPosting").alias("@type"), F.col("title"),
+                             F.struct(F.col("company").alias("name")).alias("hiringOrganization"),
+                             F.col("posted_date").alias("datePosted"), F.col("job_url").alias("url"),
+                             F.struct(F.struct(F.col("salary").alias("value")).alias("value")).alias("baseSalary")))
+    pages = (j.groupBy("_ok").agg(F.array_sort(F.collect_list(F.struct("_ln", "job_url", obj.alias("o")))).alias("_objs"))
+             .select(F.concat(F.lit("ld-"), F.col("_ok").cast("string")).alias("page_key"),
+                     F.concat(F.lit("<html><body>"),
+                              F.array_join(F.transform("_objs", lambda e: F.concat(
+                                  F.lit('<script type="application/ld+json">'), e.getField("o"), F.lit("</script>"))), ""),
+                              F.lit("</body></html>")).alias("html")))
+    return pages
+
+
+@register("page_postings_fallback", sql=f"""
+SELECT page_key, title, company, job_url FROM (
+  SELECT 'page-' || CAST(page_id AS VARCHAR) AS page_key, unnest(texts) AS title, company, unnest(hrefs) AS job_url
+  FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS hrefs,
+               regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS texts,
+               regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) AS company FROM pages))
+UNION ALL
+SELECT 'ld-' || split_part(split_part(job_url, '/', 4), '-', 1) AS page_key, title, company, job_url FROM ({R.JOBS})""",
+          ops="A6 A7")
+def q_page_postings(spark, sf_dir):
+    """Real pages (cards, no JSON-LD) and JSON-LD-only pages through one
+    extractor in fallback mode: cards where a page has them, else its postings."""
+    real = tables.read(spark, sf_dir, "pages").select(
+        F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("page_key"), "html")
+    pages = real.unionByName(_ld_pages(spark, sf_dir))
+    company = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
+    out = pages.select("page_key", F.explode(page_postings(F.col("html"), company, "fallback")).alias("p"))
+    return out.select("page_key", "p.title", "p.company", "p.job_url")
+
+
+def _sql_jobs_url_dedupe() -> str:
+    keyed = (f"SELECT *, coalesce(nullif(job_url, ''), concat_ws('|', coalesce(title, ''), coalesce(company, ''))) "
+             f"AS url_key FROM ({R.JOBS})")
+    kept = S.keep_first(keyed, ["url_key"], ["scraped_at"], R.JOB_COLUMNS + ["url_key"])
+    return f"SELECT url_key, title, company, scraped_at FROM ({kept})"
+
+
+@register("jobs_url_dedupe", sql=_sql_jobs_url_dedupe, ops="U4")
+def q_jobs_url_dedupe(spark, sf_dir):
+    """U4: postings keyed by URL (else title|company), the earliest scraped kept."""
+    from laborlens.operators.dedupe import fallback_key, keep_first
+    jobs = tables.job_postings(spark, sf_dir).withColumn("url_key", fallback_key("job_url", "title", "company"))
+    return keep_first(jobs, ["url_key"], ["scraped_at"]).select("url_key", "title", "company", "scraped_at")
+
+
+TRACKER_URL = "https://tracker.example/"
+
+
+def tracker_news(spark, sf_dir):
+    """Tracker rows (A9) in the news record shape: one site-root URL for all of them."""
+    t = q_tracker(spark, sf_dir)
+    return t.select("title", "description", "company", "city", "headcount", F.lit("layoff").alias("signal_type"),
+                    F.lit("2024-01-15").alias("published_at"), F.lit(TRACKER_URL).alias("url"),
+                    F.lit("tracker").alias("source_name"), F.lit("tracker").alias("source"),
+                    F.lit("2024-01-31T06:00:00Z").alias("scraped_at"))
+
+
+@register("news_all_origins", sql=lambda: f"""
+SELECT url_key, title, source, n_sources FROM (
+  SELECT *, count(*) OVER (PARTITION BY url_key) AS n_sources,
+         row_number() OVER (PARTITION BY url_key ORDER BY scraped_at, title, source) AS _rn
+  FROM (SELECT {S.news_url_key('url', 'title', 'company')} AS url_key, title, source, scraped_at FROM (
+    SELECT title, url, company, source, scraped_at FROM ({R.NEWS})
+    UNION ALL
+    SELECT title, '{TRACKER_URL}' AS url, company, 'tracker' AS source, '2024-01-31T06:00:00Z' AS scraped_at
+    FROM ({_sql_tracker()}))))
+WHERE _rn = 1""", ops="T2 U2 A9")
+def q_news_all_origins(spark, sf_dir):
+    """T2 + U2: API and feed news unioned with tracker rows by name, then one row
+    per URL key; the tracker's shared root URL is qualified by the title, so its
+    rows are not collapsed into one (``n_sources`` counts the copies merged)."""
+    from laborlens.operators.dedupe import keep_first, news_url_key
+    news = tables.news_signals(spark, sf_dir).unionByName(tracker_news(spark, sf_dir), allowMissingColumns=True)
+    keyed = news.select(news_url_key("url", "title", "company").alias("url_key"), "title", "source", "scraped_at")
+    counts = keyed.groupBy("url_key").agg(F.count(F.lit(1)).alias("n_sources"))
+    return keep_first(keyed, ["url_key"], ["scraped_at", "title", "source"]).join(counts, "url_key") \
+        .select("url_key", "title", "source", "n_sources")

@@ -177,6 +177,12 @@ def choose_sector(reg: str, company: str, groups=D.SECTOR_KEYWORDS) -> str:
     return f"CASE WHEN {reg} IS NULL OR {reg} IN ({empties}) THEN {classify_sector(company, None, groups)} ELSE {reg} END"
 
 
+def news_url_key(url: str, title: str, company: str) -> str:
+    return (f"CASE WHEN regexp_matches({url}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]+/?$') "
+            f"THEN concat_ws('|', {url}, coalesce({title}, '')) "
+            f"ELSE coalesce(nullif({url}, ''), concat_ws('|', coalesce({title}, ''), coalesce({company}, ''))) END")
+
+
 def keep_first(src: str, keys: list[str], order: list[str], columns: list[str], last: bool = False) -> str:
     """U* twin: row_number over the key by the order tuple, then every column (nulls first)."""
     d = "DESC NULLS LAST" if last else "ASC NULLS FIRST"

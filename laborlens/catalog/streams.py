@@ -38,7 +38,7 @@ def _silver_stream(spark, sf_dir):
 def _sql_news_parsed() -> str:
     with_norm = R.company_map(R.NEWS, "company", "company_norm", dic())
     return f"""
-SELECT *, coalesce(nullif(url, ''), concat_ws('|', coalesce(title, ''), coalesce(company, ''))) AS url_key FROM (
+SELECT *, {S.news_url_key('url', 'title', 'company')} AS url_key FROM (
   SELECT company_norm, {S.normalise_city('city', dic().city_aliases)} AS city, signal_type, headcount, url, title, company,
          {S.parse_published('published_at')} AS published_ts,
          {S.signal_score_tenths('signal_type', 'headcount')} AS score_tenths

@@ -37,6 +37,19 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return out.select(*[F.col(c) if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns])
 
 
+ROOT_URL_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]+/?$"
+
+
+def news_url_key(url: Column | str, title: Column | str, company: Column | str) -> Column:
+    """U2 key: the URL; a bare site root (one page for many items, e.g. a
+    tracker) is not an identity, so it is qualified by the title; an empty
+    URL falls back to title|company (U4)."""
+    u = F.col(url) if isinstance(url, str) else url
+    t = F.col(title) if isinstance(title, str) else title
+    return F.when(u.rlike(ROOT_URL_RE), F.concat_ws("|", u, F.coalesce(t, F.lit("")))) \
+        .otherwise(fallback_key(u, title, company))
+
+
 def fallback_key(url: Column | str, *parts: Column | str) -> Column:
     """U4: the URL when non-empty, else the other fields joined by ``|``."""
     url = F.col(url) if isinstance(url, str) else url

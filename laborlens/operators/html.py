@@ -52,3 +52,37 @@ def link_cards(html: Column) -> Column:
     hrefs = F.regexp_extract_all(html, F.lit(LINK_RE), 1)
     texts = F.regexp_extract_all(html, F.lit(LINK_RE), 2)
     return F.arrays_zip(hrefs.alias("href"), texts.alias("text"))
+
+
+LD_POSTING_SCHEMA = ("struct<`@type`:string,title:string,hiringOrganization:struct<name:string>,datePosted:string,"
+                     "url:string,baseSalary:struct<value:struct<value:string>>>")
+
+
+def ld_postings(html: Column) -> Column:
+    """JobPosting items of all JSON-LD blocks (a block is one object or a list)
+    as array<struct<title, company, posted_date, job_url, salary>>."""
+    def items(body):
+        return F.when(body.startswith("["), F.from_json(body, f"array<{LD_POSTING_SCHEMA}>")) \
+            .otherwise(F.array(F.from_json(body, LD_POSTING_SCHEMA)))
+    all_items = F.flatten(F.transform(ld_json_blocks(html), items))
+    postings = F.filter(all_items, lambda it: it.getField("@type") == "JobPosting")
+    return F.transform(postings, lambda it: F.struct(
+        it.getField("title").alias("title"), it.getField("hiringOrganization").getField("name").alias("company"),
+        it.getField("datePosted").alias("posted_date"), it.getField("url").alias("job_url"),
+        it.getField("baseSalary").getField("value").getField("value").alias("salary")))
+
+
+def card_postings(html: Column, company: Column) -> Column:
+    """List-item link cards as the same struct shape (company from the page)."""
+    return F.transform(link_cards(html), lambda c: F.struct(
+        c.getField("text").alias("title"), company.alias("company"), F.lit(None).cast("string").alias("posted_date"),
+        c.getField("href").alias("job_url"), F.lit(None).cast("string").alias("salary")))
+
+
+def page_postings(html: Column, company: Column, mode: str = "fallback") -> Column:
+    """A6 + A7 per page: ``fallback`` takes the cards, or the JSON-LD postings
+    only when the page has no cards; ``both`` takes cards and JSON-LD postings."""
+    cards, ld = card_postings(html, company), ld_postings(html)
+    if mode == "both":
+        return F.concat(cards, ld)
+    return F.when(F.size(cards) > 0, cards).otherwise(ld)

@@ -18,7 +18,7 @@ from laborlens.functions.scoring import signal_score, signal_score_tenths
 from laborlens.functions.similarity import with_company_norm
 from laborlens.functions.text import (classify_register_sector, first_nonempty, normalise_city, strip_ws,
                                       title_case)
-from laborlens.operators.dedupe import fallback_key, keep_first
+from laborlens.operators.dedupe import keep_first, news_url_key
 from laborlens.operators.lookup import map_distinct
 
 
@@ -89,7 +89,7 @@ def news(bronze: DataFrame, dic: Dictionaries, as_of: Column, window_days: int =
                  & (F.to_date("published_ts") >= cutoff_date(as_of, window_days)))
           .withColumns({"score_tenths": signal_score_tenths("signal_type", "headcount"),
                         "signal_score": signal_score("signal_type", "headcount"),
-                        "url_key": fallback_key("url", "title", "company")}))
+                        "url_key": news_url_key("url", "title", "company")}))
     return keep_first(df, ["url_key"], ["scraped_at", "published_ts", "title"])
 
 

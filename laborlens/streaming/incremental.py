@@ -18,7 +18,7 @@ from laborlens.functions.scoring import signal_score_tenths
 from laborlens.functions.similarity import with_company_norm
 from laborlens.functions.text import normalise_city
 from laborlens.operators import history as H
-from laborlens.operators.dedupe import fallback_key
+from laborlens.operators.dedupe import news_url_key
 
 
 def news_stream(spark: SparkSession, landed: str, max_files: int = 4) -> DataFrame:
@@ -36,7 +36,7 @@ def silver_news_stream(records: DataFrame, canonical, city_aliases) -> DataFrame
             .withColumn("published_ts", parse_published("published_at"))
             .where(F.col("published_ts").isNotNull())
             .withColumn("score_tenths", signal_score_tenths("signal_type", "headcount"))
-            .withColumn("url_key", fallback_key("url", "title", "company")))
+            .withColumn("url_key", news_url_key("url", "title", "company")))
 
 
 def dedupe_stream(silver: DataFrame, delay: str = "30 days") -> DataFrame:

@@ -79,3 +79,22 @@ def test_html_table_header_records(spark):
 def test_missing_source_keeps_schema(spark, tmp_path):
     df = bronze.load_source(spark, str(tmp_path), "nothing_here", schemas.JOB)
     assert df.count() == 0 and [f.name for f in schemas.JOB.fields] == df.columns[:len(schemas.JOB.fields)]
+
+
+def test_page_postings_modes(spark):
+    from laborlens.operators.html import page_postings
+    ld = ('<script type="application/ld+json">[{"@type":"JobPosting","title":"T1","hiringOrganization":{"name":"C"},'
+          '"url":"u1"},{"@type":"Organization","name":"x"}]</script>')
+    cards = '<li><a href="/j2">T2</a></li>'
+    df = spark.createDataFrame([(1, ld), (2, cards + ld), (3, cards)], "p int, html string")
+    for mode, want in (("fallback", {1: ["T1"], 2: ["T2"], 3: ["T2"]}), ("both", {1: ["T1"], 2: ["T2", "T1"], 3: ["T2"]})):
+        got = {r.p: [x.title for x in r.j] for r in df.select("p", page_postings(F.col("html"), F.lit("Co"), mode).alias("j")).collect()}
+        assert got == want, mode
+
+
+def test_news_url_key_root_urls(spark):
+    from laborlens.operators.dedupe import news_url_key
+    df = spark.createDataFrame([("https://t.example/", "A"), ("https://t.example", "B"), ("https://t.example/x/1", "C"),
+                                ("", "D")], "u string, t string")
+    got = [r[0] for r in df.select(news_url_key("u", "t", F.lit("Co"))).collect()]
+    assert got == ["https://t.example/|A", "https://t.example|B", "https://t.example/x/1", "D|Co"]

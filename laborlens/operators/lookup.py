@@ -22,11 +22,6 @@ def maybe_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     return F.broadcast(small) if n <= max_rows else small
 
 
-def literal_table(spark, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A dictionary in code as a DataFrame (size fixed by the code, broadcast-safe)."""
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
-
-
 def map_distinct(df: DataFrame, cols: str | Sequence[str], fn: Callable[[DataFrame], DataFrame],
                  out: str | Sequence[str], max_broadcast_rows: int | None = None) -> DataFrame:
     """Add ``out`` column(s) computed by ``fn`` once per distinct value of ``cols``.

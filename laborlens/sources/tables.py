@@ -76,9 +76,6 @@ def job_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", ISO_Z).alias("scraped_at"))
 
 
-SIGNAL_OF_EVENT = {"error": "layoff", "signup": "hiring", "purchase": "hiring"}
-
-
 def news_signals(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
     """Bronze news records (NEWS schema order; ``keep_id`` appends the event id)."""
     e = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")

@@ -42,14 +42,21 @@ def main() -> None:
     from laborlens.functions.similarity import with_company_norm
     from laborlens.sources.tables import read
     with_company_norm(read(spark, sf_dir, "nation"), "n_name", "x").write.format("noop").mode("overwrite").save()
-    times = {}
+    times, errors = {}, {}
     for name in HEADLINE:
         t0 = time.time()
-        reg[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+        try:
+            reg[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - t0, 3)
+        except Exception as e:  # record and keep going: one failure must not hide the rest
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+    result = {"metric": "headline_queries_total", "value": round(sum(t for t in times.values() if t), 3),
+              "unit": "sec", "queries": times, "sf": sf}
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":

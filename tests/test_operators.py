@@ -98,3 +98,11 @@ def test_news_url_key_root_urls(spark):
                                 ("", "D")], "u string, t string")
     got = [r[0] for r in df.select(news_url_key("u", "t", F.lit("Co"))).collect()]
     assert got == ["https://t.example/|A", "https://t.example|B", "https://t.example/x/1", "D|Co"]
+
+
+def test_spread_only_when_needed(spark):
+    from laborlens.operators.lookup import spread
+    few = spark.range(100).coalesce(1)
+    assert spread(few, min_partitions=4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert spread(many, min_partitions=4) is many

@@ -27,6 +27,13 @@ RFC822_OUT = "EEE, dd MMM yyyy HH:mm:ss 'GMT'"
 
 
 DIMENSIONS = ("nation", "region")
+SPREAD_MIN_BYTES = 1 << 20  # below this a table is cheap to scan in one task (and is usually broadcast)
+
+
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
 
 
 _READS: dict[tuple, DataFrame] = {}
@@ -35,16 +42,19 @@ _READS: dict[tuple, DataFrame] = {}
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A generated table. Fact tables are spread over the cores when the scan
     yields fewer splits than cores (a small file with few row groups); at
-    scale the scan already has many splits and this adds nothing. The two
-    fixed-size dimensions are always broadcast and are left as they are.
+    scale the scan already has many splits and this adds nothing. Tables under
+    ``SPREAD_MIN_BYTES`` (and the two fixed-size dimensions, always broadcast)
+    are left as they are: an extra stage would cost more than it saves.
 
     The resulting (lazy, data-free) DataFrame is reused per session and path,
     so footers are read and the split count is planned once per table."""
     key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
     df = _READS.get(key)
     if df is None:
-        df = spark.read.parquet(table_path(sf_dir, name))
-        df = df if name in DIMENSIONS else spread(df)
+        path = table_path(sf_dir, name)
+        df = spark.read.parquet(path)
+        if name not in DIMENSIONS and _input_bytes(spark, path) >= SPREAD_MIN_BYTES:
+            df = spread(df)
         _READS[key] = df
     return df
 

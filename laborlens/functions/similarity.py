@@ -172,8 +172,22 @@ def best_match_batch(sorted_names, canonical: Sequence[str], cutoff: float):
     return out
 
 
+def _ship_by_value() -> None:
+    """Pickle this module's functions by value with the UDF, so Python workers
+    need only numpy/pandas, not this package on their path (a driver started
+    from anywhere, executors that never installed the package)."""
+    import sys
+
+    from pyspark import cloudpickle
+    try:
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except ValueError:  # already registered
+        pass
+
+
 def best_match_udf(canonical: Sequence[str], cutoff: float):
     """pandas_udf(string -> string) wrapping ``best_match_batch``."""
+    _ship_by_value()
     canon = list(canonical)
 
     @F.pandas_udf("string")

@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborlens.llm.common import load, prepare, shared
+from laborlens.llm.line_dedup import dedup_lines, line_dedup_sql
+from laborlens.llm.minhash import near_duplicates
 from laborlens.llm.mixing import mix, mix_sql
+from laborlens.llm.quality import quality_scores
 from laborlens.llm.sharding import shard_documents
 from laborlens.llm.token_files import read_token_files, write_token_files
 from laborlens.llm.topk import exact_topk
@@ -41,6 +44,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 @query
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_documents(load(spark, sf_dir, "documents"), n_shards=8)
@@ -48,6 +56,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = load(spark, sf_dir, "embeddings")
@@ -59,6 +73,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(load(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_line_dedup"] = f"""
+    WITH {line_dedup_sql()}
+    SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM rebuilt"""
 ORACLES["op5_exact_topk"] = """
     WITH v AS MATERIALIZED (
       SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings

@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laborlens.llm.bpe_table import encode_decode
 from laborlens.llm.common import load, prepare, shared
+from laborlens.llm.fingerprint import edited_fingerprints
 from laborlens.llm.line_dedup import dedup_lines, line_dedup_sql
 from laborlens.llm.minhash import near_duplicates
 from laborlens.llm.mixing import mix, mix_sql
@@ -68,11 +70,25 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+@query
+def op6_bpe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = encode_decode(load(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next")
+
+
 @query
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"))

@@ -19,6 +19,7 @@ from laborlens.llm.minhash import near_duplicates
 from laborlens.llm.mixing import mix, mix_sql
 from laborlens.llm.quality import quality_scores
 from laborlens.llm.sharding import shard_documents
+from laborlens.llm.suffix_dedup import remove_repeats
 from laborlens.llm.token_files import read_token_files, write_token_files
 from laborlens.llm.topk import exact_topk
 
@@ -77,6 +78,12 @@ def op6_bpe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

@@ -145,19 +145,25 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.where(lost).select("d", "h")
 
 
+def rebuilt_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10,
+                 batches: int = 4, fanout: int = 3) -> DataFrame:
+    """row (struct of the documents' other columns), n_lines, n_dropped, kept (the text left) of every row."""
+    gone = (duplicate_lines(docs, id_col, text_col, min_chars, batches, fanout)
+            .groupBy(F.col("d").alias("gone_id")).agg(F.collect_set("h").alias("gone")))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("row"),
+                       F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    # the lists are the built side: the texts are shuffled once and never sorted
+    joined = rows.join(gone.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("gone_id")), "left").select("row", "t", "gone")
+    schema = joined.select("row", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"),
+                           F.lit("").alias("kept")).schema
+    return joined.mapInArrow(_rebuild(min_chars), schema)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10,
                 batches: int = 4, fanout: int = 3) -> DataFrame:
-    """The documents' other columns as they are, with n_lines, n_dropped and kept (the text left)."""
-    gone = (duplicate_lines(docs, id_col, text_col, min_chars, batches, fanout)
-            .groupBy(F.col("d").alias("_gone_id")).agg(F.collect_set("h").alias("gone")))
-    others = [c for c in docs.columns if c != text_col]
-    rows = docs.select(*[F.col(c) for c in others], F.col(text_col).cast("string").alias("_t"))
-    # only rows of documents that lose lines pay for the join's list; the text side is never sorted
-    joined = rows.join(gone.hint("shuffle_hash"), F.col(id_col).cast("long").eqNullSafe(F.col("_gone_id")), "left")
-    out = joined.select(F.struct(*[F.col(c) for c in others]).alias("row"), F.col("_t").alias("t"), "gone")
-    schema = out.select("row").withColumns({"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long"),
-                                            "kept": F.lit("")}).schema
-    return out.mapInArrow(_rebuild(min_chars), schema).select("row.*", "n_lines", "n_dropped", "kept")
+    """The documents with the text that is left in place of the text; columns keep their order."""
+    rows = rebuilt_rows(docs, id_col, text_col, min_chars, batches, fanout)
+    return rows.select(*[F.col("kept").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def line_dedup_sql(docs: str = "documents", min_chars: int = 10) -> str:

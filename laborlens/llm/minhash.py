@@ -243,6 +243,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.coalesce(component == F.col("d"), F.lit(True)).alias("kept")))
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that are the smallest id of their group, all columns as they are.
+
+    Rows with one id are one document: they stay or go together."""
+    gone = near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col(id_col).cast("long").alias("id"))
+    left = rows.join(gone.hint("shuffle_hash"), F.col("id") == F.col("gone"), "left_anti")
+    return left.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+
+
 def _links(rows: DataFrame, lead: DataFrame) -> DataFrame:
     """Confirmed links among nodes; together they connect every two linked nodes that share a bucket."""
     spark = rows.sparkSession

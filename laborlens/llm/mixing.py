@@ -71,13 +71,28 @@ def source_targets(sized: DataFrame, weights=(5, 2, 1), budget: float = 1.5, max
 def mix(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, max_passes: int = 2, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, size, source_size, target, taken, passes, row of every document."""
-    spark = docs.sparkSession
-    prepare(spark)
+    prepare(docs.sparkSession)
     sized = keep(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                              word_count(F.col(text_col).cast("string")).alias("size"),
                              F.monotonically_increasing_id().alias("row")), "mix-sized")
-    targets = keep(source_targets(sized, weights, budget, max_passes), "mix-targets")
-    return _take(sized, targets, max_passes)
+    return _take(sized, keep(source_targets(sized, weights, budget, max_passes), "mix-targets"), max_passes)
+
+
+def mixed_documents(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, max_passes: int = 2, id_col: str = "doc_id",
+                    text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents that the mix takes, each as often as it is taken; columns as they are."""
+    prepare(docs.sparkSession)
+    # numbered once and written, so that a row has one number in all that follows
+    rows = keep(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"),
+                            F.monotonically_increasing_id().alias("row")), "mix-rows")
+    sized = keep(rows.select(F.col("doc").getField(id_col).cast("long").alias("doc_id"),
+                             F.col("doc").getField(source_col).cast("string").alias("source"),
+                             word_count(F.col("doc").getField(text_col).cast("string")).alias("size"), "row"), "mix-sized")
+    taken = _take(sized, keep(source_targets(sized, weights, budget, max_passes), "mix-targets"), max_passes)
+    times = taken.where("passes > 0").select("row", "passes")
+    return (rows.join(times.hint("shuffle_hash"), "row")
+            .select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes"))))
+            .select(*[F.col("doc").getField(c).alias(c) for c in docs.columns]))
 
 
 def _take(sized: DataFrame, targets: DataFrame, max_passes: int) -> DataFrame:

@@ -207,28 +207,36 @@ def fit_on_labels(stats: DataFrame, labels: DataFrame, label_col: str = "quality
     return fit(training)
 
 
-def scorer(model: Model, text_at: int | None = None):
-    """mapInArrow function that adds a score: from column ``stats``, or from the text in column ``text_at``."""
+def _score_stats(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_PER_STEP if text_at is not None else batch.num_rows or 1):
-                rows = batch.slice(at, ROWS_PER_STEP) if text_at is not None else batch
-                if text_at is None:
-                    x = _matrix(rows.column("stats"))
-                else:
-                    x = np.array([statistics(t) for t in rows.column(text_at).to_pylist()]).reshape(rows.num_rows, len(STATS))
-                names = [f.name for f in rows.schema if f.name != "stats"]
-                yield pa.RecordBatch.from_arrays(
-                    [*[rows.column(rows.schema.get_field_index(c)) for c in names], pa.array(model.score(x))],
-                    names=[*names, "score"])
+            x = _matrix(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x), pa.float64())], names=["row", "score"])
     return run
 
 
+def _keep_good(model: Model, text_at: int, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_PER_STEP):
+                rows = batch.slice(at, ROWS_PER_STEP)
+                x = np.array([statistics(t) for t in rows.column(text_at).to_pylist()]).reshape(rows.num_rows, len(STATS))
+                yield rows.filter(pa.array(model.score(x) >= threshold))
+    return run
+
+
+def filter_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents whose score reaches the threshold, all columns as they are."""
+    model = fit_on_labels(keep(document_statistics(docs, id_col, text_col), "quality-stats"), labels, id_col=id_col)
+    return docs.mapInArrow(_keep_good(model, docs.columns.index(text_col), threshold), docs.schema)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
     stats = keep(document_statistics(docs, id_col, text_col), "quality-stats")
     model = fit_on_labels(stats, labels, id_col=id_col)
-    scored = stats.mapInArrow(scorer(model), "row struct<id: long>, score double")
+    scored = stats.mapInArrow(_score_stats(model), "row struct<id: long>, score double")
     return scored.select(F.col("row.id").alias("doc_id"), held_out(F.col("row.id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

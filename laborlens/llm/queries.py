@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from laborlens.llm.bpe_table import encode_decode
 from laborlens.llm.common import load, prepare, shared
 from laborlens.llm.fingerprint import edited_fingerprints
-from laborlens.llm.line_dedup import dedup_lines, line_dedup_sql
+from laborlens.llm.line_dedup import line_dedup_sql, rebuilt_rows
 from laborlens.llm.minhash import near_duplicates
 from laborlens.llm.mixing import mix, mix_sql
 from laborlens.llm.quality import quality_scores
@@ -61,8 +61,8 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(load(spark, sf_dir, "documents")).select(
-        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+    return rebuilt_rows(load(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query

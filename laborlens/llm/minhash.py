@@ -6,11 +6,13 @@
    step by step (Fisher-Yates), step j offering the rank j + r at one position;
    steps stop as soon as every position holds a smaller rank.
 3. Bands of the signature are bucket keys. Buckets of one node are dropped.
-4. Inside a bucket no all-pairs list is made: pairs are (pivot, member) with
-   the bucket's smallest member as pivot, confirmed on the full sets; accepted
-   links are grouped by union-find. Buckets whose members are by then in one
-   component are finished; the others drop their pivot and go on with the next
-   one until none is left, so no pair of a bucket goes untested.
+4. Inside a bucket no all-pairs list is made. Every node is first tested on the
+   full sets against one pivot (the smallest member of a bucket; of its pivots
+   the one it shares most buckets with), and accepted links are grouped by
+   union-find. Buckets whose members are by then in one component are finished.
+   In the others members of different components are compared by signature,
+   block by block inside a task; only pairs whose signatures agree in
+   ``LEAST_EQUAL`` positions leave it, to be confirmed on the full sets.
 
 Lower case is A-Z only; words are runs without ASCII white space. Null texts and
 texts without words have an empty set and no links; texts with fewer words than
@@ -38,8 +40,11 @@ THRESHOLD = 75
 BANDS, ROWS = 40, 4
 #: at similarity 0.75 a link escapes all bands with probability (1 - 0.75**4)**40 < 3e-7
 POSITIONS = BANDS * ROWS
+#: a link of similarity 0.75 has 120 equal positions of 160, standard deviation below 5.5; this is six of them less
+LEAST_EQUAL = 87
 ELEMENTS_PER_STEP = 40_000
 MEMBERS_PER_GROUP = 256
+MEMBERS_PER_CELL = 512
 ROWS_PER_STEP = 512
 
 
@@ -262,39 +267,68 @@ def _links(rows: DataFrame, lead: DataFrame) -> DataFrame:
     wanted = buckets.select("d").distinct()
     texts = keep_bucketed(rows.join(wanted, "d").where(F.col("t").isNotNull()).select("d", "t"),
                           "minhash_texts", partitions(spark), "d")
-    found = root = None
-    while True:
-        pivots = buckets.groupBy("key").agg(F.min_by(F.struct("d", "n"), "d").alias("p"))
-        pairs = (buckets.join(pivots, "key").where("d <> p.d")
-                 # sizes further apart than the threshold can't be linked
-                 .where(F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * THRESHOLD)
-                 .groupBy(F.col("p.d").alias("p"), "d").agg(F.count(F.lit(1)).alias("bands")))
-        if root is None:
-            pairs = keep(pairs, "minhash-pairs")
-            # most nodes are linked by the pivot they share most buckets with: that one first
-            likely = pairs.groupBy("d").agg(F.max_by("p", F.struct("bands", -F.col("p"))).alias("p")).select("p", "d")
-            found = keep(_confirm(likely, texts), "minhash-links")
-            root = components(found)
-        rest = keep(_across(pairs.select("p", "d"), root), "minhash-rest")
-        if not rest.isEmpty():
-            found = found.unionByName(keep(_confirm(rest, texts), "minhash-links"))
-            root = components(found)
-        # finished buckets have one component left; the others lose their pivot
-        open_keys = (_labelled(buckets, root).groupBy("key")
-                     .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("d").alias("p"))
-                     .where("lo <> hi").select("key", "p"))
-        buckets = keep(buckets.join(open_keys, "key").where("d <> p").drop("p"), "minhash-buckets")
-        if buckets.isEmpty():
-            return found
+    # most nodes are linked to the pivot (a bucket's smallest member) that they share most buckets with
+    pivots = buckets.groupBy("key").agg(F.min_by(F.struct("d", "n"), "d").alias("p"))
+    pairs = (buckets.join(pivots, "key").where("d <> p.d")
+             # sizes further apart than the threshold can't be linked
+             .where(F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * THRESHOLD)
+             .groupBy(F.col("p.d").alias("p"), "d").agg(F.count(F.lit(1)).alias("bands")))
+    likely = pairs.groupBy("d").agg(F.max_by("p", F.struct("bands", -F.col("p"))).alias("p")).select("p", "d")
+    found = keep(_confirm(likely, texts), "minhash-links")
+    # buckets whose members are in one component by now are finished
+    members = keep(_labelled(buckets, components(found)), "minhash-members")
+    open_keys = (members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                            F.ceil(F.count(F.lit(1)) / MEMBERS_PER_CELL).alias("blocks"))
+                 .where("lo <> hi").select("key", "blocks"))
+    block = F.pmod(F.xxhash64("d"), F.col("blocks"))
+    # a cell for every two blocks of a bucket
+    cells = (members.join(open_keys, "key").join(lead.select("d", "sig"), "d").withColumn("block", block)
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "block", "d", "n", "root", "sig"))
+    close = (cells.repartition(partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j", "d")
+             .mapInArrow(_close, "p long, d long").distinct())
+    return found.unionByName(_confirm(keep(close, "minhash-close"), texts))
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of one cell (rows of a bucket's two blocks) that may be linked: not yet in one component, sizes
+    and signatures near enough. The rows come sorted by cell."""
+    held: list[pa.Table] = []
+
+    def pairs(t: pa.Table) -> pa.RecordBatch:
+        d, n, root = (t[c].to_numpy() for c in ("d", "n", "root"))
+        block, cross = t["block"].to_numpy(), t["i"][0].as_py() != t["j"][0].as_py()
+        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(len(d), POSITIONS)
+        a, b = [], []
+        for x in range(len(d) - 1):
+            y = np.flatnonzero((root[x + 1:] != root[x]) & (np.minimum(n[x + 1:], n[x]) * 100 >= np.maximum(
+                n[x + 1:], n[x]) * THRESHOLD) & ((block[x + 1:] != block[x]) if cross else True)) + x + 1
+            if len(y):
+                y = y[(sig[y] == sig[x]).sum(axis=1) >= LEAST_EQUAL]
+                a.append(np.full(len(y), d[x]))
+                b.append(d[y])
+        none = np.empty(0, np.int64)
+        a, b = np.concatenate([none, *a]), np.concatenate([none, *b])
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["p", "d"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
+        bounds = [0, *(np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        if held and any(held[-1][c][0].as_py() != batch.column(c)[0].as_py() for c in ("key", "i", "j")):
+            yield pairs(pa.concat_tables(held))
+            held = []
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            held.append(pa.Table.from_batches([batch.slice(lo, hi - lo)]))
+            if hi < batch.num_rows:
+                yield pairs(pa.concat_tables(held))
+                held = []
+    if held:
+        yield pairs(pa.concat_tables(held))
 
 
 def _labelled(rows: DataFrame, root: DataFrame) -> DataFrame:
     return (rows.join(root, F.col("d") == F.col("node"), "left")
             .withColumn("root", F.coalesce("root", "d")).drop("node"))
-
-
-def _across(pairs: DataFrame, root: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components so far."""
-    other = root.select(F.col("node").alias("pn"), F.col("root").alias("pr"))
-    return (_labelled(pairs, root).join(other, F.col("p") == F.col("pn"), "left")
-            .where(F.coalesce("pr", "p") != F.col("root")).select("p", "d"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laborlens.catalog import roles_sql as R
@@ -17,6 +17,7 @@ from laborlens.catalog import sqlgen as S
 from laborlens.catalog.registry import register
 from laborlens.functions import dictionaries as D
 from laborlens.plans import gold, silver
+from laborlens.session import materialise
 from laborlens.sources import tables
 
 NEWS_AS_OF = "2024-02-10 00:00:00"   # 30-day window starts 2024-01-11 (the events span January)
@@ -56,8 +57,10 @@ def silver_register(spark, sf_dir) -> DataFrame:
 
 
 def gold_company(spark, sf_dir, with_titles=True) -> DataFrame:
-    recent = silver.recent_jobs(silver_jobs(spark, sf_dir), ts(JOBS_AS_OF), RECENT_DAYS)
-    return gold.company(recent, silver_news(spark, sf_dir), silver_register(spark, sf_dir),
+    """Company table; each silver table is written once and read by all its consumers."""
+    recent = silver.recent_jobs(materialise(silver_jobs(spark, sf_dir), "silver-jobs"), ts(JOBS_AS_OF), RECENT_DAYS)
+    return gold.company(recent, materialise(silver_news(spark, sf_dir), "silver-news"),
+                        materialise(silver_register(spark, sf_dir), "silver-register"),
                         it_sector=dic().it_sector, sectors=dic().sectors, with_titles=with_titles)
 
 
@@ -146,8 +149,9 @@ def q_gold_company(spark, sf_dir):
     return _company_out(gold_company(spark, sf_dir))
 
 
-def city_rollup(spark, sf_dir) -> DataFrame:
-    g = gold.city(gold_company(spark, sf_dir, with_titles=False), dic().it_sector)
+def city_rollup(spark, sf_dir, companies: DataFrame | None = None) -> DataFrame:
+    companies = gold_company(spark, sf_dir, with_titles=False) if companies is None else companies
+    g = gold.city(companies, dic().it_sector)
     coords = [(c, lat, lng) for c, lat, lng in D.CITY_COORDS]
     lat = F.lit(D.DEFAULT_COORDS[0])
     lng = F.lit(D.DEFAULT_COORDS[1])
@@ -265,14 +269,18 @@ def q_jobs_left_news(spark, sf_dir):
                     "hiring_articles", "sector", "cin", "company_status")
 
 
-LEADERBOARD_K = 5
+BOARDS = {"hiring": "total_hiring", "sentiment": "avg_sentiment"}
 
 
 @register("city_leaderboard", sql=lambda: f"""
-SELECT 'hiring' AS board, city, total_hiring AS total_hiring, avg_sentiment FROM ({sql_city_rollup()})
-ORDER BY total_hiring DESC, city LIMIT {LEADERBOARD_K}""", ops="V5")
+WITH c AS MATERIALIZED ({sql_city_rollup()})
+SELECT 'hiring' AS board, row_number() OVER (ORDER BY total_hiring DESC, city) AS place, city, total_hiring, avg_sentiment FROM c
+UNION ALL
+SELECT 'sentiment', row_number() OVER (ORDER BY avg_sentiment DESC, city), city, total_hiring, avg_sentiment FROM c""", ops="V5 T1")
 def q_city_leaderboard(spark, sf_dir):
-    """V5: the top-k cities by total hiring (the limit is the report)."""
-    c = city_rollup(spark, sf_dir)
-    return (c.orderBy(F.desc("total_hiring"), F.asc("city")).limit(LEADERBOARD_K)
-            .select(F.lit("hiring").alias("board"), "city", "total_hiring", "avg_sentiment"))
+    """V5: every city's place by total hiring and by mean sentiment (one row per city meets in the windows)."""
+    c = materialise(city_rollup(spark, sf_dir), "cities")
+    boards = [c.select(F.lit(board).alias("board"),
+                       F.row_number().over(Window.orderBy(F.desc(by), "city")).cast("bigint").alias("place"),
+                       "city", "total_hiring", "avg_sentiment") for board, by in BOARDS.items()]
+    return boards[0].unionByName(boards[1])

@@ -11,8 +11,9 @@ from laborlens.catalog.registry import register
 from laborlens.functions import dictionaries as D
 from laborlens.functions.text import first_int, first_nonempty, strip_ws, title_case
 from laborlens.operators import history as H
-from laborlens.operators.html import header_records, table_rows
+from laborlens.operators.html import header_records
 from laborlens.operators.payroll import split_by_city
+from laborlens.session import materialise
 from laborlens.sources import tables
 
 SNAPSHOT_DATE = "2024-01-30"
@@ -32,7 +33,7 @@ def prior_and_snapshot(spark, sf_dir):
     """Prior state: daily per-key entries from API-sourced news (earlier runs).
     Snapshot: per-key totals over all news, dated the last news day (a later
     run of that day, so it replaces that day's entry)."""
-    news = silver_news(spark, sf_dir)
+    news = materialise(silver_news(spark, sf_dir), "silver-news")
     prior = _daily(news, F.col("source") == "api")
     hc = F.coalesce("headcount", F.lit(0))
     snap = (news.groupBy(F.col("company_norm").alias("company"), "city")
@@ -89,10 +90,10 @@ def q_company_trend(spark, sf_dir):
                           "last_date", "n_points", "is_new")
 
 
-def companies_all(spark, sf_dir):
+def companies_all(spark, sf_dir, companies=None):
     """K6 + V3: served company records, with trend and is_new against the news-derived prior
     state; names and cities must be non-empty (B8); new first, then by hiring."""
-    g = gold_company(spark, sf_dir)
+    g = materialise(gold_company(spark, sf_dir), "gold-company") if companies is None else companies
     prior, _ = prior_and_snapshot(spark, sf_dir)
     as_of = F.to_date(F.lit(SNAPSHOT_DATE))
     snap = H.snapshot_rows(g.withColumnRenamed("company_norm", "company"), as_of,
@@ -150,8 +151,8 @@ def payroll_portal_html(spark, sf_dir):
     c = tables.read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = tables.read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = tables.read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    agg = (o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
-           .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+    agg = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+           .join(r, F.col("n_regionkey") == r.r_regionkey)
            .groupBy("r_regionkey", "r_name", F.date_format("o_orderdate", "yyyy-MM").alias("ym"))
            .agg(F.count(F.lit(1)).alias("n")))
     row = F.format_string("<tr><td>%s</td><td>%s</td><td>%s</td></tr>", F.lower("r_name"), F.col("ym"),
@@ -167,7 +168,7 @@ def payroll_portal_html(spark, sf_dir):
 def payroll_records(spark, sf_dir):
     """T4: API records and portal-table records (both raw maps) in one relation."""
     api = tables.payroll_api_raw(spark, sf_dir).select(F.lit("payroll_api").alias("origin"), "rec")
-    portal = header_records(table_rows(payroll_portal_html(spark, sf_dir), "html", ["page_id"]), ["page_id"])
+    portal = header_records(payroll_portal_html(spark, sf_dir), "html", ["page_id"])
     return api.unionByName(portal.select(F.lit("payroll_portal").alias("origin"), "rec"))
 
 
@@ -182,7 +183,7 @@ def payroll_by_city(spark, sf_dir):
             .where((F.col("state") != "") & F.col("value").isNotNull()))
     fixed = spark.createDataFrame(list(D.STATE_CITIES), "state string, cities array<string>")
     cities = tables.region_cities(spark, sf_dir).unionByName(fixed)
-    split = split_by_city(norm, F.broadcast(cities))
+    split = split_by_city(norm, cities)
     return split.select("origin", "state", "city", F.lit("new_subscribers").alias("metric"),
                         F.col("city_value").alias("value"), "month", F.col("value").alias("raw_state_val"),
                         F.col("_pos").cast("bigint").alias("city_rank"))

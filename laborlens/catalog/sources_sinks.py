@@ -19,10 +19,9 @@ from laborlens.catalog.registry import register
 from laborlens.functions import text as X
 from laborlens.functions.dates import parse_published
 from laborlens.operators.html import LD_JSON_RE, link_cards, page_postings, table_rows
-from laborlens.operators.numbering import chunk_records
-from laborlens.session import scratch_path
+from laborlens.session import materialise, scratch_path
 from laborlens.sinks import documents as K
-from laborlens.sinks.landing import land_envelopes, write_table
+from laborlens.sinks.landing import land_chunked, land_envelopes, write_table
 from laborlens.sources import bronze, tables
 
 RUN_TS = "20240131T060000Z"
@@ -94,7 +93,11 @@ def q_register_chunks(spark, sf_dir):
     s = tables.read(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("ordinal"))
     c = tables.read(spark, sf_dir, "customer").select(F.col("c_name").alias("name"),
                                                       (F.lit(1000000000000) + F.col("c_custkey")).alias("ordinal"))
-    return chunk_records(s.unionByName(c), "ordinal").select("name", "chunk", "record_count")
+    root = scratch_path(spark, "register-chunks")
+    land_chunked(s.unionByName(c), root, "register", "ordinal", RUN_TS, BATCH_TS)
+    back = spark.read.schema("chunk_index int, record_count long, records array<struct<name:string,ordinal:long>>").option(
+        "recursiveFileLookup", "true").json(root)
+    return back.select(F.explode("records.name").alias("name"), F.col("chunk_index").alias("chunk"), "record_count")
 
 
 RSS_SCHEMA = T.StructType([T.StructField("title", T.StringType()), T.StructField("link", T.StringType()),
@@ -103,7 +106,7 @@ RSS_SCHEMA = T.StructType([T.StructField("title", T.StringType()), T.StructField
 
 @register("rss_items_roundtrip", sql=f"""
 SELECT url AS link, title, strftime({S.parse_published('published_at')}, '%Y-%m-%d %H:%M:%S') AS published,
-       {S.strip_html("'<p>' || description || '</p>'")} AS description,
+       {S.strip_html("'<p>' || description || '</p>'", 500)} AS description,
        {S.classify_signal('title', S.strip_html("'<p>' || description || '</p>'"))} AS signal_type,
        {S.extract_headcount("title || ' ' || " + S.strip_html("'<p>' || description || '</p>'"))} AS headcount,
        {S.extract_city("title || ' ' || " + S.strip_html("'<p>' || description || '</p>'"))} AS city
@@ -118,7 +121,7 @@ def q_rss_roundtrip(spark, sf_dir):
     desc = X.strip_html("description")
     full = F.concat(F.col("title"), F.lit(" "), desc)
     return back.select("link", "title", F.date_format(parse_published("pubDate"), "yyyy-MM-dd HH:mm:ss").alias("published"),
-                       desc.alias("description"), X.classify_signal("title", desc).alias("signal_type"),
+                       X.strip_html("description", 500).alias("description"), X.classify_signal("title", desc).alias("signal_type"),
                        X.extract_headcount(full).alias("headcount"), X.extract_city(full).alias("city"))
 
 
@@ -176,7 +179,7 @@ def q_jsonld(spark, sf_dir):
 def _tracker_pages(spark, sf_dir):
     s = tables.read(spark, sf_dir, "supplier")
     n = tables.read(spark, sf_dir, "nation")
-    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
+    j = s.join(n, s.s_nationkey == n.n_nationkey)
     loc = (F.when(F.col("n_regionkey") == 2, F.concat(F.initcap("n_name"), F.lit(", India")))
            .when(F.col("n_regionkey") == 1, F.lit("Pune, MH")).otherwise(F.col("n_name")))
     cells = [F.col("s_name"), F.format_number(F.floor(F.abs("s_acctbal")), 0), F.lit("2024-01-15"), F.lit("Retail"), loc]
@@ -248,41 +251,85 @@ def q_city_doc(spark, sf_dir):
 
 
 @register("city_company_pages", sql=lambda: f"""
-SELECT city_slug, 0 AS page, count(*) AS n_companies, array_to_string(list(company_norm ORDER BY company_norm), ',') AS companies
-FROM (SELECT {S.q('')} || translate(lower(CASE WHEN city IS NULL OR city = '' THEN 'Unknown' ELSE city END), ' /', '__') AS city_slug,
-             company_norm FROM ({sql_gold_company(with_titles=False)}))
-GROUP BY city_slug""", ops="K5 G8 X11")
+SELECT city_slug, company_norm, sector, company_status, CAST(open_positions AS BIGINT) AS open_positions,
+       CAST(total_layoffs AS BIGINT) AS total_layoffs
+FROM (SELECT sector, company_status, open_positions, total_layoffs, {S.q('')} || translate(lower(CASE WHEN city IS NULL OR city = '' THEN 'Unknown' ELSE city END), ' /', '__') AS city_slug,
+             company_norm FROM ({sql_gold_company(with_titles=False)}))""", ops="K5 G8 X11 A10")
 def q_city_pages(spark, sf_dir):
-    pages = K.city_company_pages(gold_company(spark, sf_dir, with_titles=False), page_size=5000)
-    return pages.select("city_slug", "page", F.size("companies").cast("bigint").alias("n_companies"),
-                        F.array_join(F.transform("companies", lambda e: e.getField("company_norm")), ",").alias("companies"))
+    """K5: per-city documents written in small pages and read back; the union of a
+    city's pages is its company list."""
+    path = scratch_path(spark, "city-pages")
+    K.write_city_pages(K.city_company_pages(gold_company(spark, sf_dir, with_titles=False), page_size=50), path)
+    return K.read_city_pages(spark, path).select("city_slug", "company_norm", "sector", "company_status",
+                                                 "open_positions", "total_layoffs")
+
+
+@register("companies_document", sql=lambda: f"""
+WITH c AS MATERIALIZED ({_sql_companies()})
+SELECT name, city, sector, status, hiring, layoffs, is_new, (SELECT count(*) FROM c) AS total,
+       (SELECT count(*) FROM c WHERE is_new) AS new_this_run FROM c""", ops="K6 A10 J9")
+def q_companies_document(spark, sf_dir):
+    """K6: the company list with its header (total, new_this_run), written and read back."""
+    from laborlens.catalog.history_ops import companies_all
+    path = scratch_path(spark, "companies-all")
+    K.write_lines_document(companies_all(spark, sf_dir), path, RUN_TS, "2024-01-31", new_flag="is_new")
+    return K.read_lines_document(spark, path, "name string, city string, sector string, status string, hiring long, "
+                                              "layoffs long, is_new boolean")
+
+
+@register("sector_document", sql=lambda: f"""
+WITH s AS MATERIALIZED (SELECT sector, CAST(sum(open_positions) AS BIGINT) AS total_hiring,
+  CAST(sum(total_layoffs) AS BIGINT) AS total_layoffs, count(company_norm) AS total_companies
+  FROM ({sql_gold_company(with_titles=False)}) GROUP BY sector)
+SELECT sector, total_hiring, total_layoffs, total_companies, (SELECT count(*) FROM s) AS total FROM s""", ops="K7 A10 G7")
+def q_sector_document(spark, sf_dir):
+    """K7: the sector document with its header, written and read back."""
+    from laborlens.plans import gold
+    path = scratch_path(spark, "sectors")
+    K.write_lines_document(gold.sector(gold_company(spark, sf_dir, with_titles=False)), path, RUN_TS, "2024-01-31")
+    return K.read_lines_document(spark, path, "sector string, total_hiring long, total_layoffs long, "
+                                              "total_companies long").drop("new_this_run")
+
+
+def _sql_companies() -> str:
+    from laborlens.catalog.history_ops import _sql_companies_all
+    return _sql_companies_all()
 
 
 def _sql_run_meta():
     from laborlens.catalog.history_ops import _sql_companies_all
-    c = _sql_companies_all()
     return f"""
+WITH c AS MATERIALIZED ({_sql_companies_all()}), r AS MATERIALIZED ({sql_city_rollup()})
 SELECT '2024-01-31' AS updated_at, '{RUN_TS}' AS run_ts,
-       (SELECT count(*) FROM ({c})) AS total_companies,
-       (SELECT count(DISTINCT name) FROM ({c})) AS unique_companies,
-       (SELECT count(*) FROM ({c}) WHERE is_new) AS new_companies,
-       (SELECT count(*) FROM ({sql_city_rollup()})) AS total_districts,
+       (SELECT count(*) FROM c) AS total_companies,
+       (SELECT count(DISTINCT name) FROM c) AS unique_companies,
+       (SELECT count(*) FROM c WHERE is_new) AS new_companies,
+       (SELECT count(*) FROM r) AS total_districts,
        '{K.PIPELINE_VERSION}' AS pipeline_version, '{K.ENGINE}' AS engine"""
 
 
 @register("run_meta", sql=_sql_run_meta, ops="K8 G9 J9")
 def q_run_meta(spark, sf_dir):
     from laborlens.catalog.history_ops import companies_all
-    return K.run_meta(companies_all(spark, sf_dir), city_rollup(spark, sf_dir), RUN_TS, "2024-01-31",
+    g = materialise(gold_company(spark, sf_dir), "gold-company")
+    return K.run_meta(companies_all(spark, sf_dir, g), city_rollup(spark, sf_dir, g), RUN_TS, "2024-01-31",
                       new_flag="is_new", name_col="name")
 
 
-@register("landed_file_listing", sql=None, ops="A11")
+@register("landed_file_listing", sql=f"""
+SELECT 'source=' || source AS source_dir, 'city=' || city_key AS city_dir, count(*) AS records, true AS has_bytes
+FROM ({R.JOBS}) GROUP BY 1, 2""", ops="A11")
 def q_file_listing(spark, sf_dir):
     root = scratch_path(spark, "listing")
     _land_jobs(spark, sf_dir, root)
-    files = bronze.list_files(spark, root)
-    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("total_bytes"))
+    parts = [F.regexp_extract("path", f"({k}=[^/]+)", 1).alias(f"{k}_dir") for k in ("source", "city")]
+    files = bronze.list_files(spark, root).select("*", *parts).groupBy("source_dir", "city_dir").agg(
+        (F.sum("length") > 0).alias("has_bytes"))
+    read = [bronze.read_envelopes(spark, f"{root}/source={b}", schemas.JOB, multiline=False) for b in ("board_a", "board_b")]
+    counts = (read[0].unionByName(read[1]).groupBy(F.concat(F.lit("source="), "_source").alias("source_dir"),
+                                                   F.concat(F.lit("city="), "_city").alias("city_dir"))
+              .agg(F.sum(F.size("jobs")).cast("bigint").alias("records")))
+    return files.join(counts, ["source_dir", "city_dir"], "full")
 
 
 def _ld_pages(spark, sf_dir):

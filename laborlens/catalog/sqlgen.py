@@ -7,7 +7,7 @@ from the same dictionaries, so the two sides cannot drift apart.
 from __future__ import annotations
 
 from laborlens.functions import dictionaries as D
-from laborlens.functions.similarity import MAX_CANON_LEN, char_masks, py_token_sort
+from laborlens.functions.similarity import char_masks, py_token_sort
 
 
 def q(s: str) -> str:
@@ -94,8 +94,9 @@ def extract_city(text: str, cities=D.MENTION_CITIES) -> str:
     return f"CASE WHEN {hit} = '' THEN '' ELSE {title_case(hit)} END"
 
 
-def strip_html(x: str, limit: int = 500) -> str:
-    return f"substring({strip_ws(f'regexp_replace({x}, ' + q('<[^>]+>') + ', ' + q(' ') + ', ' + q('g') + ')')}, 1, {limit})"
+def strip_html(x: str, limit: int | None = None) -> str:
+    text = strip_ws(f"regexp_replace({x}, {q('<[^>]+>')}, {q(' ')}, {q('g')})")
+    return text if limit is None else f"substring({text}, 1, {limit})"
 
 
 def without_commas(x: str) -> str:
@@ -111,7 +112,7 @@ def token_sort(x: str) -> str:
 
 
 def lcs_length(a: str, b: str) -> str:
-    if len(b) > MAX_CANON_LEN:
+    if len(b) > 62:  # one 64-bit word; the registered dictionaries' names are shorter
         raise ValueError(b)
     if not b:
         return "0"

@@ -20,7 +20,7 @@ from laborlens.sources import tables
 
 
 def _t(spark, sf_dir, name):
-    """A whole input table (spread over the cores for the per-row text work)."""
+    """A whole input table."""
     return tables.read(spark, sf_dir, name)
 
 
@@ -92,13 +92,12 @@ def q_document_extract(spark, sf_dir):
 
 
 @register("page_text", sql=lambda: f"""
-SELECT page_id, {S.strip_html('html')} AS description, length({S.strip_html('html')}) AS n_chars,
+SELECT page_id, {S.strip_html('html', 500)} AS description, length({S.strip_html('html')}) AS n_chars,
        string_split(url, '/')[3] AS host
 FROM pages""", ops="X9 X14")
 def q_page_text(spark, sf_dir):
     p = _t(spark, sf_dir, "pages")
-    desc = X.strip_html("html")
-    return p.select("page_id", desc.alias("description"), F.length(desc).cast("bigint").alias("n_chars"),
+    return p.select("page_id", X.strip_html("html", 500).alias("description"), F.length(X.strip_html("html")).cast("bigint").alias("n_chars"),
                     X.url_host("url").alias("host"))
 
 
@@ -173,7 +172,7 @@ FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""", ops="X13 X10"
 def q_tracker_headline(spark, sf_dir):
     s = _t(spark, sf_dir, "supplier")
     n = _t(spark, sf_dir, "nation")
-    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
+    j = s.join(n, s.s_nationkey == n.n_nationkey)
     raw = F.format_number(F.floor("s_acctbal"), 0)
     return j.select("s_suppkey", X.layoff_headline("s_name", raw).alias("title"),
                     X.tracker_description("s_name", F.lit("Supplier"), "n_name").alias("description"),

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 RELATIVE_PATTERN = r"(?i)(\d+)\s*(day|hour|week|month)"
 ISO_Z_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 RFC822_FORMAT = "dd MMM yyyy HH:mm:ss zzz"  # after the "Www, " weekday prefix is dropped
+ISO_START = r"^\d{4}-\d{2}-\d{2}($|[T ])"
+US_DATE_FORMAT = "M/d/yyyy"
 RFC822_OFFSET_FORMAT = "dd MMM yyyy HH:mm:ss Z"  # numeric offsets such as +0530
 
 
@@ -33,20 +35,24 @@ def relative_date(text: Column | str, as_of: Column) -> Column:
 
 
 def parse_published(col: Column | str) -> Column:
-    """Y2: ISO-8601 "Z" or RFC-822 ("Fri, 05 Jan 2024 10:11:12 GMT", or with a
-    numeric offset such as +0530) -> timestamp;
-    anything else -> null. ``try_to_timestamp`` keeps ANSI mode from raising,
-    and the weekday is cut off because pattern letter E is not parseable."""
-    s = _c(col)
-    rfc_body = F.when(s.rlike(r"^[A-Za-z]{3}, "), F.substring(s, 6, 1000))
+    """Y2: ISO-8601 (a date alone, or with a time, a fraction, "Z" or an offset),
+    RFC-822 ("Fri, 05 Jan 2024 10:11:12 GMT", or with a numeric offset such as
+    +0530), or month/day/year -> timestamp; anything else -> null. The ``try_``
+    forms keep ANSI mode from raising; the weekday is cut off because pattern
+    letter E is not parseable."""
+    s = F.trim(_c(col))
+    rfc_body = F.when(s.rlike(r"^[A-Za-z]{3}, "), F.regexp_replace(s, r"^[A-Za-z]{3}, ", ""))
     return F.coalesce(F.try_to_timestamp(s, F.lit(ISO_Z_FORMAT)),
+                      F.when(s.rlike(ISO_START), s.try_cast("timestamp")),
                       F.try_to_timestamp(rfc_body, F.lit(RFC822_FORMAT)),
-                      F.try_to_timestamp(rfc_body, F.lit(RFC822_OFFSET_FORMAT)))
+                      F.try_to_timestamp(rfc_body, F.lit(RFC822_OFFSET_FORMAT)),
+                      F.try_to_timestamp(s, F.lit(US_DATE_FORMAT)))
 
 
 def parse_iso_date(col: Column | str) -> Column:
-    """Y2 for job postings: "yyyy-MM-dd" -> date, else null."""
-    return F.try_to_date(_c(col), "yyyy-MM-dd")
+    """Y2 for job postings: the date of any form that ``parse_published`` reads, else null."""
+    s = _c(col)
+    return F.coalesce(F.try_to_date(s, "yyyy-MM-dd"), F.to_date(parse_published(s)))
 
 
 def cutoff_date(as_of: Column, days: int = 30) -> Column:

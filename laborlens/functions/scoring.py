@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from laborlens.functions import dictionaries as D
-from laborlens.functions.text import classify_sector
+from laborlens.functions.text import classify_sector, safe_int
 
 
 def _c(col):
@@ -25,8 +25,9 @@ def _tenths(x: float) -> int:
 
 def signal_score_tenths(signal_type: Column | str, headcount: Column | str) -> Column:
     """Y4 in tenths: +-10 / 8 / 6 / 4 by headcount band (> 5000 / > 1000 / > 100 /
-    else) for hiring / layoff, 0 otherwise; a null headcount counts as 0."""
-    t, hc = _c(signal_type), F.coalesce(_c(headcount).cast("bigint"), F.lit(0))
+    else) for hiring / layoff, 0 otherwise; a headcount may be a number or text
+    ("1,200", "5000.0"), anything else counts as 0."""
+    t, hc = _c(signal_type), safe_int(headcount)
     mag = None
     for bound, value in D.SCORE_BANDS:
         v = F.lit(_tenths(value))

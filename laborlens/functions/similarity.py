@@ -2,7 +2,7 @@
 
 ratio(a, b) = 200 * LCS(a, b) / (len a + len b) on whitespace-token-sorted
 strings. LCS against a *known* canonical string ``b`` is computed with the
-bit-parallel recurrence (one 64-bit word holds the DP row of ``b``):
+bit-parallel recurrence (64-bit words hold the DP row of ``b``):
 
     V <- all ones over len(b) bits
     for each character c of a:  U = V & M[c];  V = ((V + U) | (V - U)) & full
@@ -11,8 +11,9 @@ bit-parallel recurrence (one 64-bit word holds the DP row of ``b``):
 where ``M[c]`` is the bitmask of positions of ``c`` in ``b``. ``M`` is a
 literal map built on the driver from the canonical list (bounded by the
 dictionary, not the data), so each comparison is one ``aggregate`` over the
-characters of ``a`` with a scalar accumulator. Canonical names longer than 62
-characters are rejected up front (the word must not overflow).
+characters of ``a`` with a scalar accumulator. Canonical names beyond one word
+take the plain dynamic programme natively, and several words with carry in the
+vectorised kernel.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from laborlens.functions import dictionaries as D
 from laborlens.functions.text import strip_ws, title_case
 
-MAX_CANON_LEN = 62
+WORD = 62  # characters of a canonical name whose DP row fits one signed 64-bit word
 
 
 def token_sort(col: Column) -> Column:
@@ -47,10 +48,10 @@ def char_masks(b: str) -> dict[str, int]:
 
 def lcs_length(a: Column, b: str) -> Column:
     """LCS length between column ``a`` and the literal ``b`` (bit-parallel)."""
-    if len(b) > MAX_CANON_LEN:
-        raise ValueError(f"canonical name longer than {MAX_CANON_LEN} chars: {b!r}")
     if not b:
         return F.lit(0)
+    if len(b) > WORD:
+        return _lcs_rows(a, b)
     full = (1 << len(b)) - 1
     masks = char_masks(b)
     mask_map = F.create_map(*[x for ch, m in masks.items() for x in (F.lit(ch), F.lit(m).cast("bigint"))])
@@ -64,6 +65,19 @@ def lcs_length(a: Column, b: str) -> Column:
     return F.lit(len(b)) - F.bit_count(F.aggregate(F.split(a, ""), full_c, step))
 
 
+def _lcs_rows(a: Column, b: str) -> Column:
+    """The textbook recurrence, one row of ``len(b) + 1`` counts per character of ``a``."""
+    chars = F.array(*[F.lit(c) for c in b])
+    at = F.sequence(F.lit(1), F.lit(len(b)))
+
+    def row(prev, c):
+        return F.aggregate(at, F.array(F.lit(0)), lambda acc, j: F.concat(acc, F.array(
+            F.when(F.element_at(chars, j) == c, F.element_at(prev, j) + 1)
+            .otherwise(F.greatest(F.element_at(prev, j + 1), F.element_at(acc, j))))))
+
+    return F.element_at(F.aggregate(F.split(a, ""), F.array_repeat(F.lit(0), len(b) + 1), row), -1)
+
+
 def score_array(sorted_name: Column, canonical: Sequence[str], cutoff: float = D.COMPANY_MATCH_CUTOFF) -> Column:
     """Array of ratios of ``sorted_name`` (already token-sorted) against each
     canonical entry, -1 where it provably cannot reach ``cutoff``.
@@ -130,9 +144,14 @@ def best_match_batch(sorted_names, canonical: Sequence[str], cutoff: float):
     ratio if that ratio is >= cutoff, else None."""
     import numpy as np
 
-    names = [s if isinstance(s, str) else "" for s in sorted_names]
+    out = np.full(len(sorted_names), None, dtype=object)
+    sorted_canon = [py_token_sort(c) for c in canonical]
+    # a name this much longer than every canonical one can't reach the cutoff:
+    # set aside, so the character matrix is as wide as the dictionary allows
+    widest = max(map(len, sorted_canon), default=0) * (200 / cutoff - 1) + 1
+    at = [i for i, s in enumerate(sorted_names) if isinstance(s, str) and len(s) <= widest]
+    names = [sorted_names[i] for i in at]
     n = len(names)
-    out = np.full(n, None, dtype=object)
     if n == 0:
         return out
     arr = np.array(names, dtype=str)
@@ -141,8 +160,7 @@ def best_match_batch(sorted_names, canonical: Sequence[str], cutoff: float):
     la = np.char.str_len(arr).astype(np.int64)
     best = np.full(n, -1.0)
     best_idx = np.full(n, -1, dtype=np.int64)
-    for j, canon in enumerate(canonical):
-        b = py_token_sort(canon)
+    for j, b in enumerate(sorted_canon):
         lb = len(b)
         total = la + lb
         reach = (200 * np.minimum(la, lb) >= cutoff * total) & (total > 0)
@@ -151,24 +169,33 @@ def best_match_batch(sorted_names, canonical: Sequence[str], cutoff: float):
         rows = np.nonzero(reach)[0]
         masks = char_masks(b)
         keys = np.array(sorted(ord(ch) for ch in masks), dtype=np.uint32)
-        vals = np.array([masks[chr(k)] for k in keys], dtype=np.uint64)
-        full = np.uint64((1 << lb) - 1)
-        v = np.full(len(rows), full, dtype=np.uint64)
+        words = -(-lb // 64)
+        cut = (1 << 64) - 1
+        vals = [np.array([masks[chr(k)] >> (64 * w) & cut for k in keys], dtype=np.uint64) for w in range(words)]
+        full = [np.uint64(((1 << lb) - 1) >> (64 * w) & cut) for w in range(words)]
+        v = [np.full(len(rows), f, dtype=np.uint64) for f in full]
         sub = codes[rows]
         for i in range(int(la[rows].max())):
             c = sub[:, i]
             pos = np.minimum(np.searchsorted(keys, c), len(keys) - 1)
-            m = np.where(keys[pos] == c, vals[pos], np.uint64(0))
-            u = v & m
-            v = ((v + u) | (v - u)) & full
-        lcs = lb - np.bitwise_count(v).astype(np.int64)
+            hit = keys[pos] == c
+            carry = np.zeros(len(rows), dtype=np.uint64)
+            for w in range(words):
+                u = v[w] & np.where(hit, vals[w][pos], np.uint64(0))
+                low = v[w] + u
+                over = (low < u).astype(np.uint64)
+                low += carry
+                over |= (low < carry).astype(np.uint64)
+                # v - u never borrows: u is a part of v
+                v[w], carry = (low | (v[w] - u)) & full[w], over
+        lcs = lb - sum(np.bitwise_count(x).astype(np.int64) for x in v)
         score = np.where(arr[rows] == b, 100.0, (200.0 * lcs) / total[rows])
         better = score > best[rows]
         best[rows[better]] = score[better]
         best_idx[rows[better]] = j
     hit = best >= cutoff
     canon_arr = np.array(list(canonical), dtype=object)
-    out[hit] = canon_arr[best_idx[hit]]
+    out[np.array(at)[hit]] = canon_arr[best_idx[hit]]
     return out
 
 
@@ -194,7 +221,4 @@ def best_match_udf(canonical: Sequence[str], cutoff: float):
     def _best(sorted_names: pd.Series) -> pd.Series:
         return pd.Series(best_match_batch(sorted_names.tolist(), canon, cutoff), index=sorted_names.index)
 
-    # Deterministic in fact; declared otherwise so that Catalyst evaluates it
-    # exactly where it is written (on the spread distinct names) instead of
-    # pushing predicates over its result down into single-split scans.
-    return _best.asNondeterministic()
+    return _best

@@ -52,24 +52,10 @@ def first_contained(text: Column, pairs: Sequence[tuple[str, str]], default: Col
     return out.otherwise(default) if default is not None else out
 
 
-_CITY_EXPRS: dict[tuple, Column] = {}
-
-
 def normalise_city(raw: Column | str, aliases: Sequence[tuple[str, str]] = D.CITY_ALIASES) -> Column:
     """First alias (in list order) contained in the lower-trimmed text,
-    else the trimmed text in title case; null/empty -> "".
-    For a column given by name the (large) expression is built once."""
-    if isinstance(raw, str):
-        from pyspark import SparkContext
-        sc = SparkContext._active_spark_context
-        key = (raw, tuple(aliases), sc.applicationId if sc else None)
-        if key not in _CITY_EXPRS:
-            _CITY_EXPRS[key] = _normalise_city(F.col(raw), aliases)
-        return _CITY_EXPRS[key]
-    return _normalise_city(raw, aliases)
-
-
-def _normalise_city(raw: Column, aliases: Sequence[tuple[str, str]]) -> Column:
+    else the trimmed text in title case; null/empty -> ""."""
+    raw = _c(raw)
     key = F.lower(strip_ws(raw))
     return (F.when(raw.isNull() | (raw == ""), F.lit(""))
             .otherwise(first_contained(key, aliases, title_case(strip_ws(raw)))))
@@ -171,9 +157,29 @@ def extract_city(text: Column | str, cities=D.MENTION_CITIES) -> Column:
     return F.when(hit == "", F.lit("")).otherwise(title_case(hit))
 
 
-def strip_html(col: Column | str, limit: int = 500) -> Column:
-    """Tags -> spaces, trimmed, first ``limit`` characters."""
-    return F.substring(strip_ws(F.regexp_replace(_c(col), "<[^>]+>", " ")), 1, limit)
+def strip_html(col: Column | str, limit: int | None = None) -> Column:
+    """Tags -> spaces, trimmed; ``limit`` cuts the served form of a long
+    description (extractors take the whole text)."""
+    text = strip_ws(F.regexp_replace(_c(col), "<[^>]+>", " "))
+    return text if limit is None else F.substring(text, 1, limit)
+
+
+def parse_count(col: Column | str) -> Column:
+    """A count sent as a number or as text ("1,200", "5000.0"): commas dropped, read
+    as a double, cut to a whole number; null for anything else (NaN too)."""
+    d = F.regexp_replace(strip_ws(_c(col).cast("string")), ",", "").try_cast("double")
+    return F.when(~F.isnan(d), d).try_cast("bigint")
+
+
+def safe_int(col: Column | str, default: int = 0) -> Column:
+    """``parse_count`` with a default for null, NaN and text."""
+    return F.coalesce(parse_count(col), F.lit(default).cast("bigint"))
+
+
+def safe_float(col: Column | str, default: float = 0.0) -> Column:
+    """The value as a double; null, NaN and text become ``default``."""
+    d = F.regexp_replace(strip_ws(_c(col).cast("string")), ",", "").try_cast("double")
+    return F.coalesce(F.when(~F.isnan(d), d), F.lit(float(default)))
 
 
 def digits_only(col: Column | str) -> Column:

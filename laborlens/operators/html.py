@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+TABLE_RE = r"(?s)<table[^>]*>(.*?)</table>"
 ROW_RE = r"(?s)<tr[^>]*>(.*?)</tr>"
 CELL_RE = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
 LD_JSON_RE = r'(?s)<script type="application/ld\+json">(.*?)</script>'
@@ -21,25 +22,32 @@ def cell_text(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, "<[^>]+>", ""), r"^\s+|\s+$", "")
 
 
+def row_cells(markup: Column) -> Column:
+    """Cells of every ``<tr>`` as array<array<string>>; rows without cells dropped."""
+    rows = F.regexp_extract_all(markup, F.lit(ROW_RE), 1)
+    cells = F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(CELL_RE), 1), cell_text))
+    return F.filter(cells, lambda c: F.size(c) > 0)
+
+
 def table_rows(df: DataFrame, html: str, keep: list[str]) -> DataFrame:
-    """Every ``<tr>`` of every table as (row_idx, cells array); empty rows dropped."""
-    rows = F.regexp_extract_all(F.col(html), F.lit(ROW_RE), 1)
-    out = df.select(*keep, F.posexplode(rows).alias("row_idx", "_tr"))
-    cells = F.transform(F.regexp_extract_all(F.col("_tr"), F.lit(CELL_RE), 1), cell_text)
-    return out.select(*keep, "row_idx", cells.alias("cells")).where(F.size("cells") > 0)
-
-
-def header_records(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """A8 + Y9: the first non-empty row of each document is the header
-    (lower-cased, spaces -> "_"); later rows with the same number of cells
-    become ``map(header -> cell)``. The header is found by a per-document
-    min over row_idx (partial aggregate), not by a window."""
-    hdr = (rows.groupBy(*keys).agg(F.min(F.struct("row_idx", "cells")).alias("_h"))
-           .select(*keys, F.col("_h.row_idx").alias("_hidx"),
-                   F.transform("_h.cells", lambda c: F.regexp_replace(F.lower(c), " ", "_")).alias("header")))
-    j = rows.join(hdr, keys)
-    return (j.where((F.col("row_idx") > F.col("_hidx")) & (F.size("cells") == F.size("header")))
-            .select(*keys, "row_idx", F.map_from_arrays("header", "cells").alias("rec")))
+    """Every non-empty row of every table as (row_idx, cells array)."""
+    return df.select(*keep, F.posexplode(row_cells(F.col(html))).alias("row_idx", "cells"))
+
+
+def header_records(df: DataFrame, html: str, keep: list[str]) -> DataFrame:
+    """A8 + Y9: per table the first non-empty row is the header (lower-cased,
+    spaces -> "_"); its later rows with as many cells become ``map(header -> cell)``.
+    Tables are taken apart inside the row, so page content is never shuffled.
+    A header that repeats a name keeps the last cell of that name."""
+    tables = F.regexp_extract_all(F.col(html), F.lit(TABLE_RE), 1)
+    out = df.select(*keep, F.posexplode(tables).alias("table_idx", "_table"))
+    out = out.select(*keep, "table_idx", row_cells(F.col("_table")).alias("_rows"))
+    header = F.transform(F.get("_rows", F.lit(0)), lambda c: F.regexp_replace(F.lower(c), " ", "_"))
+    out = out.select(*keep, "table_idx", header.alias("_header"), F.posexplode("_rows").alias("row_idx", "_cells"))
+    out = out.where((F.col("row_idx") > 0) & (F.size("_cells") == F.size("_header")))
+    last = F.filter(F.arrays_zip(F.col("_header").alias("k"), F.col("_cells").alias("v")), lambda e, i: ~F.array_contains(
+        F.slice(F.col("_header"), i + 2, F.size("_header")), e.getField("k")))
+    return out.select(*keep, "table_idx", "row_idx", F.map_from_entries(last).alias("rec"))
 
 
 def ld_json_blocks(html: Column) -> Column:

@@ -1,9 +1,4 @@
-"""Joins against small or derived lookup tables with an explicit size check.
-
-``broadcast`` is applied only after counting the lookup side against a row
-bound; beyond it the join stays a shuffle join (AQE may still convert it at
-runtime, and AQE skew-join splits hot partitions of the large side).
-"""
+"""Per-distinct-value work: expensive scalar steps cost distinct values, not rows."""
 
 from __future__ import annotations
 
@@ -12,63 +7,37 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def maybe_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``small`` with a broadcast hint if it has at most ``max_rows`` rows.
-    Counting runs a job; callers persist ``small`` first when it is costly."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+from laborlens.session import materialise
 
 
 def map_distinct(df: DataFrame, cols: str | Sequence[str], fn: Callable[[DataFrame], DataFrame],
-                 out: str | Sequence[str], max_broadcast_rows: int | None = None) -> DataFrame:
+                 out: str | Sequence[str]) -> DataFrame:
     """Add ``out`` column(s) computed by ``fn`` once per distinct value of ``cols``.
 
     ``fn`` maps a frame whose key columns are renamed ``_k0, _k1, ...`` to one
     that also has the ``out`` columns. Expensive scalar work (the similarity
     match, dictionary chains) then costs distinct values x dictionary instead
     of rows x dictionary. The distinct step aggregates partially on the map
-    side (hot values collapse before the shuffle); the mapping joins back
-    null-safely. By default AQE broadcasts it only when its materialised size
-    is under the runtime threshold (else a shuffle join with skew splitting);
-    ``max_broadcast_rows`` switches to an explicit row-count check.
-    """
+    side (hot values collapse before the shuffle).
+
+    Both the input and the mapping are written to the shared folder and read
+    back: the (possibly deep) input plan runs once although the distinct step
+    and the join both need it, and ``fn`` runs exactly where it stands. The
+    mapping joins back null-safely; the engine broadcasts it only under its own
+    size threshold, else the join is a shuffle join with skew splitting."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     outs = [out] if isinstance(out, str) else list(out)
     keys = [f"_k{i}" for i in range(len(cols))]
+    df = materialise(df, "distinct-input")
     distinct = df.select(*[F.col(c).alias(k) for c, k in zip(cols, keys)]).distinct()
-    # The key set is small in bytes, so AQE would coalesce it into one task;
-    # the per-key work is CPU-heavy, so spread it over every core explicitly.
-    # Hash of a derived expression, not of the keys themselves (the distinct
-    # already satisfies that partitioning, so it would be dropped as
-    # redundant); AQE keeps a user-numbered repartition, and hashing needs no
-    # pre-sort.
-    spread_keys = distinct.repartition(df.sparkSession.sparkContext.defaultParallelism,
-                                       F.xxhash64(*[F.col(k) for k in keys]))
-    mapping = fn(spread_keys).select(*keys, *outs)
-    if max_broadcast_rows is not None:
-        # explicit check: one extra job over the input, then a hinted broadcast
-        mapping = maybe_broadcast(mapping.persist(), max_broadcast_rows)
+    # The keys are few bytes but CPU-heavy: deal them to as many tasks as the
+    # session shuffles to (the cluster's setting follows its data). Hash of a
+    # derived expression: the distinct already satisfies one on the keys.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = distinct.repartition(tasks, F.xxhash64(*[F.col(k) for k in keys]))
+    mapping = materialise(fn(dealt).select(*keys, *outs), "distinct-mapping")
     cond = None
     for c, k in zip(cols, keys):
         e = df[c].eqNullSafe(mapping[k])
         cond = e if cond is None else (cond & e)
     return df.join(mapping, cond, "left").drop(*keys)
-
-
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Spread CPU-heavy per-row work (regex extraction, text scoring, joins
-    fused into the scan stage) over all cores when the input arrives in fewer
-    partitions than that (a small table in one file). Large inputs already have
-    enough splits and pass through untouched, so no shuffle is added at scale.
-
-    Rows are hash-partitioned on ``key`` (default: the first column, the key
-    of every generated table): deterministic on retry, no pre-sort, and the
-    repartition references one column only, so column pruning still reaches
-    the scan below it."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, F.col(key or df.columns[0]))

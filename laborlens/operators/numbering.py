@@ -1,42 +1,31 @@
 """Global row numbers without a single-partition window (K2 chunking).
 
-Range buckets come from ``approxQuantile`` (n_buckets - 1 boundaries); each
-bucket is numbered by a window partitioned by the bucket, and per-bucket
-counts (n_buckets numbers, fetched to the driver: bounded by the parameter,
-not by the data) turn into offsets. No stage puts the whole table in a task.
+Rows are range-partitioned on the order column (the engine samples the bounds;
+as many ranges as the session shuffles to, which follows the data), numbered
+inside their partition, and written with the partition's number; exclusive
+prefix sums over one count per partition turn local into global numbers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from laborlens.session import materialise
 
-def _bucket_of(col: Column, bounds: list[float]) -> Column:
-    bucket = F.lit(len(bounds))
-    for i, b in reversed(list(enumerate(bounds))):
-        bucket = F.when(col <= F.lit(b), F.lit(i)).otherwise(bucket)
-    return bucket
 
-
-def global_row_number(df: DataFrame, order_col: str, out: str = "row_num", n_buckets: int = 64,
-                      rel_err: float = 0.001) -> tuple[DataFrame, int]:
+def global_row_number(df: DataFrame, order_col: str, out: str = "row_num") -> tuple[DataFrame, int]:
     """(df with 1-based ``out`` = position in ascending ``order_col``, total rows).
-    ``order_col`` must be numeric and unique."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted(set(b for b in df.approxQuantile(order_col, probs, rel_err) if b is not None))
-    with_bucket = df.withColumn("_bucket", _bucket_of(F.col(order_col), bounds))
-    counts = dict(with_bucket.groupBy("_bucket").count().collect())
-    offsets, running = {}, 0
-    for b in sorted(counts):
-        offsets[b] = running
-        running += counts[b]
-    offset = F.lit(0).cast("bigint")
-    for b, off in offsets.items():
-        offset = F.when(F.col("_bucket") == b, F.lit(off).cast("bigint")).otherwise(offset)
-    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(order_col))
-    numbered = (with_bucket.withColumn(out, offset + local).drop("_bucket"))
-    return numbered, running
+    ``order_col`` must be orderable and unique."""
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialise(df.repartitionByRange(ranges, order_col).withColumn("_range", F.spark_partition_id()), "numbering")
+    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    bases = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(order_col))
+    numbered = (dealt.withColumn("_local", local).join(bases, "_range")
+                .select(*df.columns, (F.col("_base") + F.col("_local")).alias(out)))
+    return numbered, dealt.count()
 
 
 def chunk_records(df: DataFrame, order_col: str, chunk_size: int = 500) -> DataFrame:

@@ -38,7 +38,7 @@ def run(spark: SparkSession, raw_root: str, out_root: str, as_of: str, run_ts: s
         history_root: str | None = None, dic: silver.Dictionaries | None = None,
         job_sources: Sequence[str] = ("board_a", "board_b"), news_source: str = "news",
         register_source: str = "register", recent_days: int = 0, window_days: int = 30,
-        multiline: bool = False) -> dict[str, DataFrame]:
+        multiline: bool | None = None) -> dict[str, DataFrame]:
     dic = dic or silver.Dictionaries()
     as_of_ts = F.to_timestamp(F.lit(as_of))
     today = as_of[:10]
@@ -74,7 +74,7 @@ def run(spark: SparkSession, raw_root: str, out_root: str, as_of: str, run_ts: s
 
     # history: prior state -> new version; trend and is_new per company x city
     served = g_company.where((F.col("company_norm") != "") & (F.col("city") != ""))
-    prior = latest_state(spark, history_root) if history_root else spark.createDataFrame([], schemas.HISTORY)
+    prior = latest_state(spark, history_root, before=run_ts) if history_root else spark.createDataFrame([], schemas.HISTORY)
     snap = H.snapshot_rows(served.withColumnRenamed("company_norm", "company"), F.to_date(F.lit(today)),
                            hiring="open_positions", layoffs="total_layoffs")
     new_state = H.update_history(prior, snap)
@@ -92,12 +92,12 @@ def run(spark: SparkSession, raw_root: str, out_root: str, as_of: str, run_ts: s
 
     # served documents
     coords = spark.createDataFrame(list(D.CITY_COORDS), "city string, lat double, lng double")  # J4, code-sized
-    located = (g_city.join(F.broadcast(coords), "city", "left")
+    located = (g_city.join(coords, "city", "left")
                .withColumns({"lat": F.coalesce("lat", F.lit(D.DEFAULT_COORDS[0])),
                              "lng": F.coalesce("lng", F.lit(D.DEFAULT_COORDS[1]))}))
-    K.write_city_summary(located, f"{out_root}/india_summary", run_ts, today)
-    companies.write.mode("overwrite").json(f"{out_root}/companies_all")
-    g_sector.write.mode("overwrite").json(f"{out_root}/sectors")
+    K.write_city_summary(located, f"{out_root}/city_summary", run_ts, today)
+    K.write_lines_document(companies, f"{out_root}/companies_all", run_ts, today, new_flag="is_new")
+    K.write_lines_document(g_sector, f"{out_root}/sectors", run_ts, today)
     K.write_city_pages(K.city_company_pages(g_company), f"{out_root}/companies_by_city")
     meta = K.run_meta(companies, g_city, run_ts, today, new_flag="is_new", name_col="name")
     meta.coalesce(1).write.mode("overwrite").json(f"{out_root}/meta")

@@ -16,7 +16,7 @@ from laborlens.functions import dictionaries as D
 from laborlens.functions.dates import cutoff_date, parse_iso_date, parse_published
 from laborlens.functions.scoring import signal_score, signal_score_tenths
 from laborlens.functions.similarity import with_company_norm
-from laborlens.functions.text import (classify_register_sector, first_nonempty, normalise_city, strip_ws,
+from laborlens.functions.text import (classify_register_sector, first_nonempty, normalise_city, parse_count, strip_ws,
                                       title_case)
 from laborlens.operators.dedupe import keep_first, news_url_key
 from laborlens.operators.lookup import map_distinct
@@ -84,7 +84,7 @@ def news(bronze: DataFrame, dic: Dictionaries, as_of: Column, window_days: int =
     cols = [c if c != "_city_raw" else "city" for c in bronze.columns] + ["company_norm"]
     df = (df.select(*cols)
           .where(F.col("signal_type").isin(*D.SIGNAL_TYPES))
-          .withColumn("published_ts", parse_published("published_at"))
+          .withColumns({"published_ts": parse_published("published_at"), "headcount": parse_count("headcount")})
           .where(F.col("published_ts").isNotNull()
                  & (F.to_date("published_ts") >= cutoff_date(as_of, window_days)))
           .withColumns({"score_tenths": signal_score_tenths("signal_type", "headcount"),

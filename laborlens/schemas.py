@@ -12,7 +12,7 @@ JOB = T.StructType([T.StructField(c, S) for c in [
 
 NEWS = T.StructType([
     T.StructField("title", S), T.StructField("description", S), T.StructField("company", S),
-    T.StructField("city", S), T.StructField("headcount", T.LongType()),
+    T.StructField("city", S), T.StructField("headcount", S),
     T.StructField("signal_type", S), T.StructField("published_at", S), T.StructField("url", S),
     T.StructField("source_name", S), T.StructField("source", S), T.StructField("scraped_at", S)])
 

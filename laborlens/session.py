@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,8 +40,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is one created, under the
-    system temp dir. Round-trip outputs and lineage cuts all live below it.
+    Only a session with a local master (tests) may go without: one is then made
+    under the system temp dir. On a cluster that would be a folder of one
+    machine, so it is refused. Round-trip outputs and lineage cuts live below it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,8 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
-    else:
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="laborlens-ckpt-"))
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return sc.getCheckpointDir()
 
 
@@ -61,5 +64,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/laborlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, lineage cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

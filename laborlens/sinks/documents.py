@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from laborlens.functions.text import slug
 
-PIPELINE_VERSION = "3.0.0"
+PIPELINE_VERSION = "0.2.0"  # of this package
 ENGINE = "spark-native"
 
 CITY_FIELDS = ["city", "lat", "lng", "total_hiring", "total_layoffs", "total_companies", "it_companies",
@@ -81,20 +81,41 @@ def write_city_pages(pages: DataFrame, path: str) -> None:
 def run_meta(companies: DataFrame, cities: DataFrame, run_ts: str, updated_at: str,
              new_flag: str | None = None, name_col: str = "company_norm") -> DataFrame:
     """K8 + G9: one row of run counts (companies, distinct names, districts and,
-    given an ``is_new`` column, new companies). Each count is a global
-    aggregate (one row); they are combined by a union of (metric, value) rows
-    and a pivot over that handful of rows."""
+    given an ``is_new`` column, new companies): one aggregate over the companies,
+    one over the cities, joined as two one-row relations on a constant key."""
     aggs = [F.count(F.lit(1)).alias("total_companies"), F.countDistinct(name_col).alias("unique_companies")]
     if new_flag is not None:
         aggs.append(F.count_if(F.col(new_flag)).alias("new_companies"))
-    co = companies.agg(*aggs)
-    metrics = [a for a in ("total_companies", "unique_companies", "new_companies") if a in co.columns]
-    parts = [co.select(F.lit(m).alias("m"), F.col(m).cast("bigint").alias("v")) for m in metrics]
-    parts.append(cities.agg(F.count(F.lit(1)).alias("v")).select(F.lit("total_districts").alias("m"), "v"))
-    metrics.append("total_districts")
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    row = u.groupBy().agg(*[F.max(F.when(F.col("m") == m, F.col("v"))).alias(m) for m in metrics])
+    one = F.lit(1).alias("one")
+    co = companies.agg(*aggs).select("*", one)
+    row = co.join(cities.agg(F.count(F.lit(1)).alias("total_districts")).select("*", one), "one")
+    metrics = [a for a in ("total_companies", "unique_companies", "new_companies") if a in co.columns] + ["total_districts"]
     return row.select(F.lit(updated_at).alias("updated_at"), F.lit(run_ts).alias("run_ts"), *metrics,
                       F.lit(PIPELINE_VERSION).alias("pipeline_version"), F.lit(ENGINE).alias("engine"))
+
+
+def write_lines_document(rows: DataFrame, path: str, run_ts: str, updated_at: str, new_flag: str | None = None) -> None:
+    """K6 / K7: a document of many elements: ``rows`` as JSON lines (all tasks write) and
+    a one-line ``header`` {updated_at, run_ts, total[, new_this_run]}."""
+    rows.write.mode("overwrite").json(f"{path}/rows")
+    counts = [F.count(F.lit(1)).alias("total")]
+    if new_flag is not None:
+        counts.append(F.count_if(F.col(new_flag)).alias("new_this_run"))
+    header = rows.agg(*counts).select(F.lit(updated_at).alias("updated_at"), F.lit(run_ts).alias("run_ts"), "*")
+    header.coalesce(1).write.mode("overwrite").json(f"{path}/header")
+
+
+def read_lines_document(spark: SparkSession, path: str, rows_schema) -> DataFrame:
+    """A10: the document's rows with its header's counts (null where the header has none)."""
+    header = spark.read.schema("total long, new_this_run long").json(f"{path}/header").first()  # one line
+    return spark.read.schema(rows_schema).json(f"{path}/rows").withColumns(
+        {"total": F.lit(header.total).cast("bigint"), "new_this_run": F.lit(header.new_this_run).cast("bigint")})
+
+
+def read_city_pages(spark: SparkSession, path: str) -> DataFrame:
+    """A10: the pages as they were written, one row per company."""
+    rec = ("company_norm string, city string, sector string, company_status string, open_positions long, "
+           "total_layoffs long")
+    pages = spark.read.schema(f"page int, companies array<struct<{rec.replace(' ', ':').replace(',:', ',')}>>, "
+                              "city_slug string").json(path)
+    return pages.select("city_slug", "page", F.explode("companies").alias("c")).select("city_slug", "page", "c.*")

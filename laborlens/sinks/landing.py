@@ -1,30 +1,37 @@
 """Bronze landing (K1, K2) and gold table writes.
 
-Envelopes are bounded: records are grouped per (source, city, bucket) where
-the bucket count per group comes from the group's size, so no envelope (and
-no task building one) holds more than about ``max_records`` records however
-skewed a source or city is.
+Envelopes are bounded: rows are numbered inside the task that holds them, per
+layout key, and every ``max_records`` of them make one envelope. No record
+field decides where a row goes, so repeated or empty ids, a skewed source or
+city change nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from laborlens.operators.numbering import chunk_records
+
 
 def bounded_groups(df: DataFrame, keys: Sequence[str], id_col: str, max_records: int = 500) -> DataFrame:
-    """Add ``_bucket``: ``pmod(hash(id), ceil(n/max_records))`` per key group (n from a
-    partial-aggregated count joined back; one row per group, so it stays small)."""
-    keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_records)))
-    return (df.join(sizes, keys).withColumn("_bucket", F.pmod(F.xxhash64(F.col(id_col)), nb).cast("int"))
-            .drop("_n"))
+    """Add ``_task`` and ``_bucket``: rows of one task and layout key, in runs of at most ``max_records``."""
+    df = df.withColumn("_task", F.spark_partition_id())
+    w = Window.partitionBy(*keys, "_task").orderBy(id_col)
+    return df.withColumn("_bucket", F.floor((F.row_number().over(w) - 1) / max_records).cast("int"))
+
 
+def _stamped(df: DataFrame, run_ts: str, batch_ts: str) -> DataFrame:
+    stamp = F.to_timestamp(F.lit(batch_ts))
+    return (df.withColumn("batch_ts", F.lit(batch_ts)).withColumn("run_id", F.lit(run_ts))
+            .withColumn("year", F.date_format(stamp, "yyyy")).withColumn("month", F.date_format(stamp, "MM"))
+            .withColumn("day", F.date_format(stamp, "dd")).withColumn("hour", F.date_format(stamp, "HH"))
+            .withColumn("run", F.lit(run_ts)))
 
-def land_envelopes(records: DataFrame, path: str, partition_cols: dict, id_col: str, array_field: str,
+
+def land_envelopes(records: DataFrame, path: str, partition_cols: dict[str, Column], id_col: str, array_field: str,
                    count_field: str, run_ts: str, batch_ts: str, max_records: int = 500) -> None:
     """K1: append records as JSON envelopes (each run lands new files) ``{batch_ts, run_id, <count_field>,
     <array_field>: [...]}`` under ``<partition_cols>/year=/month=/day=/hour=/run=``."""
@@ -33,20 +40,24 @@ def land_envelopes(records: DataFrame, path: str, partition_cols: dict, id_col:
                              for k, e in partition_cols.items()],
                            F.struct(*records.columns).alias("_rec"), F.col(id_col).alias("_id"))
     b = bounded_groups(keyed, keys, "_id", max_records)
-    stamp = F.to_timestamp(F.lit(batch_ts))
-    env = (b.groupBy(*keys, "_bucket").agg(F.collect_list("_rec").alias(array_field))
-           .withColumn(count_field, F.size(array_field))
-           .withColumn("batch_ts", F.lit(batch_ts)).withColumn("run_id", F.lit(run_ts))
-           .withColumn("year", F.date_format(stamp, "yyyy")).withColumn("month", F.date_format(stamp, "MM"))
-           .withColumn("day", F.date_format(stamp, "dd")).withColumn("hour", F.date_format(stamp, "HH"))
-           .withColumn("run", F.lit(run_ts)).drop("_bucket"))
+    env = _stamped(b.groupBy(*keys, "_task", "_bucket").agg(F.collect_list("_rec").alias(array_field))
+                   .withColumn(count_field, F.size(array_field)).drop("_task", "_bucket"), run_ts, batch_ts)
     order = [k for k in keys if k == "source"] + ["year", "month", "day", "hour"] + [k for k in keys if k != "source"] + ["run"]
     env.write.mode("append").partitionBy(*order).json(path)
 
 
-def land_chunked(records: DataFrame, path: str, max_records_per_file: int = 500) -> None:
-    """K2 (file form): at most ``max_records_per_file`` records per landed file."""
-    records.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).json(path)
+def land_chunked(records: DataFrame, path: str, source: str, order_col: str, run_ts: str, batch_ts: str,
+                 chunk_size: int = 500) -> None:
+    """K2: records in ascending ``order_col`` as envelopes of ``chunk_size`` that carry their
+    chunk index and the number of records and chunks, under
+    ``source=/year=/month=/day=/hour=/run=`` with one part folder per chunk."""
+    order = chunk_records(records, order_col, chunk_size)
+    env = (order.groupBy("chunk").agg(F.first("record_count").alias("record_count"), F.collect_list(
+        F.struct(*records.columns)).alias("records")).withColumn("chunk_index", F.col("chunk")))
+    chunks = order.agg(F.max("chunk") + 1).first()[0] or 0
+    env = _stamped(env.withColumn("chunk_count", F.lit(chunks)).withColumn("source", F.lit(source)), run_ts, batch_ts)
+    (env.withColumn("part", F.format_string("%06d", "chunk")).drop("chunk").write.mode("append")
+     .partitionBy("source", "year", "month", "day", "hour", "run", "part").json(path))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:

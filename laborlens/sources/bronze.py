@@ -25,27 +25,51 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def read_envelopes(spark: SparkSession, path: str, record: T.StructType, multiline: bool = False) -> DataFrame:
-    """A1: every envelope under ``path`` (all runs ever landed), plus layout keys."""
-    schema = schemas.any_envelope(record)
-    df = (spark.read.schema(schema).option("recursiveFileLookup", "true")
-          .option("multiLine", str(multiline).lower()).option("mode", "PERMISSIVE").json(path))
-    fp = F.col("_metadata.file_path")
-    keys = [F.regexp_extract(fp, f"/{k}=([^/]+)", 1).alias(f"_{k}") for k in LAYOUT_KEYS]
-    return df.select("*", *keys)
+CORRUPT = "_corrupt_record"
+
+
+def _read_json(spark: SparkSession, path: str, record: T.StructType, whole_file: bool) -> DataFrame:
+    schema = schemas.any_envelope(record).add(T.StructField(CORRUPT, T.StringType()))
+    return (spark.read.schema(schema).option("recursiveFileLookup", "true").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", str(whole_file).lower()).json(path)
+            .withColumn("_file", F.col("_metadata.file_path")))
+
+
+def read_envelopes(spark: SparkSession, path: str, record: T.StructType, multiline: bool | None = None) -> DataFrame:
+    """A1: every envelope under ``path`` (all runs ever landed), plus layout keys
+    and ``_corrupt_record`` (the text of an envelope that can't be read, else null).
+
+    ``multiline``: true if each file is one (pretty-printed) envelope, false if
+    each line is one; by default each file is taken as what it is: a file of
+    which some line is an envelope is read line by line, any other file that
+    has unreadable lines as one envelope."""
+    if multiline is not None:
+        df = _read_json(spark, path, record, multiline)
+    else:
+        lines = _read_json(spark, path, record, False)
+        envelope = F.col(CORRUPT).isNull() & (F.col("records").isNotNull() | F.col("jobs").isNotNull())
+        # the corrupt text itself must be read for Spark to fill it, hence materialised by the aggregate's input
+        kinds = (lines.select("_file", envelope.alias("good"), F.col(CORRUPT).isNotNull().alias("bad"), *["records", "jobs", CORRUPT])
+                 .groupBy("_file").agg(F.max("good").alias("good"), F.max("bad").alias("bad")))
+        pretty = kinds.where("bad and not good").select("_file")
+        df = (lines.join(pretty, "_file", "left_anti")
+              .unionByName(_read_json(spark, path, record, True).join(pretty, "_file", "left_semi")))
+    keys = [F.regexp_extract("_file", f"/{k}=([^/]+)", 1).alias(f"_{k}") for k in LAYOUT_KEYS]
+    return df.select(*[c for c in df.columns if c != "_file"], *keys)
 
 
 def unnest_records(envelopes: DataFrame, record: T.StructType) -> DataFrame:
-    """A2: the ``records`` array, else the ``jobs`` array, else nothing; one row per record."""
-    arr = F.coalesce(F.col("records"), F.col("jobs"))
-    keys = [c for c in envelopes.columns if c.startswith("_")]
+    """A2: the ``records`` array, or the ``jobs`` array where records is missing or
+    empty, else nothing; one row per record."""
+    arr = F.when(F.size("records") > 0, F.col("records")).otherwise(F.col("jobs"))
+    keys = [f"_{k}" for k in LAYOUT_KEYS if f"_{k}" in envelopes.columns]
     out = envelopes.select(*keys, F.col("run_id"), F.col("batch_ts"), F.explode(arr).alias("_r"))
     return out.select(*[F.col(f"_r.{f.name}").alias(f.name) for f in record.fields],
                       *[F.col(k).alias(f"landed{k}") for k in keys], "run_id", "batch_ts")
 
 
 def load_source(spark: SparkSession, root: str, source: str, record: T.StructType,
-                multiline: bool = False) -> DataFrame:
+                multiline: bool | None = None) -> DataFrame:
     """A1-A3: one source's records; a source that never landed is an empty
     relation with the declared schema (not a column-less frame)."""
     path = f"{root.rstrip('/')}/source={source}"
@@ -57,6 +81,18 @@ def load_source(spark: SparkSession, root: str, source: str, record: T.StructTyp
     return unnest_records(read_envelopes(spark, path, record, multiline), record)
 
 
+def envelope_counts(spark: SparkSession, root: str, source: str, record: T.StructType,
+                    multiline: bool | None = None) -> DataFrame:
+    """A4: one row per source of what was landed: envelopes read, envelopes that
+    can't be read, records."""
+    env = read_envelopes(spark, f"{root.rstrip('/')}/source={source}", record, multiline)
+    n = F.greatest(F.size("records"), F.lit(0))
+    n = F.when(n > 0, n).otherwise(F.greatest(F.size("jobs"), F.lit(0)))
+    return env.agg(F.lit(source).alias("landed_source"), F.count_if(F.col(CORRUPT).isNull()).alias("envelopes"),
+                   F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"),
+                   F.coalesce(F.sum(F.when(F.col(CORRUPT).isNull(), n)), F.lit(0)).cast("bigint").alias("records"))
+
+
 def source_counts(df: DataFrame, col: str = "landed_source") -> DataFrame:
     """A4: records per source."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("records"))

@@ -10,8 +10,8 @@ job's work grows with the tables:
 * payroll raw  = orders per region and month, with field spellings varying by region
 
 Joins are plain equi-joins; Catalyst prunes columns to what each query reads
-and pushes filters into the scans. ``nation``/``region`` are 25/5 rows
-(fixed by the generator) and are broadcast.
+and pushes filters into the scans; small sides are broadcast by the engine's own
+size check only.
 """
 
 from __future__ import annotations
@@ -19,44 +19,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlens.operators.lookup import spread
 from laborlens.session import table_path
 
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 RFC822_OUT = "EEE, dd MMM yyyy HH:mm:ss 'GMT'"
 
 
-DIMENSIONS = ("nation", "region")
-SPREAD_MIN_BYTES = 1 << 20  # below this a table is cheap to scan in one task (and is usually broadcast)
-
-
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-
-
-_READS: dict[tuple, DataFrame] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A generated table. Fact tables are spread over the cores when the scan
-    yields fewer splits than cores (a small file with few row groups); at
-    scale the scan already has many splits and this adds nothing. Tables under
-    ``SPREAD_MIN_BYTES`` (and the two fixed-size dimensions, always broadcast)
-    are left as they are: an extra stage would cost more than it saves.
-
-    The resulting (lazy, data-free) DataFrame is reused per session and path,
-    so footers are read and the split count is planned once per table."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
-    df = _READS.get(key)
-    if df is None:
-        path = table_path(sf_dir, name)
-        df = spark.read.parquet(path)
-        if name not in DIMENSIONS and _input_bytes(spark, path) >= SPREAD_MIN_BYTES:
-            df = spread(df)
-        _READS[key] = df
-    return df
+    """A generated table, read as it lies (split sizes are the session's)."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def job_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +40,7 @@ def job_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .join(c, o.o_custkey == c.c_custkey)
-         .join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+         .join(n, c.c_nationkey == n.n_nationkey)
          .join(p, li.l_partkey == p.p_partkey))
     return j.select(
         F.col("p_name").alias("title"),
@@ -92,7 +63,7 @@ def news_signals(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> Dat
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (e.join(c, e.user_id == c.c_custkey, "left")
-         .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey, "left"))
+         .join(n, F.col("c_nationkey") == n.n_nationkey, "left"))
     company = F.format_string("Customer#%09d", F.col("user_id"))
     signal = (F.when(F.col("event_type") == "error", "layoff")
               .when(F.col("event_type").isin("signup", "purchase"), "hiring").otherwise("neutral"))
@@ -136,7 +107,7 @@ def register_api_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+    j = s.join(n, s.s_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
     up = F.col("n_regionkey") >= 3
     roc = F.concat(F.lit("RoC-"), F.col("n_name"))
     cin = F.lpad(F.col("s_suppkey").cast("string"), 9, "0")
@@ -154,7 +125,7 @@ def register_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
     from laborlens.functions.text import title_case
     return j.select(
         F.col("c_name").alias("name"),
@@ -189,8 +160,8 @@ def payroll_api_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     agg = (o.join(c, o.o_custkey == c.c_custkey)
-           .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
-           .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+           .join(n, F.col("c_nationkey") == n.n_nationkey)
+           .join(r, F.col("n_regionkey") == r.r_regionkey)
            .groupBy("r_regionkey", "r_name", F.date_format("o_orderdate", "yyyy-MM").alias("ym"))
            .agg(F.count(F.lit(1)).alias("n")))
     k = F.col("r_regionkey")
@@ -209,11 +180,11 @@ def payroll_api_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def region_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(state, cities): each region's nations in key order - the fixture state -> city map.
-    25 rows in, 5 rows out; broadcast-safe by the generator's fixed dimension size."""
+    25 rows in, 5 rows out."""
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     from laborlens.functions.text import title_case
-    grouped = (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    grouped = (n.join(r, n.n_regionkey == r.r_regionkey)
                .groupBy("r_name")
                .agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("_c")))
     return grouped.select(title_case(F.col("r_name")).alias("state"),

@@ -16,16 +16,17 @@ from laborlens.functions import dictionaries as D
 from laborlens.functions.dates import parse_published
 from laborlens.functions.scoring import signal_score_tenths
 from laborlens.functions.similarity import with_company_norm
-from laborlens.functions.text import normalise_city
+from laborlens.functions.text import normalise_city, parse_count
 from laborlens.operators import history as H
 from laborlens.operators.dedupe import news_url_key
 
 
 def news_stream(spark: SparkSession, landed: str, max_files: int = 4) -> DataFrame:
     """Landed news envelopes as a stream of records (A1/A2 in streaming form)."""
+    arr = F.when(F.size("records") > 0, F.col("records")).otherwise(F.col("jobs"))
     env = (spark.readStream.schema(schemas.any_envelope(schemas.NEWS))
            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).json(landed))
-    return env.select(F.explode(F.coalesce("records", "jobs")).alias("r")).select("r.*")
+    return env.select(F.explode(arr).alias("r")).select("r.*")
 
 
 def silver_news_stream(records: DataFrame, canonical, city_aliases) -> DataFrame:
@@ -33,7 +34,7 @@ def silver_news_stream(records: DataFrame, canonical, city_aliases) -> DataFrame
     df = with_company_norm(records, "company", "company_norm", canonical)
     return (df.withColumn("city", normalise_city("city", city_aliases))
             .where(F.col("signal_type").isin(*D.SIGNAL_TYPES))
-            .withColumn("published_ts", parse_published("published_at"))
+            .withColumns({"published_ts": parse_published("published_at"), "headcount": parse_count("headcount")})
             .where(F.col("published_ts").isNotNull())
             .withColumn("score_tenths", signal_score_tenths("signal_type", "headcount"))
             .withColumn("url_key", news_url_key("url", "title", "company")))
@@ -70,35 +71,64 @@ def run_complete_to_parquet(df: DataFrame, out: str, checkpoint: str) -> None:
 def history_upsert(silver: DataFrame, state_root: str, checkpoint: str, points: int = D.HISTORY_POINTS) -> None:
     """Per micro-batch, add the batch's per-(company, city, day) sums to the
     state's entries of the same day, keep the ``points`` latest days per key, and
-    write the result as a new state version (never over the version being read)."""
+    write the result as a state version named by run and batch (never over the
+    version being read). A batch that is repeated after a lost commit writes the
+    same version again from the same base, so its sums count once."""
+    run = run_number(silver.sparkSession, state_root, checkpoint)
+
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        version = f"{run:08d}-{batch_id:08d}"
         hc = F.coalesce("headcount", F.lit(0))
         entries = (batch.groupBy(F.col("company_norm").alias("company"), "city",
                                  F.date_format("published_ts", "yyyy-MM-dd").alias("date"))
                    .agg(F.sum(F.when(F.col("signal_type") == "hiring", hc).otherwise(0)).cast("bigint").alias("hiring"),
                         F.sum(F.when(F.col("signal_type") == "layoff", hc).otherwise(0)).cast("bigint").alias("layoffs")))
-        current = latest_state(spark, state_root)
+        # a repeated batch starts from the version before its own, never from its own
+        current = latest_state(spark, state_root, before=version)
         merged = (current.select("company", "city", "date", "hiring", "layoffs").unionByName(entries)
                   .groupBy("company", "city", "date")
                   .agg(F.sum("hiring").alias("hiring"), F.sum("layoffs").alias("layoffs"))
                   .withColumn("score", F.col("hiring") - F.col("layoffs")))
         trimmed = H.update_history(merged.limit(0), merged, points=points)
-        trimmed.write.mode("overwrite").parquet(f"{state_root}/v={batch_id:08d}")
+        trimmed.write.mode("overwrite").parquet(f"{state_root}/v={version}")
     q = (silver.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def latest_state(spark: SparkSession, state_root: str) -> DataFrame:
-    """The newest state version under ``state_root`` (empty state if none)."""
+def _folder(spark: SparkSession, path: str):
+    """(Hadoop file system, path object, its class) of a shared folder."""
+    cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    p = cls(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, cls
+
+
+def run_number(spark: SparkSession, state_root: str, checkpoint: str) -> int:
+    """Number of this checkpoint's run over the state: kept beside the checkpoint, so
+    a restart goes on with it; a fresh checkpoint takes the next free number, so
+    its versions come after all that exist."""
+    fs, mark, cls = _folder(spark, f"{checkpoint}-run")
+    if fs.exists(mark):
+        return int(fs.listStatus(mark)[0].getPath().getName())
+    root = cls(state_root)
+    names = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
+    n = 1 + max([int(v[2:10]) for v in names if v.startswith("v=") and v[2:10].isdigit()], default=0)
+    fs.mkdirs(cls(f"{checkpoint}-run/{n}"))
+    return n
+
+
+def latest_state(spark: SparkSession, state_root: str, before: str | None = None) -> DataFrame:
+    """The newest finished state version under ``state_root`` (empty state if none);
+    ``before``: the newest one whose name sorts before it, which is what a
+    run that may be a repetition builds on."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(state_root)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return spark.createDataFrame([], schemas.HISTORY)
     versions = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.getPath().getName().startswith("v="))
-    done = [v for v in versions if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{state_root}/{v}/_SUCCESS"))]
+    done = [v for v in versions if (before is None or v < f"v={before}") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{state_root}/{v}/_SUCCESS"))]
     if not done:
         return spark.createDataFrame([], schemas.HISTORY)
     return spark.read.schema(schemas.HISTORY).parquet(f"{state_root}/{done[-1]}")

@@ -9,9 +9,9 @@ from laborlens.sinks.landing import land_envelopes
 JOBS = [("Data Engineer", "Infosys Ltd", "Bengaluru", "bangalore", "", "", "2024-01-31", "j1", "board_a", "2024-01-31T01:00:00Z"),
         ("Analyst", "Wipro", "Pune", "pune", "", "", "2024-01-31", "j2", "board_a", "2024-01-31T01:00:00Z"),
         ("Analyst", "Wipro", "Pune", "pune", "", "", "2024-01-31", "j3", "board_a", "2024-01-31T02:00:00Z")]
-NEWS = [("Wipro announces mass hiring", "", "Wipro", "Pune", 1500, "hiring", "2024-01-30T10:00:00Z", "n1", "f", "api",
+NEWS = [("Wipro announces mass hiring", "", "Wipro", "Pune", "1,500", "hiring", "2024-01-30T10:00:00Z", "n1", "f", "api",
          "2024-01-30T11:00:00Z"),
-        ("Zeta lays off 200 employees", "", "Zeta Labs", "Mumbai", 200, "layoff", "2024-01-29T10:00:00Z", "n2", "f", "api",
+        ("Zeta lays off 200 employees", "", "Zeta Labs", "Mumbai", "200", "layoff", "2024-01-29T10:00:00Z", "n2", "f", "api",
          "2024-01-29T11:00:00Z")]
 REG = [("Infosys Limited", None, "L85110KA", "Active", None, None, "Karnataka", "Bengaluru", None, None, "", "", "",
         "Technology", "seed", "2024-01-01T00:00:00Z")]
@@ -46,5 +46,12 @@ def test_two_runs(spark, tmp_path):
     comp2 = {(r.name, r.city): r for r in out2["companies_all"].collect()}
     assert not any(r.is_new for r in comp2.values())
     assert {len(r.trend) for r in comp2.values()} == {2}
-    docs = spark.read.json(str(tmp_path / "out2" / "india_summary" / "districts")).count()
+    docs = spark.read.json(str(tmp_path / "out2" / "city_summary" / "districts")).count()
     assert docs == 3
+    # the same run again (a retry): same companies, same flags, same history
+    rows = lambda df: sorted(map(str, df.collect()))
+    before = rows(out2["companies_all"]), rows(out2["history"])
+    again = run(spark, raw, str(tmp_path / "out3"), "2024-02-01 06:00:00", "r2", history_root=hist)
+    assert (rows(again["companies_all"]), rows(again["history"])) == before
+    again = run(spark, raw, str(tmp_path / "out3"), "2024-02-01 06:00:00", "r2", history_root=hist)
+    assert (rows(again["companies_all"]), rows(again["history"])) == before

@@ -9,10 +9,10 @@ from laborlens.sources import bronze
 from laborlens.streaming import incremental as Z
 
 NEWS_ROWS = [
-    ("Acme lays off 1,200 employees", "", "Acme", "Pune", 1200, "layoff", "2024-01-05T10:00:00Z", "u1", "f", "api", "2024-01-05T11:00:00Z"),
-    ("Acme lays off 1,200 employees", "", "Acme", "Pune", 1200, "layoff", "2024-01-05T10:00:00Z", "u1", "f", "api", "2024-01-05T12:00:00Z"),
-    ("Beta is hiring", "", "Beta", "Mumbai", 50, "hiring", "Sat, 06 Jan 2024 09:00:00 GMT", "u2", "f", "rss", "2024-01-06T10:00:00Z"),
-    ("Beta is hiring again", "", "Beta", "Mumbai", 5000, "hiring", "2024-01-07T09:00:00Z", "u3", "f", "api", "2024-01-07T10:00:00Z"),
+    ("Acme lays off 1,200 employees", "", "Acme", "Pune", "1,200", "layoff", "2024-01-05T10:00:00Z", "u1", "f", "api", "2024-01-05T11:00:00Z"),
+    ("Acme lays off 1,200 employees", "", "Acme", "Pune", "1,200", "layoff", "2024-01-05T10:00:00Z", "u1", "f", "api", "2024-01-05T12:00:00Z"),
+    ("Beta is hiring", "", "Beta", "Mumbai", "50", "hiring", "Sat, 06 Jan 2024 09:00:00 GMT", "u2", "f", "rss", "2024-01-06T10:00:00Z"),
+    ("Beta is hiring again", "", "Beta", "Mumbai", "5000.0", "hiring", "2024-01-07T09:00:00Z", "u3", "f", "api", "2024-01-07T10:00:00Z"),
 ]
 
 
@@ -23,8 +23,33 @@ def news_df(spark):
 def test_bounded_groups_split_hot_key(spark):
     df = spark.range(2000).select(F.lit("hot").alias("k"), F.col("id").cast("string").alias("id"))
     b = bounded_groups(df, ["k"], "id", max_records=500)
-    sizes = [r["count"] for r in b.groupBy("_bucket").count().collect()]
-    assert len(sizes) == 4 and sum(sizes) == 2000
+    sizes = [r["count"] for r in b.groupBy("_task", "_bucket").count().collect()]
+    assert max(sizes) <= 500 and sum(sizes) == 2000
+
+
+def test_envelopes_are_bounded_whatever_the_id(spark, tmp_path):
+    root = str(tmp_path / "one-id")
+    rows = spark.range(2600).select(F.lit("t").alias("title"), F.lit("same").alias("url")).coalesce(1)
+    land_envelopes(rows, root, {"source": F.lit("news")}, "url", "records", "record_count", "r", "2024-01-31T06:00:00Z")
+    sizes = [r.n for r in bronze.read_envelopes(spark, root, schemas.NEWS).select(F.size("records").alias("n")).collect()]
+    assert sum(sizes) == 2600 and max(sizes) == 500
+
+
+def test_envelope_forms(spark, tmp_path):
+    """Pretty-printed, one-line, several lines, empty records beside jobs, corrupt: nothing is lost or hidden."""
+    import json
+    folder = tmp_path / "source=news" / "run=r1"
+    folder.mkdir(parents=True)
+    rec = lambda u, h: {"title": u, "url": u, "headcount": h}
+    env = lambda *r: {"batch_ts": "b", "run_id": "r", "records": list(r)}
+    (folder / "a.json").write_text(json.dumps(env(rec("a", "1,200"), rec("b", 5000.0)), indent=2))
+    (folder / "b.json").write_text(json.dumps(env(rec("c", 1200))))
+    (folder / "c.json").write_text(json.dumps(env(rec("d", None))) + "\n" + json.dumps(env(rec("e", 3))) + "\n{broken\n")
+    (folder / "d.json").write_text(json.dumps({"run_id": "r", "records": [], "jobs": [rec("f", 4)]}))
+    (folder / "e.json").write_text("{ not json at all")
+    got = {r.url: r.headcount for r in bronze.load_source(spark, str(tmp_path), "news", schemas.NEWS).collect()}
+    assert got == {"a": "1,200", "b": "5000.0", "c": "1200", "d": None, "e": "3", "f": "4"}
+    assert tuple(bronze.envelope_counts(spark, str(tmp_path), "news", schemas.NEWS).first()) == ("news", 5, 2, 6)
 
 
 def test_land_and_read_envelopes(spark, tmp_path):
@@ -58,3 +83,21 @@ def test_stream_dedupe_and_history(spark, tmp_path):
     hist = {(r.company, r.date): (r.hiring, r.layoffs) for r in Z.latest_state(spark, state).collect()}
     assert hist == {("Acme", "2024-01-05"): (0, 2400), ("Beta", "2024-01-06"): (50, 0),
                     ("Beta", "2024-01-07"): (5000, 0)}
+
+
+def test_history_survives_a_lost_commit(spark, tmp_path):
+    """A batch repeated because its commit was lost gives the same state; a fresh checkpoint adds to the old state."""
+    import os
+    root, state, ck = (str(tmp_path / x) for x in ("landed", "state", "ck"))
+    land_envelopes(news_df(spark), root, {"source": F.lit("news"), "city": F.col("city")}, "url", "records",
+                   "record_count", "run1", "2024-01-31T06:00:00Z")
+    silver = lambda: Z.silver_news_stream(Z.news_stream(spark, root), D.CANONICAL_COMPANIES, D.CITY_ALIASES)
+    rows = lambda: sorted(tuple(r) for r in Z.latest_state(spark, state).collect())
+    Z.history_upsert(silver(), state, ck)
+    once = rows()
+    for name in os.listdir(f"{ck}/commits"):
+        os.remove(f"{ck}/commits/{name}")
+    Z.history_upsert(silver(), state, ck)
+    assert rows() == once
+    Z.history_upsert(silver(), state, str(tmp_path / "other"))
+    assert [r[3:5] for r in rows()] == [tuple(2 * x for x in r[3:5]) for r in once]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from laborlens import schemas
 from laborlens.operators.dedupe import fallback_key, keep_first
 from laborlens.operators.history import mark_new, trend, update_history
-from laborlens.operators.html import header_records, table_rows
+from laborlens.operators.html import header_records
 from laborlens.operators.numbering import chunk_records
 from laborlens.operators.payroll import split_by_city
 from laborlens.operators.topk import top_k_distinct
@@ -71,7 +71,7 @@ def test_html_table_header_records(spark):
     html = ("<table><tr><th>State Name</th><th>Month</th></tr><tr><td>Kerala</td><td>2024-01</td></tr>"
             "<tr><td>bad</td></tr><tr><td>Goa</td><td> 2024-02 </td></tr></table>")
     df = spark.createDataFrame([(1, html)], "page_id int, html string")
-    recs = header_records(table_rows(df, "html", ["page_id"]), ["page_id"]).orderBy("row_idx").collect()
+    recs = header_records(df, "html", ["page_id"]).orderBy("row_idx").collect()
     assert [dict(r.rec) for r in recs] == [{"state_name": "Kerala", "month": "2024-01"},
                                             {"state_name": "Goa", "month": "2024-02"}]
 
@@ -100,9 +100,33 @@ def test_news_url_key_root_urls(spark):
     assert got == ["https://t.example/|A", "https://t.example|B", "https://t.example/x/1", "D|Co"]
 
 
-def test_spread_only_when_needed(spark):
-    from laborlens.operators.lookup import spread
-    few = spark.range(100).coalesce(1)
-    assert spread(few, min_partitions=4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert spread(many, min_partitions=4) is many
+def test_header_is_per_table(spark):
+    html = ("<table><tr><th>State</th><th>Month</th></tr><tr><td>Goa</td><td>1</td></tr></table>"
+            "<table><tr><th>Zone</th><th>Total</th></tr><tr><td>West</td><td>9</td></tr></table>")
+    df = spark.createDataFrame([(1, html)], "page_id int, html string")
+    recs = header_records(df, "html", ["page_id"]).orderBy("table_idx", "row_idx").collect()
+    assert [dict(r.rec) for r in recs] == [{"state": "Goa", "month": "1"}, {"zone": "West", "total": "9"}]
+
+
+def test_published_forms(spark):
+    from laborlens.functions.dates import parse_iso_date, parse_published
+    forms = {"2024-01-15": "2024-01-15 00:00:00", "2024-01-15T10:11:12+05:30": "2024-01-15 04:41:12",
+             "2024-01-15T10:11:12.5Z": "2024-01-15 10:11:12", "1/15/2024": "2024-01-15 00:00:00",
+             "Fri, 05 Jan 2024 10:11:12 GMT": "2024-01-05 10:11:12", "2024": None, "soon": None, "": None, None: None}
+    df = spark.createDataFrame([(k,) for k in forms], "s string")
+    got = {r.s: r.t for r in df.select("s", F.date_format(parse_published("s"), "yyyy-MM-dd HH:mm:ss").alias("t")).collect()}
+    assert got == forms
+    days = {r.s: r.d for r in df.select("s", F.date_format(parse_iso_date("s"), "yyyy-MM-dd").alias("d")).collect()}
+    assert days == {k: v and v[:10] for k, v in forms.items()}
+
+
+def test_counts_as_text_or_number(spark):
+    from laborlens.functions.scoring import signal_score_tenths
+    from laborlens.functions.text import parse_count, safe_float, safe_int
+    df = spark.createDataFrame([("1,200",), ("5000.0",), (" 7 ",), ("NaN",), ("many",), (None,), ("5001",)], "h string")
+    got = df.select(parse_count("h"), safe_int("h", -1), safe_float("h"), signal_score_tenths(F.lit("hiring"), "h")).collect()
+    assert [r[0] for r in got] == [1200, 5000, 7, None, None, None, 5001]
+    assert [r[1] for r in got] == [1200, 5000, 7, -1, -1, -1, 5001]
+    assert [r[2] for r in got] == [1200.0, 5000.0, 7.0, 0.0, 0.0, 0.0, 5001.0]
+    assert [r[3] for r in got] == [8, 8, 4, 4, 4, 4, 10]
+    assert spark.range(1).select(safe_int(F.lit(float("nan")))).first()[0] == 0

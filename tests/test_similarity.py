@@ -53,3 +53,23 @@ def test_inclusive_cutoff_and_first_best():
     assert list(out) == [brute("Customer#000000907", canon)] == ["Customer#3007"]
     # equal ratios: the earlier entry wins
     assert list(best_match_batch(["ab cd"], ["cd abx", "ab cdx"], 72)) == ["cd abx"]
+
+
+def test_long_names_and_long_canonical_names(spark):
+    """Canonical names beyond one machine word, in both forms; a very long name costs little."""
+    import tracemalloc
+
+    from laborlens.functions.similarity import best_match_batch, with_company_norm
+    canon = ["International Consolidated Widgets and Gadgets Manufacturing Corporation of the World", "ITC Limited"]
+    assert len(canon[0]) > 70
+    names = ["Corporation International Consolidated Widgets and Gadgets Manufacturing of the Wrld", "ITC Limitd", "zz"]
+    want = [canon[0], canon[1], None]
+    assert best_match_batch([" ".join(sorted(n.split())) for n in names], canon, 75).tolist() == want
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    for method in ("native", "vectorized"):
+        got = [r.o for r in with_company_norm(df, "n", "o", canon, 75, method=method).collect()]
+        assert got == [canon[0], canon[1], "Zz"]
+    tracemalloc.start()
+    best_match_batch(["short name"] * 2000 + ["x" * 20_000], ["ITC Limited"], 75)
+    assert tracemalloc.get_traced_memory()[1] < 50 << 20
+    tracemalloc.stop()

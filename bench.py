@@ -28,6 +28,9 @@ HEADLINE = [
     "signal_classify",        # text classification over three tables
     "document_extract",       # regex extraction over documents
     "page_job_cards",         # html card extraction
+    "companies_all",          # served companies with trend and new flag
+    "batch_run_companies",    # landing -> bronze -> silver -> gold -> documents
+    "stream_history_upsert",  # streaming upsert into the versioned history
 ]
 
 

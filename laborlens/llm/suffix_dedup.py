@@ -30,6 +30,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -114,22 +115,26 @@ class Block:
         ends[np.cumsum(n)[np.array(n) > 0] - 1] = True
         self.last = np.where(ends, last, np.r_[self.start[1:] - 1, 0][:len(self.start)])
         self.stop = self.last + length
-        self.h = prefix_of(self.raw)
+
+    @cached_property
+    def h(self) -> np.ndarray:
+        return prefix_of(self.raw)
 
     def gram(self) -> np.ndarray:
         return span(self.h, self.pick, self.pick + GRAM)
 
     def pair(self) -> np.ndarray:
-        """(n, 2) ranks of the runs: their bytes and the place of the picked position in them."""
-        place = (self.pick - self.start).astype(np.uint64) + U(1)
-        size = (self.stop - self.start).astype(np.uint64)
-        a = span(self.h, self.start, self.stop)
-        # a second hash of the same bytes, from the byte values alone
-        if not hasattr(self, "h2"):
-            self.h2 = np.concatenate([[U(0)], np.cumsum(mix(self.raw.astype(np.uint64) + U(77)) * _powers2(len(self.raw)))])
-        b = mix((self.h2[self.stop] - self.h2[self.start]) * _powers2(len(self.h2), True)[self.start])
-        salt = mix(place * U(0x9E3779B97F4A7C15) + size)
-        return np.stack([a ^ salt, b ^ salt], axis=1)
+        """Ranks of the runs: their bytes and the place of the picked position in them."""
+        return span(self.h, self.start, self.stop) ^ self._salt()
+
+    def _salt(self) -> np.ndarray:
+        place, size = self.pick - self.start + 1, self.stop - self.start
+        return mix(place.astype(np.uint64) * U(0x9E3779B97F4A7C15) + size.astype(np.uint64))
+
+    def pair2(self) -> np.ndarray:
+        """A second, independent hash of the same."""
+        h2 = np.concatenate([[U(0)], np.cumsum(_BYTE2[self.raw] * _powers2(len(self.raw)))])
+        return mix((h2[self.stop] - h2[self.start]) * _powers2(len(h2), True)[self.start]) ^ self._salt()
 
     def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ranks of all windows of the runs at ``which``."""
@@ -140,6 +145,7 @@ class Block:
 
 _SECOND: dict[bool, np.ndarray] = {}
 BASE2 = 0xD6E8FEB86659FD93
+_BYTE2 = np.random.default_rng(20240202).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
 def _powers2(n: int, inverse: bool = False) -> np.ndarray:
@@ -243,7 +249,7 @@ def _pairs(length: int):
             at = _members(g, known)
             if at.any():
                 gram.append(g[at])
-                pair.append(b.pair()[at])
+                pair.append(np.stack([b.pair()[at], b.pair2()[at]], axis=1))
         gram, pair = np.concatenate(gram), np.concatenate(pair)
         again = ~_first_here(gram)
         if len(known):
@@ -277,31 +283,34 @@ def _message(t: pa.Table, kind: int) -> np.ndarray:
     return np.sort(_column(t.filter(pc.equal(t["kind"], kind)), "key")) if t.num_rows else np.empty(0, np.uint64)
 
 
-class Verdicts:
-    """Which runs of the chunk's blocks, taken in order, are covered whole and which stay open."""
+def _verdicts(docs: pa.Table, messages: pa.Table, length: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each block of the chunk, in order: which runs are covered whole, and which stay open."""
+    earlier, open_ = _message(messages, PAIR_EARLIER), _message(messages, GRAM_OPEN)
+    pairs, undecided = [], []
+    for b in _blocks(docs, length):
+        pairs.append(b.pair())
+        undecided.append(_members(b.gram(), open_))
+    cut = np.cumsum([len(p) for p in pairs])[:-1]
+    pair = np.concatenate([np.empty(0, np.uint64), *pairs])
+    covered = ~_first_here(pair) | _members(pair, earlier)
+    stays = ~covered & np.concatenate([np.empty(0, bool), *undecided])
+    return list(zip(np.split(covered, cut), np.split(stays, cut), strict=True)) if pairs else []
 
-    def __init__(self, messages: pa.Table):
-        self.earlier, self.open = _message(messages, PAIR_EARLIER), _message(messages, GRAM_OPEN)
-        self.seen = np.empty(0, np.uint64)
 
-    def of(self, b: Block) -> tuple[np.ndarray, np.ndarray]:
-        pair = b.pair()[:, 0]
-        covered = ~_first_here(pair) | _members(pair, self.seen) | _members(pair, self.earlier)
-        fresh = pair[~covered]
-        self.seen = np.union1d(self.seen, fresh)
-        return covered, ~covered & _members(b.gram(), self.open)
+def _windows(docs: pa.Table, verdicts: list, length: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ranks of the open runs' windows, for each block in order."""
+    none = np.empty(0, np.int64), np.empty(0, np.uint64)
+    if not any(stays.any() for _, stays in verdicts):
+        return [none] * len(verdicts)
+    return [b.windows(np.flatnonzero(stays)) if stays.any() else none
+            for b, (_, stays) in zip(_blocks(docs, length), verdicts, strict=True)]
 
 
 def _open_windows(length: int):
     def run(docs: pa.Table, messages: pa.Table) -> pa.Table:
         """Round 3, in a chunk: each distinct window of the open runs once."""
-        verdicts, keys = Verdicts(messages), [np.empty(0, np.uint64)]
-        if len(verdicts.open):
-            for b in _blocks(docs, length):
-                _, open_ = verdicts.of(b)
-                if open_.any():
-                    keys.append(np.unique(b.windows(np.flatnonzero(open_))[1]))
-        key = np.unique(np.concatenate(keys))
+        found = _windows(docs, _verdicts(docs, messages, length), length)
+        key = np.unique(np.concatenate([np.empty(0, np.uint64), *[k for _, k in found]]))
         chunk = docs["chunk"][0].as_py() if docs.num_rows else 0
         return pa.table([_longs(key), pa.array(np.full(len(key), chunk), pa.int32())], names=["key", "chunk"])
     return run
@@ -323,21 +332,16 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 def _remove(length: int):
     def run(docs: pa.Table, messages: pa.Table) -> pa.Table:
         """What is left of each document of a chunk."""
-        verdicts, earlier = Verdicts(messages), _message(messages, WINDOW_EARLIER)
-        seen = np.empty(0, np.uint64)
+        verdicts, earlier = _verdicts(docs, messages, length), _message(messages, WINDOW_EARLIER)
+        found = _windows(docs, verdicts, length)
+        key = np.concatenate([np.empty(0, np.uint64), *[k for _, k in found]])
+        again = ~_first_here(key) | _members(key, earlier)
+        hits = np.split(again, np.cumsum([len(k) for _, k in found])[:-1]) if found else []
         ids, sizes, removed, spans, kept = [], [], [], [], []
-        for b in _blocks(docs, length):
-            covered, open_ = verdicts.of(b)
-            change = np.zeros(len(b.raw) + 1, np.int32)
-            np.add.at(change, b.start[covered], 1)
-            np.add.at(change, b.stop[covered], -1)
-            if open_.any():
-                at, key = b.windows(np.flatnonzero(open_))
-                hit = ~_first_here(key) | _members(key, seen) | _members(key, earlier)
-                np.add.at(change, at[hit], 1)
-                np.add.at(change, at[hit] + length, -1)
-                # only windows that are not known from an earlier chunk can be news to later blocks
-                seen = np.union1d(seen, key[~hit])
+        for b, (covered, _), (at, _), hit in zip(_blocks(docs, length), verdicts, found, hits, strict=True):
+            size = len(b.raw) + 1
+            change = (np.bincount(b.start[covered], minlength=size) - np.bincount(b.stop[covered], minlength=size)
+                      + np.bincount(at[hit], minlength=size) - np.bincount(at[hit] + length, minlength=size))
             gone = np.cumsum(change[:-1]) > 0
             before = np.r_[0, np.cumsum(gone)]
             edge = gone & ~np.r_[False, gone[:-1]]

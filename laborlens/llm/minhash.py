@@ -10,9 +10,10 @@
    full sets against one pivot (the smallest member of a bucket; of its pivots
    the one it shares most buckets with), and accepted links are grouped by
    union-find. Buckets whose members are by then in one component are finished.
-   In the others members of different components are compared by signature,
-   block by block inside a task; only pairs whose signatures agree in
-   ``LEAST_EQUAL`` positions leave it, to be confirmed on the full sets.
+   Components that meet in an unfinished bucket are gathered around the largest
+   of them, once for all buckets, and their members compared block by block
+   inside tasks: pairs whose signatures agree in ``LEAST_EQUAL`` positions are
+   confirmed there on the full sets, and only links that connect leave it.
 
 Lower case is A-Z only; words are runs without ASCII white space. Null texts and
 texts without words have an empty set and no links; texts with fewer words than
@@ -44,7 +45,7 @@ POSITIONS = BANDS * ROWS
 LEAST_EQUAL = 87
 ELEMENTS_PER_STEP = 40_000
 MEMBERS_PER_GROUP = 256
-MEMBERS_PER_CELL = 512
+MEMBERS_PER_CELL = 2048
 ROWS_PER_STEP = 512
 
 
@@ -275,58 +276,92 @@ def _links(rows: DataFrame, lead: DataFrame) -> DataFrame:
              .groupBy(F.col("p.d").alias("p"), "d").agg(F.count(F.lit(1)).alias("bands")))
     likely = pairs.groupBy("d").agg(F.max_by("p", F.struct("bands", -F.col("p"))).alias("p")).select("p", "d")
     found = keep(_confirm(likely, texts), "minhash-links")
-    # buckets whose members are in one component by now are finished
-    members = keep(_labelled(buckets, components(found)), "minhash-members")
-    open_keys = (members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                            F.ceil(F.count(F.lit(1)) / MEMBERS_PER_CELL).alias("blocks"))
-                 .where("lo <> hi").select("key", "blocks"))
-    block = F.pmod(F.xxhash64("d"), F.col("blocks"))
-    # a cell for every two blocks of a bucket
-    cells = (members.join(open_keys, "key").join(lead.select("d", "sig"), "d").withColumn("block", block)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "block", "d", "n", "root", "sig"))
-    close = (cells.repartition(partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j", "d")
-             .mapInArrow(_close, "p long, d long").distinct())
-    return found.unionByName(_confirm(keep(close, "minhash-close"), texts))
+    # buckets whose members are in one component by now are finished; only (bucket, component) rows go on
+    root = components(found)
+    nodes = keep(_labelled(buckets.select("d", "n").distinct(), root), "minhash-nodes")
+    size = nodes.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
+    held = keep(_labelled(buckets.select("key", "d"), root).select("key", "root").distinct().join(size, "root"),
+                "minhash-open")
+    hubs = (held.groupBy("key").agg(F.max(F.struct("m", "root")).alias("hub"), F.count(F.lit(1)).alias("c"))
+            .where("c > 1").select("key", F.col("hub.root").alias("hub")))
+    # components that meet in some bucket, gathered around the largest component of the bucket
+    near = held.join(hubs, "key").select("hub", "root").distinct()
+    rows = near.join(nodes, "root").join(lead.select("d", "sig"), "d")
+    major = F.col("root") == F.col("hub")
+    count = near.join(size, "root").groupBy("hub").agg(
+        F.greatest(F.lit(1), F.ceil(F.sum(F.when(major, F.col("m"))) / MEMBERS_PER_CELL)).alias("of_hub"),
+        F.greatest(F.lit(1), F.ceil(F.sum(F.when(~major, F.col("m"))) / MEMBERS_PER_CELL)).alias("of_rest"))
+    rows = rows.join(count, "hub")
+    upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    cell = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"),
+                                             j.cast("long").alias("j"), side.cast("int").alias("side"))
+    place = lambda c: F.pmod(F.xxhash64("d"), F.col(c))
+    zero, one = F.lit(0), F.lit(1)
+    # a block of the hub's members meets all others; the others meet each other block by block
+    cells = F.when(major, F.array(cell(0, place("of_hub"), zero, zero))).otherwise(F.concat(
+        F.transform(upto("of_hub"), lambda i: cell(0, i, zero, one)),
+        F.transform(upto("of_rest"), lambda o: cell(1, F.least(place("of_rest"), o), F.greatest(place("of_rest"), o),
+                                                    F.when(o < place("of_rest"), one).otherwise(zero)))))
+    dealt = (rows.join(texts, "d").select("hub", "d", "n", "root", "sig", "t", F.explode(cells).alias("cell"))
+             .select("hub", "cell.*", "d", "n", "root", "sig", "t"))
+    more = (dealt.repartition(partitions(spark), "hub", "kind", "i", "j").sortWithinPartitions("hub", "kind", "i", "j", "d")
+            .mapInArrow(_close, "a long, b long"))
+    return found.unionByName(more)
+
+
+CELL = ("hub", "kind", "i", "j")
 
 
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one cell (rows of a bucket's two blocks) that may be linked: not yet in one component, sizes
-    and signatures near enough. The rows come sorted by cell."""
+    """Confirmed links of one cell that connect components. A cell's rows come together; its two
+    sides are compared, or one block with itself: sizes, then signatures, then the full sets.
+    A link merges its components in the cell, so pairs inside one are not looked at again."""
     held: list[pa.Table] = []
 
-    def pairs(t: pa.Table) -> pa.RecordBatch:
-        d, n, root = (t[c].to_numpy() for c in ("d", "n", "root"))
-        block, cross = t["block"].to_numpy(), t["i"][0].as_py() != t["j"][0].as_py()
+    def links(t: pa.Table) -> pa.RecordBatch:
+        d, n, side = (t[c].to_numpy() for c in ("d", "n", "side"))
+        root = t["root"].to_numpy().copy()
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(len(d), POSITIONS)
+        sets: dict[int, np.ndarray] = {}
+
+        def full(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(t["t"][i].as_py())
+            return sets[i]
+
+        itself = t["kind"][0].as_py() == 1 and t["i"][0].as_py() == t["j"][0].as_py()
+        left = np.arange(len(d)) if itself else np.flatnonzero(side == 1)
+        right = left if itself else np.flatnonzero(side == 0)
+        if len(left) > len(right):
+            left, right = right, left
         a, b = [], []
-        for x in range(len(d) - 1):
-            y = np.flatnonzero((root[x + 1:] != root[x]) & (np.minimum(n[x + 1:], n[x]) * 100 >= np.maximum(
-                n[x + 1:], n[x]) * THRESHOLD) & ((block[x + 1:] != block[x]) if cross else True)) + x + 1
-            if len(y):
-                y = y[(sig[y] == sig[x]).sum(axis=1) >= LEAST_EQUAL]
-                a.append(np.full(len(y), d[x]))
-                b.append(d[y])
-        none = np.empty(0, np.int64)
-        a, b = np.concatenate([none, *a]), np.concatenate([none, *b])
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["p", "d"])
+        for k, x in enumerate(left.tolist()):
+            y = right[k + 1:] if itself else right
+            y = y[(root[y] != root[x]) & (np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * THRESHOLD)]
+            equal = (sig[y] == sig[x]).sum(axis=1)
+            y = y[equal >= LEAST_EQUAL][np.argsort(-equal[equal >= LEAST_EQUAL], kind="stable")]
+            for z in y.tolist():  # the likeliest first
+                if root[z] != root[x] and linked(full(x), full(z)):
+                    a.append(min(d[x], d[z]))
+                    b.append(max(d[x], d[z]))
+                    root[root == root[z]] = root[x]
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        cell = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
+        cell = np.stack([batch.column(c).to_numpy() for c in CELL])
         bounds = [0, *(np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-        if held and any(held[-1][c][0].as_py() != batch.column(c)[0].as_py() for c in ("key", "i", "j")):
-            yield pairs(pa.concat_tables(held))
+        if held and any(held[-1][c][0].as_py() != batch.column(c)[0].as_py() for c in CELL):
+            yield links(pa.concat_tables(held))
             held = []
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             held.append(pa.Table.from_batches([batch.slice(lo, hi - lo)]))
             if hi < batch.num_rows:
-                yield pairs(pa.concat_tables(held))
+                yield links(pa.concat_tables(held))
                 held = []
     if held:
-        yield pairs(pa.concat_tables(held))
+        yield links(pa.concat_tables(held))
 
 
 def _labelled(rows: DataFrame, root: DataFrame) -> DataFrame:

@@ -32,7 +32,9 @@ def _landed_news(spark, sf_dir):
 
 def _silver_stream(spark, sf_dir):
     d = dic()
-    return Z.silver_news_stream(Z.news_stream(spark, _landed_news(spark, sf_dir)), d.canonical, d.city_aliases)
+    root = _landed_news(spark, sf_dir)
+    Z.keep_unreadable(spark, root, scratch_path(spark, "stream-unreadable"), scratch_path(spark, "stream-unreadable-ck"))
+    return Z.silver_news_stream(Z.news_stream(spark, root), d.canonical, d.city_aliases)
 
 
 def _sql_news_parsed() -> str:

@@ -8,8 +8,11 @@ exactly where it stopped.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from laborlens import schemas
 from laborlens.functions import dictionaries as D
@@ -19,14 +22,59 @@ from laborlens.functions.similarity import with_company_norm
 from laborlens.functions.text import normalise_city, parse_count
 from laborlens.operators import history as H
 from laborlens.operators.dedupe import news_url_key
+from laborlens.sources.bronze import CORRUPT
+
+
+def envelope_stream(spark: SparkSession, landed: str, max_files: int = 4) -> DataFrame:
+    """Landed news files as a stream of envelopes (A1): ``_file``, the envelope's
+    fields and ``_corrupt_record`` (the text that can't be read, else null).
+
+    Each file is taken as what it is, by the rule of the batch reader: a file of
+    which some line is an envelope is read line by line, any other file that has
+    unreadable lines as one (pretty-printed) envelope. A file is one row until
+    its form is known, so it must fit a string (2 GB; a larger one fails the job)."""
+    schema = schemas.any_envelope(schemas.NEWS).add(T.StructField(CORRUPT, T.StringType()))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+    def parse(body: Column) -> Column:
+        unreadable = F.struct(*[(body if f.name == CORRUPT else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
+        many = F.from_json(body, T.ArrayType(schema), options)
+        return (F.when(body.rlike(r"^\s*\["), F.coalesce(many, F.array(unreadable)))
+                .otherwise(F.array(F.from_json(body, schema, options))))
+
+    def bad(e: Column) -> Column:
+        return e.getField(CORRUPT).isNotNull()
+
+    def good(e: Column) -> Column:
+        return ~bad(e) & (e.getField("records").isNotNull() | e.getField("jobs").isNotNull())
+
+    files = (spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", max_files).load(landed)
+             .select(F.col("_metadata.file_path").alias("_file"), "value"))
+    lines = F.filter(F.split("value", "\r\n|\r|\n"), lambda line: line.rlike(r"\S"))
+    by_line = files.withColumn("_lines", F.flatten(F.transform(lines, parse)))
+    pretty = F.exists("_lines", bad) & ~F.exists("_lines", good)
+    env = by_line.select("_file", F.explode(F.when(pretty, parse(F.col("value"))).otherwise(F.col("_lines"))).alias("e"))
+    return env.select("_file", "e.*")
 
 
 def news_stream(spark: SparkSession, landed: str, max_files: int = 4) -> DataFrame:
-    """Landed news envelopes as a stream of records (A1/A2 in streaming form)."""
+    """Landed news envelopes as a stream of records (A1/A2 in streaming form);
+    ``keep_unreadable`` keeps and counts the envelopes that give no records
+    because they can't be read."""
     arr = F.when(F.size("records") > 0, F.col("records")).otherwise(F.col("jobs"))
-    env = (spark.readStream.schema(schemas.any_envelope(schemas.NEWS))
-           .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).json(landed))
-    return env.select(F.explode(arr).alias("r")).select("r.*")
+    return envelope_stream(spark, landed, max_files).select(F.explode(arr).alias("r")).select("r.*")
+
+
+def keep_unreadable(spark: SparkSession, landed: str, out: str, checkpoint: str, max_files: int = 4) -> int:
+    """Keep the envelopes that can't be read (``_file``, text) as parquet files under
+    ``out``; their number so far, with a warning if there are any."""
+    env = envelope_stream(spark, landed, max_files).where(F.col(CORRUPT).isNotNull()).select("_file", CORRUPT)
+    run_to_parquet(env, out, checkpoint)
+    n = spark.read.schema(env.schema).parquet(out).count()
+    if n:
+        warnings.warn(f"{n} landed envelopes under {landed} can't be read; kept in {out}", stacklevel=2)
+    return n
 
 
 def silver_news_stream(records: DataFrame, canonical, city_aliases) -> DataFrame:

@@ -52,6 +52,34 @@ def test_envelope_forms(spark, tmp_path):
     assert tuple(bronze.envelope_counts(spark, str(tmp_path), "news", schemas.NEWS).first()) == ("news", 5, 2, 6)
 
 
+def test_envelope_forms_in_the_stream(spark, tmp_path):
+    """The stream reads what the batch reader reads, and keeps and counts the rest."""
+    import json
+    import warnings
+    folder = tmp_path / "landed" / "source=news" / "run=r1"
+    folder.mkdir(parents=True)
+    rec = lambda u, h: {"title": u, "url": u, "headcount": h}
+    env = lambda *r: {"batch_ts": "b", "run_id": "r", "records": list(r)}
+    (folder / "a.json").write_text(json.dumps(env(rec("a", "1,200"), rec("b", 5000.0)), indent=2))
+    (folder / "b.json").write_text(json.dumps(env(rec("c", 1200))))
+    (folder / "c.json").write_text(json.dumps(env(rec("d", None))) + "\n" + json.dumps(env(rec("e", 3))) + "\n{broken\n")
+    (folder / "d.json").write_text(json.dumps({"run_id": "r", "records": [], "jobs": [rec("f", 4)]}, indent=2))
+    (folder / "e.json").write_text("{ not json\n at all")
+    (folder / "g.json").write_text(json.dumps([env(rec("g", 5)), env(rec("h", 6))]))
+    root, out, ck = str(tmp_path / "landed"), str(tmp_path / "out"), str(tmp_path / "ck")
+    Z.run_to_parquet(Z.news_stream(spark, root), out, ck)
+    got = {r.url: r.headcount for r in spark.read.parquet(out).collect()}
+    assert got == {"a": "1,200", "b": "5000.0", "c": "1200", "d": None, "e": "3", "f": "4", "g": "5", "h": "6"}
+    bad, bad_ck = str(tmp_path / "bad"), str(tmp_path / "bad-ck")
+    with warnings.catch_warnings(record=True) as told:
+        warnings.simplefilter("always")
+        assert Z.keep_unreadable(spark, root, bad, bad_ck) == 2
+        assert Z.keep_unreadable(spark, root, bad, bad_ck) == 2  # nothing new has landed
+    assert any("can't be read" in str(w.message) for w in told)
+    kept = {(r._file.rsplit("/", 1)[1], r._corrupt_record) for r in spark.read.parquet(bad).collect()}
+    assert kept == {("c.json", "{broken"), ("e.json", "{ not json\n at all")}
+
+
 def test_land_and_read_envelopes(spark, tmp_path):
     root = str(tmp_path / "bronze")
     land_envelopes(news_df(spark), root, {"source": F.lit("news")}, "url", "records", "record_count",

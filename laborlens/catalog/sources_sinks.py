@@ -18,7 +18,7 @@ from laborlens.catalog.core import bronze_register, city_rollup, gold_company, s
 from laborlens.catalog.registry import register
 from laborlens.functions import text as X
 from laborlens.functions.dates import parse_published
-from laborlens.operators.html import LD_JSON_RE, link_cards, page_postings, table_rows
+from laborlens.operators.html import LD_JSON_RE, card_postings, page_postings, table_rows
 from laborlens.session import materialise, scratch_path
 from laborlens.sinks import documents as K
 from laborlens.sinks.landing import land_chunked, land_envelopes, write_table
@@ -135,13 +135,12 @@ FROM (SELECT page_id, hrefs, texts, company, '' AS loc, lang, unnest(range(1, le
          regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang FROM pages))""", ops="A7")
 def q_page_cards(spark, sf_dir):
     p = tables.read(spark, sf_dir, "pages")
-    cards = p.select("page_id", F.posexplode(link_cards(F.col("html"))).alias("card_idx", "card"),
-                     F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1).alias("company"),
-                     F.regexp_extract("html", r'<html lang="([a-z]+)"', 1).alias("lang"))
-    loc = F.lit("")
-    return cards.select("page_id", F.col("card_idx").cast("bigint").alias("card_idx"),
-                        F.col("card.href").alias("job_url"), F.col("card.text").alias("title"), "company",
-                        F.coalesce(F.nullif(loc, F.lit("")), X.title_case("lang")).alias("location"))
+    company = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
+    lang = F.regexp_extract("html", r'<html lang="([a-z]+)"', 1)
+    cards = p.select("page_id", F.posexplode(card_postings(F.col("html"), company, city=lang, as_of=F.to_timestamp(F.lit(BATCH_TS))))
+                     .alias("card_idx", "card"))
+    return cards.select("page_id", F.col("card_idx").cast("bigint").alias("card_idx"), "card.job_url", "card.title",
+                        "card.company", "card.location")
 
 
 LD_SCHEMA = ("struct<`@type`:string,title:string,hiringOrganization:struct<name:string>,datePosted:string,"

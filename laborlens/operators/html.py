@@ -1,8 +1,8 @@
 """HTML extraction as column expressions (A6-A9): regex over landed pages.
 
-No HTML parser: the landed markup is machine-generated and regular, so
-``regexp_extract_all`` + ``transform``/``posexplode`` recover cards, tables
-and JSON-LD blocks per row, inside the JVM.
+Tables, list links and JSON-LD blocks are machine-generated and regular, so
+``regexp_extract_all`` + ``transform``/``posexplode`` recover them per row,
+inside the JVM; the boards' nested job cards go through ``cards.board_cards``.
 """
 
 from __future__ import annotations
@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from laborlens.functions.dates import relative_date
+from laborlens.functions.text import title_case
+from laborlens.operators.cards import board_cards
+
 TABLE_RE = r"(?s)<table[^>]*>(.*?)</table>"
 ROW_RE = r"(?s)<tr[^>]*>(.*?)</tr>"
 CELL_RE = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
@@ -66,31 +70,56 @@ LD_POSTING_SCHEMA = ("struct<`@type`:string,title:string,hiringOrganization:stru
                      "url:string,baseSalary:struct<value:struct<value:string>>>")
 
 
-def ld_postings(html: Column) -> Column:
+def _posting(title: Column, company: Column, location: Column, experience: Column, salary: Column,
+             posted_date: Column, job_url: Column) -> Column:
+    return F.struct(title.alias("title"), company.alias("company"), location.alias("location"),
+                    experience.alias("experience"), salary.alias("salary"), posted_date.alias("posted_date"),
+                    job_url.alias("job_url"))
+
+
+def _located(location: Column, city: Column | None) -> Column:
+    """The posting's own location, or the title-cased city of its page where it has none."""
+    return location if city is None else F.coalesce(F.nullif(location, F.lit("")), title_case(city))
+
+
+def ld_postings(html: Column, city: Column | None = None) -> Column:
     """JobPosting items of all JSON-LD blocks (a block is one object or a list)
-    as array<struct<title, company, posted_date, job_url, salary>>."""
+    as array<struct<title, company, location, experience, salary, posted_date, job_url>>;
+    the location is the page's city (null without one)."""
     def items(body):
         return F.when(body.startswith("["), F.from_json(body, f"array<{LD_POSTING_SCHEMA}>")) \
             .otherwise(F.array(F.from_json(body, LD_POSTING_SCHEMA)))
     all_items = F.flatten(F.transform(ld_json_blocks(html), items))
     postings = F.filter(all_items, lambda it: it.getField("@type") == "JobPosting")
-    return F.transform(postings, lambda it: F.struct(
-        it.getField("title").alias("title"), it.getField("hiringOrganization").getField("name").alias("company"),
-        it.getField("datePosted").alias("posted_date"), it.getField("url").alias("job_url"),
-        it.getField("baseSalary").getField("value").getField("value").alias("salary")))
+    none = F.lit(None).cast("string")
+    return F.transform(postings, lambda it: _posting(
+        it.getField("title"), it.getField("hiringOrganization").getField("name"), _located(none, city), F.lit(""),
+        it.getField("baseSalary").getField("value").getField("value"), it.getField("datePosted"), it.getField("url")))
+
+
+def card_postings(html: Column, company: Column, city: Column | None = None, as_of: Column | None = None) -> Column:
+    """The cards of a page as the same struct shape: each board card's own
+    fields, its relative date counted from ``as_of`` (kept as text without one);
+    on a page without board cards its list-item links, company from the page."""
+    def card(c):
+        date = c.getField("posted_date")
+        return _posting(c.getField("title"), c.getField("company"), _located(c.getField("location"), city),
+                        c.getField("experience"), c.getField("salary"),
+                        date if as_of is None else relative_date(date, as_of), c.getField("job_url"))
 
+    def link(c):
+        none = F.lit(None).cast("string")
+        return _posting(c.getField("text"), company, _located(none, city), none, none, none, c.getField("href"))
 
-def card_postings(html: Column, company: Column) -> Column:
-    """List-item link cards as the same struct shape (company from the page)."""
-    return F.transform(link_cards(html), lambda c: F.struct(
-        c.getField("text").alias("title"), company.alias("company"), F.lit(None).cast("string").alias("posted_date"),
-        c.getField("href").alias("job_url"), F.lit(None).cast("string").alias("salary")))
+    cards = board_cards(html)
+    return F.when(F.size(cards) > 0, F.transform(cards, card)).otherwise(F.transform(link_cards(html), link))
 
 
-def page_postings(html: Column, company: Column, mode: str = "fallback") -> Column:
+def page_postings(html: Column, company: Column, mode: str = "fallback", city: Column | None = None,
+                  as_of: Column | None = None) -> Column:
     """A6 + A7 per page: ``fallback`` takes the cards, or the JSON-LD postings
     only when the page has no cards; ``both`` takes cards and JSON-LD postings."""
-    cards, ld = card_postings(html, company), ld_postings(html)
+    cards, ld = card_postings(html, company, city, as_of), ld_postings(html, city)
     if mode == "both":
         return F.concat(cards, ld)
     return F.when(F.size(cards) > 0, cards).otherwise(ld)

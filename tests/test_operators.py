@@ -92,6 +92,41 @@ def test_page_postings_modes(spark):
         assert got == want, mode
 
 
+CARDS_A = """<ul><li><a href="/nav">nav</a></li></ul><h1>Page Co</h1>
+<article class="jobTuple bgWhite"><div><a class="title fw500" href="/j1?a=1&amp;b=2">Data <b>Engineer</b></a>
+<a class="subTitle" href="/c">Acme &amp; Sons</a></div><ul><li class="experience"><span>2-5 Yrs</span></li>
+<li class="salary"><span>6 Lacs</span></li><li class="location"><i></i><span>Navi Mumbai</span></li></ul>
+<div><div></div></div><span class="date">3 Days Ago</span></article>
+<div class="x srp-jobtuple-wrapper"><div><a class="title " href="/j2">Tester</a><a class="comp-name mw" href="/b">Beta</a>
+<span class="exp-wrap"><span>1 Yr</span></span><span class="job-post-day ">Just now</span></div></div>
+<footer><span class="date">9 weeks ago</span><span class="salary">x</span></footer>"""
+CARDS_B = """<ul><li><div class="base-card relative"><a class="base-card__full-link" href="/k1"></a>
+<h3 class="base-search-card__title"> Analyst </h3><h4 class="base-search-card__subtitle"><a href="/g">Gamma</a></h4>
+<span class="job-search-card__location">Pune, India</span><time datetime="2024-01-30">1 day ago</time></div></li>
+<li class="result-card"><a class="result-card__full-card-link" href="/k2"></a><h3 class="result-card__title">Clerk</h3>
+<h4 class="result-card__subtitle">Delta</h4></li></ul>"""
+
+
+def test_board_cards_keep_every_field(spark):
+    from laborlens.operators.html import page_postings
+    ld = ('<script type="application/ld+json">{"@type":"JobPosting","title":"L","hiringOrganization":{"name":"C"},'
+          '"datePosted":"2024-01-02","url":"/l"}</script>')
+    df = spark.createDataFrame([(1, CARDS_A), (2, CARDS_B), (3, ld), (4, CARDS_B + ld), (5, None)], "p int, html string")
+    postings = lambda mode: page_postings(F.col("html"), F.lit("Page Co"), mode, F.lit("new delhi"),
+                                          F.lit("2024-01-31 06:00:00").cast("timestamp"))
+    cols = ["title", "company", "location", "experience", "salary", "posted_date", "job_url"]
+    got = lambda mode: {r.p: [tuple(x[c] for c in cols) for x in r.j or []]
+                        for r in df.select("p", postings(mode).alias("j")).collect()}
+    b = [("Analyst", "Gamma", "Pune, India", "", "", "2024-01-30", "/k1"),
+         ("Clerk", "Delta", "New Delhi", "", "", "", "/k2")]
+    one = ("L", "C", "New Delhi", "", None, "2024-01-02", "/l")
+    want = {1: [("DataEngineer", "Acme & Sons", "Navi Mumbai", "2-5 Yrs", "6 Lacs", "2024-01-28", "/j1?a=1&b=2"),
+                ("Tester", "Beta", "New Delhi", "1 Yr", "", "Just now", "/j2")], 2: b, 3: [one], 4: b, 5: []}
+    assert got("fallback") == want
+    assert got("both") == want | {4: b + [one]}
+    assert df.select(F.explode(postings("fallback")).alias("x")).count() == 7
+
+
 def test_news_url_key_root_urls(spark):
     from laborlens.operators.dedupe import news_url_key
     df = spark.createDataFrame([("https://t.example/", "A"), ("https://t.example", "B"), ("https://t.example/x/1", "C"),

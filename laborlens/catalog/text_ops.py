@@ -101,6 +101,13 @@ def q_page_text(spark, sf_dir):
                     X.url_host("url").alias("host"))
 
 
+@register("page_text_whole", sql=lambda: f"""
+SELECT page_id, {S.strip_html('html')} AS text FROM pages""", ops="X9")
+def q_page_text_whole(spark, sf_dir):
+    """The whole stripped text of each page, of which page_text serves the first 500 characters."""
+    return _t(spark, sf_dir, "pages").select("page_id", X.strip_html("html").alias("text"))
+
+
 @register("name_title_case", sql=lambda: f"""
 SELECT n_nationkey, {S.title_case('n_name')} AS city_title, {S.normalise_city('n_name', dic().city_aliases)} AS city,
        {S.normalise_city('n_name')} AS city_fixed_map,

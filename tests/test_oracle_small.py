@@ -42,6 +42,15 @@ def test_query_matches_sql(spark, con, name):
     assert got == want
 
 
+def test_page_text_is_whole(spark, con):
+    e, served = load_all()["page_text_whole"], load_all()["page_text"]
+    got = {r.page_id: r.text for r in e.run(spark, SF).collect()}
+    assert got == dict(con.execute(e.sql()).fetchall())
+    rows = served.run(spark, SF).collect()
+    assert any(r.n_chars > 500 for r in rows)
+    assert all(len(got[r.page_id]) == r.n_chars and got[r.page_id].startswith(r.description.rstrip()) for r in rows)
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as entry
     df = entry.entry(spark)

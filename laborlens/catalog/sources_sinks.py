@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from laborlens import schemas
 from laborlens.catalog import roles_sql as R
 from laborlens.catalog import sqlgen as S
-from laborlens.catalog.core import bronze_register, city_rollup, gold_company, sql_city_rollup, sql_gold_company
+from laborlens.catalog.core import (NEWS_AS_OF, bronze_register, city_rollup, dic, gold_company, sql_city_rollup,
+                                    sql_gold_company, ts)
 from laborlens.catalog.registry import register
 from laborlens.functions import text as X
 from laborlens.functions.dates import parse_published
@@ -181,7 +182,9 @@ def _tracker_pages(spark, sf_dir):
     j = s.join(n, s.s_nationkey == n.n_nationkey)
     loc = (F.when(F.col("n_regionkey") == 2, F.concat(F.initcap("n_name"), F.lit(", India")))
            .when(F.col("n_regionkey") == 1, F.lit("Pune, MH")).otherwise(F.col("n_name")))
-    cells = [F.col("s_name"), F.format_number(F.floor(F.abs("s_acctbal")), 0), F.lit("2024-01-15"), F.lit("Retail"), loc]
+    # every row its own date, some of them before the 30-day window of the news
+    day = F.date_format(F.date_add(F.lit("2023-12-22").cast("date"), (F.col("s_suppkey") % 40).cast("int")), "yyyy-MM-dd")
+    cells = [F.col("s_name"), F.format_number(F.floor(F.abs("s_acctbal")), 0), day, F.lit("Retail"), loc]
     five = F.concat(*[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells])
     four = F.concat(*[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells[:4]])
     # suppliers with a negative balance come through with a missing cell (4 cells)
@@ -212,6 +215,11 @@ WHERE contains(lower(location), 'india') OR {' OR '.join(f"contains(lower(locati
 
 @register("tracker_layoffs", sql=_sql_tracker, ops="A9 B9 X13 X8 X10")
 def q_tracker(spark, sf_dir):
+    return tracker_rows(spark, sf_dir).drop("date")
+
+
+def tracker_rows(spark, sf_dir):
+    """Typed tracker rows (A9) with the row's own date cell."""
     rows = table_rows(_tracker_pages(spark, sf_dir), "html", ["page_id"]).where(F.size("cells") >= 5)
     c = lambda i: F.get(F.col("cells"), i)
     typed = rows.select(c(0).alias("company"), c(1).alias("hc_raw"), c(2).alias("date"), c(3).alias("industry"),
@@ -224,7 +232,7 @@ def q_tracker(spark, sf_dir):
     return t.select("company", X.digits_only("hc_raw").alias("headcount"),
                     X.layoff_headline("company", "hc_raw").alias("title"),
                     X.tracker_description("company", "industry", "location").alias("description"),
-                    X.extract_city("location").alias("city"))
+                    X.extract_city("location").alias("city"), "date")
 
 
 @register("gold_sector_roundtrip", sql=f"""
@@ -389,9 +397,9 @@ TRACKER_URL = "https://tracker.example/"
 
 def tracker_news(spark, sf_dir):
     """Tracker rows (A9) in the news record shape: one site-root URL for all of them."""
-    t = q_tracker(spark, sf_dir)
-    return t.select("title", "description", "company", "city", "headcount", F.lit("layoff").alias("signal_type"),
-                    F.lit("2024-01-15").alias("published_at"), F.lit(TRACKER_URL).alias("url"),
+    t = tracker_rows(spark, sf_dir)
+    return t.select("title", "description", "company", "city", F.col("headcount").cast("string").alias("headcount"),
+                    F.lit("layoff").alias("signal_type"), F.col("date").alias("published_at"), F.lit(TRACKER_URL).alias("url"),
                     F.lit("tracker").alias("source_name"), F.lit("tracker").alias("source"),
                     F.lit("2024-01-31T06:00:00Z").alias("scraped_at"))
 
@@ -416,3 +424,25 @@ def q_news_all_origins(spark, sf_dir):
     counts = keyed.groupBy("url_key").agg(F.count(F.lit(1)).alias("n_sources"))
     return keep_first(keyed, ["url_key"], ["scraped_at", "title", "source"]).join(counts, "url_key") \
         .select("url_key", "title", "source", "n_sources")
+
+
+_TRACKER_NEWS_SQL = f"""
+SELECT t.title, t.description, t.company, t.city, t.headcount, 'layoff' AS signal_type,
+       strftime(DATE '2023-12-22' + CAST(s.s_suppkey % 40 AS INT), '%Y-%m-%d') AS published_at, '{TRACKER_URL}' AS url,
+       'tracker' AS source_name, 'tracker' AS source, '2024-01-31T06:00:00Z' AS scraped_at
+FROM ({_TRACKER_SQL}) t JOIN supplier s ON t.company = s.s_name"""
+_ALL_NEWS_SQL = " UNION ALL ".join(f"SELECT {', '.join(R.NEWS_COLUMNS)} FROM ({src})" for src in (R.NEWS, _TRACKER_NEWS_SQL))
+
+
+@register("tracker_silver_news", sql=lambda: f"""
+SELECT url_key, title, company_norm, city, headcount, strftime(published_ts, '%Y-%m-%d') AS day, source
+FROM ({R.silver_news(dic(), NEWS_AS_OF).replace(R.NEWS, _ALL_NEWS_SQL)})""",
+          ops="A9 T2 U2 B6 Y2")
+def q_tracker_silver(spark, sf_dir):
+    """Tracker rows beside the other news through the silver plan: dated by their
+    own cell, those outside the window dropped."""
+    from laborlens.plans import silver
+    news = tables.news_signals(spark, sf_dir)
+    both = news.withColumn("headcount", F.col("headcount").cast("string")).unionByName(tracker_news(spark, sf_dir))
+    return silver.news(both, dic(), ts(NEWS_AS_OF)).select(
+        "url_key", "title", "company_norm", "city", "headcount", F.date_format("published_ts", "yyyy-MM-dd").alias("day"), "source")

@@ -42,6 +42,18 @@ def test_query_matches_sql(spark, con, name):
     assert got == want
 
 
+@pytest.mark.parametrize("name", ["tracker_silver_news", "news_all_origins"])
+def test_tracker_news_matches_sql(spark, con, name):
+    test_query_matches_sql(spark, con, name)
+
+
+def test_tracker_rows_keep_their_own_date(spark, con):
+    from laborlens.catalog.sources_sinks import tracker_news
+    got = {r.company: r.published_at for r in tracker_news(spark, SF).collect()}
+    want = dict(con.execute("SELECT s_name, strftime(DATE '2023-12-22' + CAST(s_suppkey % 40 AS INT), '%Y-%m-%d') FROM supplier").fetchall())
+    assert len(set(got.values())) > 1 and got == {k: want[k] for k in got}
+
+
 def test_page_text_is_whole(spark, con):
     e, served = load_all()["page_text_whole"], load_all()["page_text"]
     got = {r.page_id: r.text for r in e.run(spark, SF).collect()}

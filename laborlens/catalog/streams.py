@@ -63,10 +63,22 @@ SELECT strftime(date_trunc('day', published_ts), '%Y-%m-%d') AS day, signal_type
        CAST(sum(score_tenths) AS BIGINT) AS score_tenths
 FROM ({_sql_news_parsed()}) GROUP BY 1, 2""", ops="Z3")
 def q_stream_daily(spark, sf_dir):
+    return (_daily(spark, sf_dir).groupBy(F.date_format("day", "yyyy-MM-dd").alias("day"), "signal_type")
+            .agg(F.sum("articles").alias("articles"), F.sum("score_tenths").alias("score_tenths")))
+
+
+@register("stream_company_signals", sql=lambda: f"""
+SELECT company_norm, strftime(date_trunc('day', published_ts), '%Y-%m-%d') AS day, signal_type, count(*) AS articles,
+       CAST(sum(score_tenths) AS BIGINT) AS score_tenths
+FROM ({_sql_news_parsed()}) GROUP BY 1, 2, 3""", ops="Z3")
+def q_stream_company(spark, sf_dir):
+    return _daily(spark, sf_dir).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+def _daily(spark, sf_dir):
     out, ck = scratch_path(spark, "z3-out"), scratch_path(spark, "z3-ck")
-    Z.run_complete_to_parquet(Z.daily_signal_counts(_silver_stream(spark, sf_dir)), out, ck)
-    return spark.read.parquet(out).select(Z.window_start("w").alias("day"), "signal_type", "articles",
-                                          F.col("score_tenths").cast("bigint").alias("score_tenths"))
+    Z.daily_signals(_silver_stream(spark, sf_dir), out, ck)
+    return Z.read_daily_signals(spark, out)
 
 
 def _sql_stream_history() -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from laborlens import schemas
 from laborlens.functions import dictionaries as D
-from laborlens.functions.dates import parse_published
+from laborlens.functions.dates import cutoff_date, parse_published
 from laborlens.functions.scoring import signal_score_tenths
 from laborlens.functions.similarity import with_company_norm
 from laborlens.functions.text import normalise_city, parse_count
@@ -77,45 +77,88 @@ def keep_unreadable(spark: SparkSession, landed: str, out: str, checkpoint: str,
     return n
 
 
-def silver_news_stream(records: DataFrame, canonical, city_aliases) -> DataFrame:
-    """Per-record silver steps (X1 per row, X2, Y2, B5, Y4, url key)."""
-    df = with_company_norm(records, "company", "company_norm", canonical)
+def _checked(records: DataFrame, as_of: Column | None, window_days: int) -> DataFrame:
+    """Records with ``published_ts`` and ``_reason``, why silver drops the row (null: it stays):
+    signal_type (B5), published_at (Y2, no date) or window (B6, only with ``as_of``)."""
+    df = records.withColumn("published_ts", parse_published("published_at"))
+    reason = (F.when(~F.coalesce(F.col("signal_type").isin(*D.SIGNAL_TYPES), F.lit(False)), F.lit("signal_type"))
+              .when(F.col("published_ts").isNull(), F.lit("published_at")))
+    if as_of is not None:
+        reason = reason.when(F.to_date("published_ts") < cutoff_date(as_of, window_days), F.lit("window"))
+    return df.withColumn("_reason", reason)
+
+
+def silver_news_stream(records: DataFrame, canonical, city_aliases, as_of: Column | None = None,
+                       window_days: int = 30) -> DataFrame:
+    """Per-record silver steps (X1 per row, X2, Y2, B5, Y4, url key), and B6 if
+    ``as_of`` is given; ``keep_dropped`` keeps and counts the rows left out."""
+    kept = _checked(records, as_of, window_days).where(F.col("_reason").isNull()).drop("_reason")
+    df = with_company_norm(kept, "company", "company_norm", canonical)
     return (df.withColumn("city", normalise_city("city", city_aliases))
-            .where(F.col("signal_type").isin(*D.SIGNAL_TYPES))
-            .withColumns({"published_ts": parse_published("published_at"), "headcount": parse_count("headcount")})
-            .where(F.col("published_ts").isNotNull())
+            .withColumn("headcount", parse_count("headcount"))
             .withColumn("score_tenths", signal_score_tenths("signal_type", "headcount"))
             .withColumn("url_key", news_url_key("url", "title", "company")))
 
 
+def keep_dropped(records: DataFrame, out: str, checkpoint: str, as_of: Column | None = None,
+                 window_days: int = 30) -> dict[str, int]:
+    """Keep the records that the silver stream leaves out (with ``_reason``) as
+    parquet files under ``out``; their number so far by reason."""
+    dropped = _checked(records, as_of, window_days).where(F.col("_reason").isNotNull())
+    run_to_parquet(dropped, out, checkpoint)
+    back = records.sparkSession.read.schema(dropped.schema).parquet(out)
+    return {r["_reason"]: r["count"] for r in back.groupBy("_reason").count().collect()}
+
+
 def dedupe_stream(silver: DataFrame, delay: str = "30 days") -> DataFrame:
     """URL-key dedupe with state bounded by the event-time watermark; rows
-    older than the watermark are late and dropped (the 30-day window, B6)."""
+    older than the watermark are late and dropped, which depends on the order of
+    the landed files (``run_to_parquet`` counts them)."""
     return silver.withWatermark("published_ts", delay).dropDuplicatesWithinWatermark(["url_key"])
 
 
-def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
-    """Run a streaming frame to completion (availableNow) into parquet files."""
+def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> int:
+    """Run a streaming frame to completion (availableNow) into parquet files; the
+    number of late rows this run dropped, with a warning if there are any."""
     q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
          .outputMode(mode).trigger(availableNow=True).start())
-    q.awaitTermination()
+    late: dict[int, int] = {}
+    done = False
+    while not done:  # only the latest progress reports are kept, so they are taken as the job goes
+        done = q.awaitTermination(1)
+        late.update({p["batchId"]: sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"]) for p in q.recentProgress})
+    n = sum(late.values())
+    if n:
+        warnings.warn(f"{n} rows were older than the watermark and dropped", stacklevel=2)
+    return n
 
 
 def daily_signal_counts(silver: DataFrame) -> DataFrame:
-    """Z3: tumbling one-day windows of article counts per signal type."""
-    return (silver.groupBy(F.window("published_ts", "1 day").alias("w"), "signal_type")
-            .agg(F.count(F.lit(1)).alias("articles"), F.sum("score_tenths").alias("score_tenths")))
+    """Z3: article counts per company, day and signal type."""
+    return (silver.groupBy(F.to_date("published_ts").alias("day"), F.col("company_norm"), "signal_type")
+            .agg(F.count(F.lit(1)).alias("articles"), F.sum("score_tenths").cast("bigint").alias("score_tenths")))
 
 
-def run_complete_to_parquet(df: DataFrame, out: str, checkpoint: str) -> None:
-    """Complete-mode aggregate: each micro-batch rewrites the whole (small) result."""
+def daily_signals(silver: DataFrame, out: str, checkpoint: str) -> None:
+    """Z3: each micro-batch writes its own counts as a part named by run and batch; a
+    repeated batch writes its part again. The stream holds no state, so no row
+    is late and no watermark is needed."""
+    run = run_number(silver.sparkSession, out, checkpoint)
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-    q = (df.writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        daily_signal_counts(batch).write.mode("overwrite").parquet(f"{out}/v={run:08d}-{batch_id:08d}")
+    q = (silver.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def read_daily_signals(spark: SparkSession, out: str) -> DataFrame:
+    """The counts of all parts, one row per company, day and signal type."""
+    schema = "day date, company_norm string, signal_type string, articles long, score_tenths long"
+    return (spark.read.schema(schema).parquet(f"{out}/v=*").groupBy("day", "company_norm", "signal_type")
+            .agg(F.sum("articles").alias("articles"), F.sum("score_tenths").alias("score_tenths")))
+
+
 def history_upsert(silver: DataFrame, state_root: str, checkpoint: str, points: int = D.HISTORY_POINTS) -> None:
     """Per micro-batch, add the batch's per-(company, city, day) sums to the
     state's entries of the same day, keep the ``points`` latest days per key, and
@@ -180,7 +223,3 @@ def latest_state(spark: SparkSession, state_root: str, before: str | None = None
     if not done:
         return spark.createDataFrame([], schemas.HISTORY)
     return spark.read.schema(schemas.HISTORY).parquet(f"{state_root}/{done[-1]}")
-
-
-def window_start(col: str = "w") -> Column:
-    return F.date_format(F.col(f"{col}.start"), "yyyy-MM-dd")

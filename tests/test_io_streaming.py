@@ -113,6 +113,34 @@ def test_stream_dedupe_and_history(spark, tmp_path):
                     ("Beta", "2024-01-07"): (5000, 0)}
 
 
+def test_daily_signals_by_company_and_reported_drops(spark, tmp_path):
+    """Counts keep companies apart whatever the file order; late, undated and old rows are counted."""
+    import os
+    old = ("Old", "", "Acme", "Pune", "5", "layoff", "2023-11-01T10:00:00Z", "u9", "f", "api", "2024-01-09T10:00:00Z")
+    undated = ("Undated", "", "Beta", "Pune", "5", "layoff", "soon", "u8", "f", "api", "2024-01-09T10:00:00Z")
+    root = str(tmp_path / "landed")
+    for i, rows in enumerate((NEWS_ROWS[2:], NEWS_ROWS[:2], [old, undated])):  # rows are late by the watermark two batches before
+        land_envelopes(spark.createDataFrame(rows, schemas.NEWS).coalesce(1), root, {"source": F.lit("news")}, "url",
+                       "records", "record_count", f"run{i}", "2024-01-31T06:00:00Z")
+        for d, _, names in os.walk(f"{root}/source=news"):
+            for name in names:
+                if f"run{i}" in d:
+                    os.utime(f"{d}/{name}", (1_700_000_000 + i, 1_700_000_000 + i))
+    silver = lambda **kw: Z.silver_news_stream(Z.news_stream(spark, root, max_files=1), D.CANONICAL_COMPANIES,
+                                               D.CITY_ALIASES, **kw)
+    out = str(tmp_path / "daily")
+    Z.daily_signals(silver(), out, str(tmp_path / "daily-ck"))
+    got = {(r.company_norm, str(r.day), r.signal_type): r.articles for r in Z.read_daily_signals(spark, out).collect()}
+    assert got == {("Acme", "2023-11-01", "layoff"): 1, ("Acme", "2024-01-05", "layoff"): 2,
+                   ("Beta", "2024-01-06", "hiring"): 1, ("Beta", "2024-01-07", "hiring"): 1}
+    assert Z.run_to_parquet(Z.dedupe_stream(silver()), str(tmp_path / "z2"), str(tmp_path / "z2-ck")) == 1
+    as_of = F.to_timestamp(F.lit("2024-01-31 06:00:00"))
+    assert Z.run_to_parquet(Z.dedupe_stream(silver(as_of=as_of)), str(tmp_path / "b6"), str(tmp_path / "b6-ck")) == 0
+    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "b6")).collect()) == ["u1", "u2", "u3"]
+    dropped = Z.keep_dropped(Z.news_stream(spark, root), str(tmp_path / "dropped"), str(tmp_path / "dropped-ck"), as_of)
+    assert dropped == {"published_at": 1, "window": 1}
+
+
 def test_history_survives_a_lost_commit(spark, tmp_path):
     """A batch repeated because its commit was lost gives the same state; a fresh checkpoint adds to the old state."""
     import os

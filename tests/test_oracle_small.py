@@ -54,6 +54,11 @@ def test_tracker_rows_keep_their_own_date(spark, con):
     assert len(set(got.values())) > 1 and got == {k: want[k] for k in got}
 
 
+@pytest.mark.parametrize("name", ["stream_dedup_news", "stream_daily_signals", "stream_company_signals", "stream_history_upsert"])
+def test_streams_match_sql(spark, con, name):
+    test_query_matches_sql(spark, con, name)
+
+
 def test_page_text_is_whole(spark, con):
     e, served = load_all()["page_text_whole"], load_all()["page_text"]
     got = {r.page_id: r.text for r in e.run(spark, SF).collect()}

@@ -1,4 +1,8 @@
-"""Suffix-array dedup: distributed prefix doubling over sampled suffixes.
+"""Repeated strings by sampled run and window hashing.
+
+This stands in place of the dealt prefix doubling: no pair (rank at i, rank at
+i + k) is formed and nothing is sorted at growing offsets. That doubling costs
+more than this was not measured; the reason is the shuffle volume given below.
 
 A byte is removed if a string of ``length`` bytes that covers it also starts
 earlier (in a document before, or earlier in its own). Ranking every byte's
@@ -10,7 +14,7 @@ lost, and about one position in 35 remains. Consecutive windows that pick the
 same position form its run.
 
 Round 1 ranks sampled positions by their first GRAM bytes; unique ones are
-done. Round 2 ranks pairs of that rank and the bytes of the position's whole
+done. Round 2 ranks (by hash) pairs of that rank and the bytes of the position's whole
 run (``length`` to ``length + run`` bytes, past the threshold): a pair that came
 earlier covers its whole run. Round 3 ranks single windows, only of positions
 that are first of their pair in a class whose first rank is shared; a window

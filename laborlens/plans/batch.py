@@ -103,4 +103,4 @@ def run(spark: SparkSession, raw_root: str, out_root: str, as_of: str, run_ts: s
     meta.coalesce(1).write.mode("overwrite").json(f"{out_root}/meta")
     return {"silver_jobs": s_jobs, "silver_news": s_news, "silver_register": s_reg, "gold_company": g_company,
             "gold_city": located, "gold_sector": g_sector, "companies_all": companies, "history": new_state,
-            "meta": meta}
+            "meta": meta, "news_dropped": silver.unparsed_news(news_bronze)}

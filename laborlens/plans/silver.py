@@ -93,6 +93,13 @@ def news(bronze: DataFrame, dic: Dictionaries, as_of: Column, window_days: int =
     return keep_first(df, ["url_key"], ["scraped_at", "published_ts", "title"])
 
 
+def unparsed_news(bronze: DataFrame) -> DataFrame:
+    """One row: the news rows of a known signal type that ``news`` drops because
+    their date can't be parsed (Y2)."""
+    unparsed = F.col("signal_type").isin(*D.SIGNAL_TYPES) & parse_published("published_at").isNull()
+    return bronze.agg(F.count_if(unparsed).alias("unparsed_dates"))
+
+
 def field(rec: str, key: str) -> Column:
     """Exact-key lookup in a raw record map (absent -> null)."""
     return F.try_element_at(F.col(rec), F.lit(key))

@@ -127,6 +127,13 @@ def test_board_cards_keep_every_field(spark):
     assert df.select(F.explode(postings("fallback")).alias("x")).count() == 7
 
 
+def test_unparsed_news_dates_are_counted(spark):
+    from laborlens.plans import silver
+    df = spark.createDataFrame([("layoff", "soon"), ("layoff", None), ("hiring", "2024-01-05"), ("other", "soon")],
+                               "signal_type string, published_at string")
+    assert silver.unparsed_news(df).first().unparsed_dates == 2
+
+
 def test_news_url_key_root_urls(spark):
     from laborlens.operators.dedupe import news_url_key
     df = spark.createDataFrame([("https://t.example/", "A"), ("https://t.example", "B"), ("https://t.example/x/1", "C"),

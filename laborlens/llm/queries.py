@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laborlens.llm import byte_bpe, merkle, periodic_runs
 from laborlens.llm.bpe_table import encode_decode
 from laborlens.llm.common import load, prepare, shared
 from laborlens.llm.fingerprint import edited_fingerprints
@@ -101,6 +102,54 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """op11's input: where 10 divides h = crc32(doc_id), a text of n > 0 words repeats from
+    word a = g % n on with period p = 1 + floor((n - a) / (3 + g % 8)), g = floor(h / 10)."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.where(h % 10 == 0).select("doc_id", periodic_runs.words_of("text").alias("w"), F.floor(h / 10).alias("g"))
+    words = words.select("doc_id", "w", F.size("w").alias("n"), "g")
+    a = (F.col("g") % F.greatest("n", F.lit(1))).cast("int")
+    p = (1 + F.floor((F.col("n") - a) / (3 + F.col("g") % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("w", a + 1, p), F.ceil((F.col("n") - a) / p).cast("int")))
+    text = F.array_join(F.concat(F.slice("w", F.lit(1), a), F.slice(tail, F.lit(1), F.col("n") - a)), " ")
+    return docs.where(h.isNull() | (h % 10 != 0)).select("doc_id", "text").unionByName(words.select("doc_id", text.alias("text")))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs.periodic_runs(with_repeats(load(spark, sf_dir, "documents")), keep_cols=["doc_id"])
+    rows = rows.select("row", "runs", "collapsed", periodic_runs.strongest(F.col("runs")).alias("top"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return rows.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = tokenizer_file("byte_bpe_50k.tiktoken")
+    rows = byte_bpe.decode(byte_bpe.encode(load(spark, sf_dir, "documents"), vocab, keep_cols=["doc_id"]), vocab)
+    return rows.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(byte_bpe.joined_ids(F.col("ids")), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    claimed = merkle.leaf_digest(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in FIELDS])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, claimed)
+    manifest = merkle.build_manifest(docs, FIELDS, "lang", "doc_id", [F.col("doc_id"), tampered.alias("claimed")])
+    rows = merkle.verified_proofs(spark, manifest, F.coalesce(F.col("carry.claimed"), F.col("leaf")))
+    return rows.select("carry.doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                       "folded_root", "verified")
+
+
 ORACLES["op4_line_dedup"] = f"""
     WITH {line_dedup_sql()}
     SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM rebuilt"""

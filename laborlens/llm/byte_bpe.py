@@ -27,12 +27,14 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laborlens.llm.common import prepare
@@ -58,7 +60,10 @@ BLOCK = 64
 #: bytes of text that are scanned at once (a longer text is scanned by itself)
 STEP_BYTES = 1 << 20
 #: the cache of slices is emptied when it holds so many ids
-CACHE_IDS = 1 << 23
+CACHE_IDS = 1 << 21
+#: slices of fewer than so many times 4 bytes are merged together
+TOGETHER = 16
+NEVER = np.iinfo(np.int64).max
 
 
 @lru_cache(maxsize=1)
@@ -205,36 +210,96 @@ def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Pairs:
+    """Which two ids may be joined and into which, for whole arrays of pairs."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self.size = ranks, max(ranks.values()) + 1
+        self.byte = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        found = sorted((ranks[p[:i]] * self.size + ranks[p[i:]], r) for p, r in ranks.items()
+                       for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks)
+        self.keys, self.joined = (np.array([f[c] for f in found] + [NEVER], np.int64) for c in (0, 1))
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.size + right
+        at = np.searchsorted(self.keys[:-1], key)
+        return np.where(self.keys.take(at) == key, self.joined.take(at), NEVER)
+
+    def merge_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``merge_pairs`` of many slices of about one length, one join of each slice a round:
+        all ids one after another, and how many each slice has."""
+        rows, width = len(pieces), max(map(len, pieces))
+        size = np.array([len(p) for p in pieces])
+        raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(rows, width)
+        ids, place = self.byte.take(raw), np.arange(width)
+        after = np.where(place + 1 < size[:, None], place + 1, width)  # the next part; ``width``: none
+        before = np.tile(place - 1, (rows, 1))
+        rank = np.full((rows, width), NEVER)
+        rank[:, :-1] = self.of(ids[:, :-1], ids[:, 1:])
+        rank[after == width] = NEVER
+        live = place < size[:, None]
+        todo = np.arange(rows)
+        while len(todo):
+            at = rank[todo].argmin(axis=1)  # the lowest rank, leftmost first
+            low = rank[todo, at]
+            todo, at, low = todo[low < NEVER], at[low < NEVER], low[low < NEVER]
+            gone = after[todo, at]
+            then, ids[todo, at] = after[todo, gone], low
+            after[todo, at], rank[todo, gone], live[todo, gone] = then, NEVER, False
+            rank[todo, at] = NEVER
+            for has, a, b in ((then < width, at, then), (before[todo, at] >= 0, before[todo, at], at)):
+                r, a, b = todo[has], a[has], b[has]
+                rank[r, a] = self.of(ids[r, a], ids[r, b])
+            has = then < width
+            before[todo[has], then[has]] = at[has]
+        return ids[live], live.sum(axis=1)
+
+
 class Slices(dict):
     """slice -> number of its entry; a new slice is merged once and its ids are appended to one flat array."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.pairs = ranks, Pairs(ranks)
         self.clear()
 
     def clear(self) -> None:
         super().clear()
-        self.flat: list[int] = []
-        self.begin: list[int] = []
-        self.count: list[int] = []
-
-    def __missing__(self, piece: bytes) -> int:
-        ids = merge_pairs(piece, self.ranks)
-        self[piece] = number = len(self.begin)
-        self.begin.append(len(self.flat))
-        self.count.append(len(ids))
-        self.flat += ids
-        return number
-
-    def ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all slices one after another, number of ids of each slice)"""
-        entry = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
-        begin, count = np.array(self.begin, np.int64).take(entry), np.array(self.count, np.int64).take(entry)
-        flat = np.array(self.flat, np.int32).take(spread(begin, count))
+        self.flat, self.begin, self.count = array("i"), array("q"), array("q")
+
+    def _add(self, pieces: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.update(zip(pieces, range(len(self.begin), len(self.begin) + len(pieces)), strict=True))
+        self.begin.frombytes((len(self.flat) + np.cumsum(counts) - counts).astype(np.int64).tobytes())
+        self.count.frombytes(counts.astype(np.int64).tobytes())
+        self.flat.frombytes(ids.astype(np.int32).tobytes())
+
+    def entries(self, pieces: list[bytes]) -> list[int]:
         if len(self.flat) > CACHE_IDS:
             self.clear()
-        return flat, count
+        found = list(map(self.get, pieces))
+        missing = [i for i, entry in enumerate(found) if entry is None]
+        new = {pieces[i] for i in missing}
+        whole = [p for p in new if p in self.ranks]
+        self._add(whole, np.array([self.ranks[p] for p in whole], np.int64), np.ones(len(whole), np.int64))
+        by_width: dict[int, list[bytes]] = {}
+        for piece in new.difference(whole):
+            by_width.setdefault(min((len(piece) + 3) // 4, TOGETHER), []).append(piece)
+        for width, some in by_width.items():
+            if width < TOGETHER:
+                self._add(some, *self.pairs.merge_all(some))
+            else:
+                for piece in some:
+                    ids = merge_pairs(piece, self.ranks)
+                    self._add([piece], np.array(ids, np.int64), np.array([len(ids)]))
+        for i in missing:
+            found[i] = self[pieces[i]]
+        return found
+
+    def ids(self, entries: list[int]) -> np.ndarray:
+        """Ids of all slices one after another."""
+        at = np.array(entries, np.int64)
+        places = spread(np.frombuffer(self.begin, np.int64).take(at), np.frombuffer(self.count, np.int64).take(at))
+        return np.frombuffer(self.flat, np.int32).take(places)
 
 
 def spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -256,6 +321,7 @@ class Vocabulary:
         self.length = np.array([len(p) for p in pieces], np.int64)
         self.begin = np.cumsum(self.length) - self.length
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
+        self.decimal = [str(i) for i in range(len(pieces))]
         self.slices = Slices(self.ranks)
 
 
@@ -269,21 +335,28 @@ def scanner() -> Scanner:
     return Scanner()
 
 
-def encode_texts(texts: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids of all texts one after another, byte offset of each id in its text, number of ids of each text)"""
-    data = b"".join(texts)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    ends = np.cumsum(sizes)
-    if not data:
-        return np.empty(0, np.int32), np.empty(0, np.int64), np.zeros(len(texts), np.int64)
-    at = scanner().token_starts(data, (ends - sizes)[sizes > 0])
-    cut = [*at.tolist(), len(data)]
-    ids, per_slice = vocab.slices.ids([data[a:b] for a, b in zip(cut, cut[1:], strict=False)])
-    width = vocab.length.take(ids)
-    offset = np.cumsum(width) - width
-    last = np.searchsorted(offset, ends, side="left")  # ids that start before each text's end
-    counts = np.diff(last, prepend=0)
-    return ids, offset - np.repeat(ends - sizes, counts), counts
+class Encoded:
+    """A block of texts: ``ids`` of all texts one after another, ``offsets`` (byte offset of
+    each id in its text), ``counts`` (ids of each text)."""
+
+    def __init__(self, texts: list[bytes], vocab: Vocabulary):
+        data = b"".join(texts)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        at = scanner().token_starts(data, (ends - sizes)[sizes > 0]) if data else np.empty(0, np.int64)
+        cut = [*at.tolist(), len(data)]
+        entries = vocab.slices.entries([data[a:b] for a, b in zip(cut, cut[1:], strict=False)])
+        self.ids = vocab.slices.ids(entries) if entries else np.empty(0, np.int32)
+        width = vocab.length.take(self.ids)
+        offset = np.cumsum(width) - width
+        self.counts = np.diff(np.searchsorted(offset, ends, side="left"), prepend=0)
+        self.offsets = (offset - np.repeat(ends - sizes, self.counts)).astype(np.int32)
+
+    def decimals(self, vocab: Vocabulary) -> list[str]:
+        """The ids of each text in decimal, joined by one space."""
+        text = list(map(vocab.decimal.__getitem__, self.ids.tolist()))
+        cuts = np.cumsum(self.counts).tolist()
+        return [" ".join(text[a:b]) for a, b in zip([0, *cuts], cuts, strict=False)]
 
 
 def steps(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -302,16 +375,31 @@ def _lists(values: pa.Array, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), values)
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iterator[tuple[pa.Array, Encoded]]:
+    for batch in batches:
+        rows, column = batch.column("row"), batch.column("t")
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+        for a, b in steps(sizes):
+            texts = [(t or "").encode("utf-8") for t in column.slice(a, b - a).to_pylist()]
+            yield rows.slice(a, b - a), Encoded(texts, vocab)
+
+
 def _encoder(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, block in _blocks(batches, vocabulary(path)):
+            yield pa.RecordBatch.from_arrays([rows, _lists(pa.array(block.ids, pa.int32()), block.counts),
+                                              _lists(pa.array(block.offsets, pa.int32()), block.counts)],
+                                             names=["row", "ids", "offsets"])
+    return run
+
+
+def _round_trip(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for batch in batches:
-            texts = [(t or "").encode("utf-8") for t in batch.column("t").to_pylist()]
-            for a, b in steps([len(t) for t in texts]):
-                ids, offsets, counts = encode_texts(texts[a:b], vocab)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(a, b - a), _lists(pa.array(ids, pa.int32()), counts),
-                     _lists(pa.array(offsets, pa.int64()), counts)], names=["row", "ids", "offsets"])
+        for rows, block in _blocks(batches, vocab):
+            decoded = decode_ids(block.ids, block.offsets, block.counts, vocab)
+            yield pa.RecordBatch.from_arrays([rows, pa.array(block.counts, pa.int64()), pa.array(block.decimals(vocab), pa.string()),
+                                              pa.array(decoded, pa.binary())], names=["row", "n_tokens", "ids", "decoded"])
     return run
 
 
@@ -345,13 +433,24 @@ def _decoder(path: str):
 
 def encode(docs: DataFrame, vocab_file: str, text_col: str = "text", keep_cols: list[str] | None = None) -> DataFrame:
     """row (struct of ``keep_cols``, by default all columns but the text), ids (array<int>),
-    offsets (array<bigint>: byte offset in the text's UTF-8 at which each id's bytes start)."""
+    offsets (array<int>: byte offset in the text's UTF-8 at which each id's bytes start)."""
+    rows = _rows(docs, text_col, keep_cols)
+    shape = rows.select("row", F.array(F.lit(0)).alias("ids"), F.array(F.lit(0)).alias("offsets")).schema
+    return rows.mapInArrow(_encoder(vocab_file), shape)
+
+
+def encode_decode(docs: DataFrame, vocab_file: str, text_col: str = "text", keep_cols: list[str] | None = None) -> DataFrame:
+    """row, n_tokens, ids (decimal, joined by one space) and decoded (binary: the bytes of the ids) of every row."""
+    rows = _rows(docs, text_col, keep_cols)
+    shape = rows.select("row", F.lit(0).cast("long").alias("n_tokens"), F.lit("").alias("ids"), F.lit(b"").alias("decoded")).schema
+    return rows.mapInArrow(_round_trip(vocab_file), shape)
+
+
+def _rows(docs: DataFrame, text_col: str, keep_cols: list[str] | None) -> DataFrame:
     prepare(docs.sparkSession)
     kept = [c for c in docs.columns if c != text_col] if keep_cols is None else keep_cols
     row = F.struct(*[F.col(c) for c in kept]) if kept else F.struct(F.lit(0).alias("none"))
-    rows = docs.select(row.alias("row"), F.col(text_col).cast("string").alias("t"))
-    shape = rows.select("row", F.array(F.lit(0)).alias("ids"), F.array(F.lit(0).cast("long")).alias("offsets")).schema
-    return rows.mapInArrow(_encoder(vocab_file), shape)
+    return docs.select(row.alias("row"), F.col(text_col).cast("string").alias("t"))
 
 
 def decode(encoded: DataFrame, vocab_file: str) -> DataFrame:
@@ -360,8 +459,3 @@ def decode(encoded: DataFrame, vocab_file: str) -> DataFrame:
     rows = encoded.select("row", "ids", "offsets")
     shape = rows.select("*", F.lit(b"").alias("decoded")).schema
     return rows.mapInArrow(_decoder(vocab_file), shape)
-
-
-def joined_ids(ids: Column) -> Column:
-    """Decimal ids joined by one space."""
-    return F.array_join(ids.cast("array<string>"), " ")

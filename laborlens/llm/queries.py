@@ -130,9 +130,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = tokenizer_file("byte_bpe_50k.tiktoken")
-    rows = byte_bpe.decode(byte_bpe.encode(load(spark, sf_dir, "documents"), vocab, keep_cols=["doc_id"]), vocab)
-    return rows.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(byte_bpe.joined_ids(F.col("ids")), 256).alias("ids_sha256"),
+    rows = byte_bpe.encode_decode(load(spark, sf_dir, "documents"), vocab, keep_cols=["doc_id"])
+    return rows.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

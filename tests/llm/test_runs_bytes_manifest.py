@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from laborlens.llm import byte_bpe, merkle, periodic_runs
 from laborlens.llm.queries import FIELDS, QUERIES, tokenizer_file, with_repeats
-from tests.llm.llm_data import SF, edges, empty, generated, texts_of
+from llm_data import SF, edges, empty, generated, texts_of
 
 VOCAB = "byte_bpe_50k.tiktoken"
 
@@ -156,9 +156,12 @@ def library():
 
 
 def ours(texts):
-    ids, offsets, counts = byte_bpe.encode_texts([t.encode() for t in texts], byte_bpe.vocabulary(tokenizer_file(VOCAB)))
-    cut = np.concatenate([[0], np.cumsum(counts)]).tolist()
-    return [(ids[a:b].tolist(), offsets[a:b].tolist()) for a, b in zip(cut, cut[1:], strict=False)]
+    vocab = byte_bpe.vocabulary(tokenizer_file(VOCAB))
+    got = byte_bpe.Encoded([t.encode() for t in texts], vocab)
+    cut = np.concatenate([[0], np.cumsum(got.counts)]).tolist()
+    out = [(got.ids[a:b].tolist(), got.offsets[a:b].tolist()) for a, b in zip(cut, cut[1:], strict=False)]
+    assert got.decimals(vocab) == [" ".join(map(str, ids)) for ids, _ in out]
+    return out
 
 
 def test_bytes_equal_the_library_on_crafted_and_random_texts(library):
@@ -214,17 +217,22 @@ def test_byte_bpe_edges(spark, library):
         assert rows.columns == ["row", "ids", "offsets", "decoded"]
         got = sorted((str(r.doc_id), bytes(r.decoded).decode(), r.ids) for r in
                      rows.select("row.doc_id", "row.`row`", "ids", "decoded").collect())
-        assert got == sorted((str(i), t or "", library.encode_ordinary(t or "")) for i, t in texts_of(df))
+        want = sorted((str(i), t or "", library.encode_ordinary(t or "")) for i, t in texts_of(df))
+        assert got == want
+        both = byte_bpe.encode_decode(df, vocab).select("row.doc_id", "row.`row`", "n_tokens", "ids", "decoded").collect()
+        assert sorted((str(r.doc_id), bytes(r.decoded).decode(), list(map(int, r.ids.split()))) for r in both) == want
+        assert all(r.n_tokens == len(r.ids.split()) for r in both)
 
 
-def test_slice_cache_may_be_emptied(library):
+def test_slice_cache_may_be_emptied():
     cache = byte_bpe.Slices(byte_bpe.vocabulary(tokenizer_file(VOCAB)).ranks)
     old, byte_bpe.CACHE_IDS = byte_bpe.CACHE_IDS, 3
+    pieces = [b" tokenization", b"xyzzyq", b" tokenization"]
     try:
         for _ in range(3):
-            ids, count = cache.ids([b" tokenization", b"xyzzyq", b" tokenization"])
-            assert count.sum() == len(ids) and not cache
-            assert ids.tolist() == sum((byte_bpe.merge_pairs(p, cache.ranks) for p in (b" tokenization", b"xyzzyq", b" tokenization")), [])
+            entries = cache.entries(pieces)
+            assert cache.ids(entries).tolist() == sum((byte_bpe.merge_pairs(p, cache.ranks) for p in pieces), [])
+            assert len(cache) == 2
     finally:
         byte_bpe.CACHE_IDS = old
 

@@ -70,7 +70,7 @@ def _rebuild(min_chars: int):
                         kept.append(t or "")
                         continue
                     gone = set(gone)
-                    lines = t.encode("utf-8").split(b"\n")
+                    lines = (t or "").encode("utf-8").split(b"\n")  # a null row may share its id with others
                     stay = [x for x in lines if line_hash(x, min_chars) not in gone]
                     n_lines.append(len(lines))
                     n_dropped.append(len(lines) - len(stay))

@@ -42,6 +42,15 @@ def test_line_dedup(spark, table, batches, fanout):
     assert plain(got.collect()) == plain(brute_lines(texts_of(df)))
 
 
+def test_line_dedup_null_text_beside_a_row_that_loses_lines(spark):
+    line = "a line that is long enough to be a key"
+    rows = [(1, line), (2, None), (2, line), (None, None), (None, line), (2, line + "\nown words of row two")]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = line_dedup.rebuilt_rows(df, batches=2).select("row.doc_id", "n_lines", "n_dropped", "kept")
+        assert plain(got.collect()) == plain(brute_lines(rows))
+
+
 def test_line_dedup_keeps_columns(spark):
     df = edges(spark)
     out = line_dedup.dedup_lines(df, batches=2)

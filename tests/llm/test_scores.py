@@ -2,8 +2,10 @@
 
 import heapq
 import hashlib
+import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -171,6 +173,34 @@ def test_mixing(spark, table, monkeypatch):
         assert all(abs(taken[s] - target[s]) <= 2 * largest[s] for s in taken)
 
 
+def test_mixing_repeated_ids_with_different_texts_agree_on_every_rerun(spark, monkeypatch):
+    """120 rows, ids that repeat or are missing, texts of many sizes: any order and partitioning mixes alike."""
+    r = random.Random(3)
+    rows = [(r.choice([7, None, None, i]), " ".join(["w%d" % (i % 9)] * r.randint(0, 40)), r.choice(["a", "b", None]))
+            for i in range(117)] + [(7, "same same", "a")] * 3
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 7)
+    monkeypatch.setattr(mixing, "FINE", 3)
+    schema = "doc_id long, text string, source string"
+    results, mixes = [], []
+    for order, parts in ((rows, 1), (rows[::-1], 3), (r.sample(rows, len(rows)), 5)):
+        df = spark.createDataFrame(order, schema).repartition(parts)
+        results.append(sorted(((x.doc_id, x["size"], x.source_size, x.target, x.taken) for x in mixing.mix(df).collect()), key=repr))
+        mixes.append(sorted(map(repr, mixing.mixed_documents(df).collect())))
+    assert results[0] == results[1] == results[2] and mixes[0] == mixes[1] == mixes[2]
+    con = duckdb.connect()
+    con.register("documents", spark.createDataFrame(rows, schema).toPandas())
+    want = con.execute(mixing.mix_sql().replace("doc_id, source, len(", "doc_id::BIGINT AS doc_id, source, len(")).fetchall()
+    assert sorted((x[:2] + x[4:] for x in results[0]), key=repr) == sorted(((d, n, t) for d, n, _, _, t in want), key=repr)
+
+
+def test_sums_before_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FINE", 4)
+    rows = [(g, a, (a * 7 + len(g or "x")) % 11) for g in ("a", "b", None) for a in range(0, 50, 3)]
+    df = spark.createDataFrame(rows, "g string, at long, words long")
+    got = {(x.g, x.at): x.out for x in mixing.sums_before(df, ["g"], "at", "words", "out").collect()}
+    assert got == {(g, a): sum(w for h, b, w in rows if h == g and b < a) for g, a, _ in rows}
+
+
 def test_mixed_documents(spark):
     df = edges(spark)
     taken = mixing.mix(df).collect()

@@ -88,8 +88,8 @@ SELECT company_norm, city,
 FROM ({src}) GROUP BY company_norm, city"""
 
 
-def sql_news_titles(k: int = 3) -> str:
-    src = R.silver_news(dic(), NEWS_AS_OF)
+def sql_news_titles(k: int = 3, news_sql: str | None = None) -> str:
+    src = news_sql or R.silver_news(dic(), NEWS_AS_OF)
     per_title = f"""
 SELECT company_norm, city, title, o0, o1 FROM (
   SELECT company_norm, city, title, -epoch_us(published_ts) AS o0, url AS o1,
@@ -105,16 +105,16 @@ FROM ({per_title})"""
 
 def sql_gold_company(with_titles=True) -> str:
     d = dic()
-    reg_src = R.silver_register(d)
-    titles_join = f"LEFT JOIN ({sql_news_titles()}) t USING (company_norm, city)" if with_titles else ""
+    titles_join = f"LEFT JOIN ({sql_news_titles(news_sql='SELECT * FROM _news')}) t USING (company_norm, city)" if with_titles else ""
     titles_col = ", t.news_titles" if with_titles else ""
-    news = f"SELECT n.*{titles_col} FROM ({sql_company_news()}) n {titles_join}"
-    reg = f"SELECT name_norm AS company_norm, city, sector AS reg_sector, status AS reg_status FROM ({reg_src})"
-    by_name = f"SELECT name_norm AS company_norm, sector AS name_sector FROM ({reg_src})"
+    news = f"SELECT n.*{titles_col} FROM ({sql_company_news('SELECT * FROM _news')}) n {titles_join}"
+    reg = "SELECT name_norm AS company_norm, city, sector AS reg_sector, status AS reg_status FROM _reg"
+    by_name = "SELECT name_norm AS company_norm, sector AS name_sector FROM _reg"
     joined = f"""
 SELECT * FROM ({sql_company_hiring()}) h FULL JOIN ({news}) n USING (company_norm, city)
 FULL JOIN ({reg}) r USING (company_norm, city)"""
     filled = f"""
+WITH _news AS MATERIALIZED ({R.silver_news(d, NEWS_AS_OF)}), _reg AS MATERIALIZED ({R.silver_register(d)})
 SELECT j.company_norm, j.city, coalesce(open_positions, 0) AS open_positions, distinct_roles, latest_posting,
        coalesce(total_layoffs, 0) AS total_layoffs, coalesce(news_hires, 0) AS news_hires,
        coalesce(score_tenths, 0) AS score_tenths, coalesce(articles, 0) AS articles,

@@ -111,11 +111,9 @@ def companies_all(spark, sf_dir, companies=None):
 
 
 def _sql_companies_all():
-    prior, _ = _sql_daily_and_snap()
-    g = sql_gold_company()
     snap = (f"SELECT company_norm AS company, city, '{SNAPSHOT_DATE}' AS date, CAST(open_positions AS BIGINT) AS hiring, "
-            f"CAST(total_layoffs AS BIGINT) AS layoffs, CAST(open_positions - total_layoffs AS BIGINT) AS score FROM ({g})")
-    both = f"SELECT *, 0 AS _prio FROM ({prior}) UNION ALL SELECT *, 1 AS _prio FROM ({snap})"
+            f"CAST(total_layoffs AS BIGINT) AS layoffs, CAST(open_positions - total_layoffs AS BIGINT) AS score FROM _gold")
+    both = f"SELECT *, 0 AS _prio FROM _prior UNION ALL SELECT *, 1 AS _prio FROM ({snap})"
     one = (f"SELECT company, city, date, hiring, layoffs, score FROM (SELECT *, row_number() OVER (PARTITION BY company, city, date "
            f"ORDER BY _prio DESC, hiring DESC, layoffs DESC, score DESC) AS _r FROM ({both})) WHERE _r = 1")
     hist = (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY company, city ORDER BY date DESC) AS _rn FROM ({one})) "
@@ -125,12 +123,13 @@ def _sql_companies_all():
               f"FROM (SELECT *, min(score) OVER (PARTITION BY company, city) AS mn, max(score) OVER (PARTITION BY company, city) AS mx FROM ({hist}))")
     tr = f"SELECT company, city, list(t ORDER BY date) AS trend FROM ({scaled}) GROUP BY 1, 2"
     return f"""
+WITH _gold AS MATERIALIZED ({sql_gold_company()}), _prior AS MATERIALIZED ({_sql_daily_and_snap()[0]})
 SELECT g.company_norm AS name, g.city, g.sector, g.company_status AS status, g.open_positions AS hiring,
        g.total_layoffs AS layoffs, round(g.avg_sentiment, 3) AS sentiment,
        array_to_string(g.news_titles[1:3], ' || ') AS news_headlines, array_to_string(t.trend, ',') AS trend,
        p.company IS NULL AS is_new
-FROM ({g}) g LEFT JOIN ({tr}) t ON g.company_norm = t.company AND g.city = t.city
-LEFT JOIN (SELECT DISTINCT company, city FROM ({prior})) p ON g.company_norm = p.company AND g.city = p.city
+FROM _gold g LEFT JOIN ({tr}) t ON g.company_norm = t.company AND g.city = t.city
+LEFT JOIN (SELECT DISTINCT company, city FROM _prior) p ON g.company_norm = p.company AND g.city = p.city
 WHERE g.company_norm <> '' AND g.city <> ''"""
 
 

@@ -30,7 +30,7 @@ def register(name: str, sql: Callable[[], str] | str | None = None, ops: str = "
 def load_all() -> dict[str, Entry]:
     """Import every catalog module (registration happens at import)."""
     import importlib
-    for mod in ("core", "text_ops", "sources_sinks", "history_ops", "streams", "batch_ops"):
+    for mod in ("core", "text_ops", "sources_sinks", "history_ops", "streams", "batch_ops", "matching"):
         try:
             importlib.import_module(f"laborlens.catalog.{mod}")
         except ModuleNotFoundError as e:

@@ -109,7 +109,7 @@ def register_bronze(dic: Dictionaries) -> str:
 
 def company_map(src: str, col: str, out: str, dic: Dictionaries, min_len: int = 2) -> str:
     """map_distinct twin: X1 once per distinct value, joined back null-safely."""
-    m = f"SELECT k AS _k, {S.normalise_company('k', dic.canonical, dic.cutoff, min_len)} AS {out} FROM (SELECT DISTINCT {col} AS k FROM ({src}))"
+    m = S.company_names(src, col, out, dic.canonical, dic.cutoff, min_len)
     return f"SELECT s.*, m.{out} FROM ({src}) s LEFT JOIN ({m}) m ON s.{col} IS NOT DISTINCT FROM m._k"
 
 

@@ -111,43 +111,48 @@ def token_sort(x: str) -> str:
     return f"array_to_string(list_sort(regexp_split_to_array({strip_ws(x)}, '\\s+')), ' ')"
 
 
-def lcs_length(a: str, b: str) -> str:
-    if len(b) > 62:  # one 64-bit word; the registered dictionaries' names are shorter
-        raise ValueError(b)
-    if not b:
-        return "0"
-    full = (1 << len(b)) - 1
-    masks = char_masks(b)
-    mask = "(CASE c " + " ".join(f"WHEN {q(ch)} THEN {m}" for ch, m in masks.items()) + " ELSE 0 END)::BIGINT"
-    step = f"((v + (v & {mask})) | (v - (v & {mask}))) & {full}::BIGINT"
-    return f"({len(b)} - bit_count(list_reduce(string_split({a}, ''), lambda v, c: {step}, {full}::BIGINT)))"
-
-
-def normalise_company(name: str, canonical=D.CANONICAL_COMPANIES, cutoff: float = D.COMPANY_MATCH_CUTOFF,
-                      min_len: int = 2) -> str:
-    """X1 twin. ``name`` should be a plain column reference (it is repeated)."""
-    s = strip_ws(name)
-    a = token_sort(s)
-    scores = []
-    for canon in canonical:
-        b = py_token_sort(canon)
-        lb = len(b)
-        total = f"(length({a}) + {lb})"
-        reach = f"(200 * least(length({a}), {lb}) >= {cutoff} * {total} AND {total} > 0)"
-        score = f"(CASE WHEN {a} = {q(b)} THEN 100.0 ELSE 200.0 * {lcs_length(a, b)} / {total} END)"
-        scores.append(f"CASE WHEN {reach} THEN {score} ELSE -1.0 END")
-    names = "[" + ", ".join(q(c) for c in canonical) + "]"
-    lst = "[" + ", ".join(scores) + "]"
-    best = (f"(SELECT CASE WHEN list_max(sc) >= {float(cutoff)} THEN {names}[list_position(sc, list_max(sc))] END "
-            f"FROM (SELECT {lst} AS sc))")
-    return (f"CASE WHEN {name} IS NULL OR length({s}) < {min_len} THEN '' "
-            f"ELSE coalesce({best}, {title_case(s)}) END")
+def canonical_rows(canonical) -> str:
+    """The canonical names as rows: position, name, sorted form, its length, all-ones word, character masks."""
+    rows = []
+    for i, name in enumerate(canonical):
+        b = py_token_sort(name)
+        if len(b) > 62:  # one 64-bit word; the registered dictionaries' names are shorter
+            raise ValueError(b)
+        masks = ", ".join(f"{q(c)}: {m}::BIGINT" for c, m in char_masks(b).items()) or "'': 0::BIGINT"
+        rows.append(f"({i}, {q(name)}, {q(b)}, {len(b)}, {(1 << len(b)) - 1}::BIGINT, MAP {{{masks}}})")
+    return f"(VALUES {', '.join(rows)}) canon(pos, name, b, lb, ones, masks)"
+
+
+#: the bit-parallel recurrence over the characters of ``a`` for the canonical row's masks
+LCS = ("(lb - bit_count(list_reduce(string_split(a, ''), lambda v, c: ((v + (v & coalesce(masks[c], 0))) "
+       "| (v - (v & coalesce(masks[c], 0)))) & ones, ones)))")
+
+
+def company_names(src: str, col: str, out: str, canonical=D.CANONICAL_COMPANIES,
+                  cutoff: float = D.COMPANY_MATCH_CUTOFF, min_len: int = 2) -> str:
+    """X1 twin: (_k, out) of every distinct value of ``col``, by scoring it against each canonical row in reach."""
+    return f"""
+SELECT k AS _k, CASE WHEN k IS NULL OR length(s) < {min_len} THEN '' ELSE coalesce(best, {title_case('s')}) END AS {out}
+FROM (SELECT k, s, any_value(name) FILTER (WHERE _r = 1 AND score >= {float(cutoff)}) AS best FROM (
+  SELECT k, s, name, score, row_number() OVER (PARTITION BY k ORDER BY score DESC NULLS LAST, pos) AS _r FROM (
+    SELECT n.*, pos, name, CASE WHEN a = b THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * {LCS} / (la + lb) END AS score
+    FROM (SELECT k, s, a, length(a) AS la FROM (SELECT k, s, {token_sort('s')} AS a FROM (
+            SELECT k, {strip_ws('k')} AS s FROM (SELECT DISTINCT {col} AS k FROM ({src})))) ) n
+    LEFT JOIN {canonical_rows(canonical)} ON la + lb > 0 AND 200 * least(la, lb) >= {cutoff} * (la + lb)))
+  GROUP BY k, s)"""
 
 
 def parse_published(x: str) -> str:
-    rfc = f"CASE WHEN regexp_matches({x}, '^[A-Za-z]{{3}}, ') THEN substr({x}, 6) END"
-    return (f"coalesce(try_strptime({x}, '%Y-%m-%dT%H:%M:%SZ'), "
-            f"try_strptime({rfc}, '%d %b %Y %H:%M:%S GMT'))")
+    """Y2 twin: ISO dates alone or with a time, a fraction, "Z" or an offset; RFC-822 with GMT or an offset; m/d/y."""
+    t = f"trim({x}, ' ')"
+    body = f"CASE WHEN regexp_matches({t}, '^[A-Za-z]{{3}}, ') THEN substr({t}, 6) END"
+    iso = f"CASE WHEN regexp_matches({t}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}($|[T ])') THEN {t} END"
+    return (f"coalesce(try_strptime({t}, '%Y-%m-%dT%H:%M:%SZ'), "
+            f"CASE WHEN regexp_matches({t}, ':.*[+-]\\d{{2}}:?\\d{{2}}$') THEN make_timestamp(epoch_us(TRY_CAST({iso} AS TIMESTAMPTZ))) "
+            f"ELSE TRY_CAST({iso} AS TIMESTAMP) END, "
+            f"try_strptime({body}, '%d %b %Y %H:%M:%S GMT'), "
+            f"make_timestamp(epoch_us(try_strptime({body}, '%d %b %Y %H:%M:%S %z'))), "
+            f"try_strptime({t}, '%m/%d/%Y'))")
 
 
 def signal_score_tenths(t: str, hc: str) -> str:

@@ -42,11 +42,46 @@ def test_query_matches_sql(spark, con, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["tracker_silver_news", "news_all_origins"])
-def test_tracker_news_matches_sql(spark, con, name):
+@pytest.mark.parametrize("name", ["tracker_silver_news", "news_all_origins", "companies_all", "companies_document", "run_meta",
+                                  "similarity_join_names", "dictionary_mentions"])
+def test_further_queries_match_sql(spark, con, name):
     test_query_matches_sql(spark, con, name)
 
 
+def test_tracker_rows_inside_the_window_stay(spark):
+    """At sf0.01 some tracker rows lie in the news window: both sides keep the same ones."""
+    other = duckdb.connect()
+    for t in TABLES:
+        other.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF.replace('0.001', '0.01')}/{t}.parquet')")
+    e = load_all()["tracker_silver_news"]
+    got = e.run(spark, SF.replace("0.001", "0.01")).where("source = 'tracker'").select("url_key", "title", "day").collect()
+    want = other.execute(f"SELECT url_key, title, day FROM ({e.sql()}) WHERE source = 'tracker'").fetchall()
+    assert want and sorted(map(tuple, got)) == sorted(want)
+
+
+def test_date_forms_have_one_meaning_on_both_sides(spark, con):
+    from laborlens.catalog import sqlgen as S
+    from laborlens.functions.dates import parse_published
+    forms = ["2024-01-15", "2024-01-15T10:00:00Z", "2024-01-15T10:00:00.5Z", "2024-01-15T10:00:00+05:30", "2024-01-15 10:00:00",
+             " 2024-01-15T10:00:00Z ", "Fri, 05 Jan 2024 10:11:12 GMT", "Fri, 05 Jan 2024 10:11:12 +0530", "1/5/2024", "11/25/2024",
+             "soon", "", None, "2024-13-45", "Fri, 99 Jan 2024 10:11:12 GMT"]
+    df = spark.createDataFrame([(x,) for x in forms], "x string")
+    got = {r.x: r.t for r in df.select("x", parse_published("x").cast("string").alias("t")).collect()}
+    want = {x: con.execute(f"SELECT {S.parse_published('x')}::VARCHAR FROM (SELECT ?::VARCHAR AS x)", [x]).fetchone()[0] for x in forms}
+    assert got == want and sum(v is not None for v in got.values()) == 10
+
+
+def test_company_names_of_the_twin_equal_the_kernel(spark, con):
+    from laborlens.catalog import sqlgen as S
+    from laborlens.functions.similarity import with_company_norm
+    names = ["Infosys Limited", "Mahindra Techs", "Cyient Limited", "tcs", "T", "", None, "  Wipro  Ltd ", "Quite Another Firm", "a b c d e"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = {r.n: r.o for r in with_company_norm(df, "n", "o").collect()}
+    con.execute("CREATE OR REPLACE TEMP TABLE some_names (n VARCHAR)")
+    con.executemany("INSERT INTO some_names VALUES (?)", [[n] for n in names])
+    assert got == dict(con.execute(S.company_names("SELECT n FROM some_names", "n", "o")).fetchall())
+
+
 def test_tracker_rows_keep_their_own_date(spark, con):
     from laborlens.catalog.sources_sinks import tracker_news
     got = {r.company: r.published_at for r in tracker_news(spark, SF).collect()}

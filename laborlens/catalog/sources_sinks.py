@@ -19,7 +19,7 @@ from laborlens.catalog.core import (NEWS_AS_OF, bronze_register, city_rollup, di
 from laborlens.catalog.registry import register
 from laborlens.functions import text as X
 from laborlens.functions.dates import parse_published
-from laborlens.operators.html import LD_JSON_RE, card_postings, page_postings, table_rows
+from laborlens.operators.html import card_postings, ld_postings, page_postings, table_rows
 from laborlens.session import materialise, scratch_path
 from laborlens.sinks import documents as K
 from laborlens.sinks.landing import land_chunked, land_envelopes, write_table
@@ -144,10 +144,6 @@ def q_page_cards(spark, sf_dir):
                         "card.company", "card.location")
 
 
-LD_SCHEMA = ("struct<`@type`:string,title:string,hiringOrganization:struct<name:string>,datePosted:string,"
-             "url:string,baseSalary:struct<value:struct<value:string>>>")
-
-
 @register("jsonld_postings", sql=f"""
 SELECT title, company, posted_date, job_url, salary FROM ({R.JOBS})""", ops="A6 Y11")
 def q_jsonld(spark, sf_dir):
@@ -167,13 +163,52 @@ def q_jsonld(spark, sf_dir):
         .otherwise(F.array_join(F.transform("objs", block), ""))
     html = F.concat(F.lit("<html><body>"), html, block(F.lit('{"@type":"Organization","name":"x"}')), F.lit("</body></html>"))
     page = pages.select("_ok", html.alias("html"))
-    bodies = page.select(F.explode(F.regexp_extract_all("html", F.lit(LD_JSON_RE), 1)).alias("b"))
-    items = bodies.select(F.explode(F.when(F.col("b").startswith("["), F.from_json("b", f"array<{LD_SCHEMA}>"))
-                                    .otherwise(F.array(F.from_json("b", LD_SCHEMA)))).alias("it"))
-    post = items.where(F.col("it.`@type`") == "JobPosting")
-    return post.select(F.col("it.title").alias("title"), F.col("it.hiringOrganization.name").alias("company"),
-                       F.col("it.datePosted").alias("posted_date"), F.col("it.url").alias("job_url"),
-                       F.col("it.baseSalary.value.value").alias("salary"))
+    post = page.select(F.explode(ld_postings(F.col("html"))).alias("p"))
+    return post.select("p.title", "p.company", "p.posted_date", "p.job_url", "p.salary")
+
+
+def _board_pages(spark, sf_dir):
+    """One list page per order: its postings as cards of the order's board, and a JSON-LD
+    block as pages write it (attributes, quotes, white space, upper-case tags)."""
+    def esc(c):
+        return F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+    j = tables.job_postings(spark, sf_dir).select(
+        "source", "company", "location", "job_url", "posted_date", "salary", F.concat("title", F.lit(" R&D")).alias("title"),
+        F.regexp_extract("job_url", r"/(\d+)-", 1).cast("bigint").alias("_ok"), F.regexp_extract("job_url", r"-(\d+)$", 1).cast("int").alias("_ln"))
+    card_a = F.concat(F.lit('<ARTICLE data-id="1" class="jobTuple bgWhite"><a href="'), "job_url", F.lit('" class="title fw500"> '),
+                      esc(F.col("title")), F.lit('</a><a class="subTitle">'), esc(F.col("company")),
+                      F.lit('</a><ul><li class="location"><span>'), F.col("location"), F.lit('</span><li class="salary"><span>'),
+                      F.coalesce("salary", F.lit("")), F.lit('</span></ul><span class="date">'), F.col("_ln").cast("string"),
+                      F.lit(" days ago</span></ARTICLE>"))
+    card_b = F.concat(F.lit("<div class='base-card'><a class=\"base-card__full-link\" href='"), "job_url",
+                      F.lit("'></a><h3 class='base-search-card__title'>\n "), esc(F.col("title")),
+                      F.lit(" </h3><h4 class='base-search-card__subtitle'>"), esc(F.col("company")),
+                      F.lit("</h4><time datetime='"), "posted_date", F.lit("'>some days ago</time></div>"))
+    ld = F.to_json(F.struct(F.lit("JobPosting").alias("@type"), F.col("title"), F.struct(F.col("company").alias("name")).alias("hiringOrganization"),
+                            F.col("posted_date").alias("datePosted"), F.concat("job_url", F.lit("#ld")).alias("url")))
+    item = F.struct("_ln", "job_url", F.when(F.col("source") == "board_a", card_a).otherwise(card_b).alias("card"), ld.alias("ld"))
+    pages = j.groupBy("_ok", "source").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    cards = F.array_join(F.transform("items", lambda e: e.getField("card")), "\n")
+    body = F.concat(F.lit("\n  ["), F.array_join(F.transform("items", lambda e: e.getField("ld")), ", "), F.lit("]\n"))
+    script = F.when(F.col("_ok") % 2 == 0, F.concat(F.lit('<script data-rh="true" type="application/ld+json">'), body, F.lit("</script>"))) \
+        .otherwise(F.concat(F.lit("<SCRIPT type='application/ld+json' async>"), body, F.lit("</SCRIPT >")))
+    return pages.select("_ok", "source", F.concat(F.lit("<html><body>"), cards, script, F.lit("</body></html>")).alias("html"))
+
+
+@register("board_card_postings", sql=f"""
+WITH j AS (SELECT *, CAST(regexp_extract(job_url, '-([0-9]+)$', 1) AS INT) AS ln FROM ({R.JOBS}))
+SELECT job_url, title || ' R&D' AS title, company,
+       CASE WHEN source = 'board_a' THEN location ELSE 'Some Town' END AS location,
+       CASE WHEN source = 'board_a' THEN coalesce(salary, '') ELSE '' END AS salary,
+       CASE WHEN source = 'board_a' THEN strftime(DATE '2024-01-31' - ln, '%Y-%m-%d') ELSE posted_date END AS posted_date FROM j
+UNION ALL
+SELECT job_url || '#ld', title || ' R&D', company, 'Some Town', NULL, posted_date FROM j""", ops="A6 A7 Y1")
+def q_board_cards(spark, sf_dir):
+    """A7 + A6: list pages with cards of both boards and a JSON-LD block each, all read."""
+    pages = _board_pages(spark, sf_dir)
+    found = page_postings(F.col("html"), F.lit(""), "both", city=F.lit("some town"), as_of=F.to_timestamp(F.lit(BATCH_TS)))
+    return pages.select(F.explode(found).alias("p")).select("p.job_url", "p.title", "p.company", "p.location", "p.salary", "p.posted_date")
 
 
 def _tracker_pages(spark, sf_dir):

@@ -86,7 +86,8 @@ SELECT doc_id, {S.extract_headcount('text')} AS headcount, {S.extract_company('t
        {S.extract_city('text')} AS city_mention
 FROM documents""", ops="X6 X7 X8")
 def q_document_extract(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents")
+    # a file may hold few row groups and the patterns are CPU work: the texts are dealt out
+    d = _t(spark, sf_dir, "documents").select("doc_id", "text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return d.select("doc_id", X.extract_headcount("text").alias("headcount"),
                     X.extract_company("text").alias("company"), X.extract_city("text").alias("city_mention"))
 

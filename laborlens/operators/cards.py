@@ -20,7 +20,7 @@ FIELDS = ["title", "company", "location", "experience", "salary", "posted_date",
 CARD_SCHEMA = f"array<struct<{','.join(f'{f}:string' for f in FIELDS)}>>"
 CARD_CLASS_RE = "jobTuple|srp-jobtuple-wrapper|base-card|result-card"
 
-# Per board: the card elements, then each field's element (the first in document order).
+# The boards' class names. Per board: the card elements, then each field's element (the first in document order).
 BOARD_A = (["article.jobTuple", "div[class*='srp-jobtuple-wrapper']"], {
     "title": ["a.title", "[class*='title']"], "company": ["a.subTitle", "[class*='comp-name']"],
     "location": ["li.location span", "[class*='loc-wrap']"], "experience": ["li.experience span", "[class*='exp-wrap']"],

@@ -78,7 +78,9 @@ def _matcher(entries):
     @F.pandas_udf(RESULT)
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table = entries.value
-        words, always = _automaton(table), [n for n, e in enumerate(table) if not e[0]]
+        if not hasattr(entries, "automaton"):  # a worker process keeps its broadcasts: built once in each
+            entries.automaton = _automaton(table)
+        words, always = entries.automaton, [n for n, e in enumerate(table) if not e[0]]
         for texts in batches:
             rows = [match_text(t, words, table, always) for t in texts]
             yield pd.DataFrame({

@@ -2,11 +2,15 @@
 
 Tables, list links and JSON-LD blocks are machine-generated and regular, so
 ``regexp_extract_all`` + ``transform``/``posexplode`` recover them per row,
-inside the JVM; the boards' nested job cards go through ``cards.board_cards``.
+inside the JVM, whatever the case of tags, their attributes and quotes; a table
+inside a table's cell ends the outer one and is not read as its own. The boards'
+nested job cards go through ``cards.board_cards``.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,16 +18,44 @@ from laborlens.functions.dates import relative_date
 from laborlens.functions.text import title_case
 from laborlens.operators.cards import board_cards
 
-TABLE_RE = r"(?s)<table[^>]*>(.*?)</table>"
-ROW_RE = r"(?s)<tr[^>]*>(.*?)</tr>"
-CELL_RE = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
-LD_JSON_RE = r'(?s)<script type="application/ld\+json">(.*?)</script>'
+TABLE_RE = r"(?is)<table\b[^>]*>(.*?)</table\s*>"
+ROW_RE = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
+CELL_RE = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
+LD_JSON_RE = r"""(?is)<script\b[^>]*\btype\s*=\s*["']?application/ld\+json\b[^>]*>(.*?)</script\s*>"""
 LINK_RE = r'<li><a href="([^"]*)">([^<]*)</a></li>'
+ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+BLANK = "[\\s\\u00a0]"
+
+
+def unescape(c: Column) -> Column:
+    """Character references decoded: numeric ones, and the named ones of HTML 4
+    (the standard library's table); others stay as they are."""
+    named = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
+
+    def point(ref: Column) -> Column:
+        digits = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10)).otherwise(F.substring(ref, 2, 7))
+        n = digits.try_cast("int")
+        valid = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+
+    def put(text: Column, ref: Column) -> Column:
+        char = F.when(ref.startswith("#"), point(ref)).otherwise(F.try_element_at(named, ref))
+        whole = F.concat(F.lit("&"), ref, F.lit(";"))
+        return F.replace(text, whole, F.coalesce(char, whole))
+
+    # "&" itself comes last, so that what it leaves is not read as a reference again
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(ENTITY_RE), 1))
+    amp = F.array(*[F.lit(x) for x in ("amp", "#38", "#x26", "#X26")])
+    first, last = F.array_except(refs, amp), F.array_intersect(refs, amp)
+    marked = F.aggregate(last, F.aggregate(first, c, put), lambda t, ref: F.replace(t, F.concat(F.lit("&"), ref, F.lit(";")), F.lit("&")))
+    return F.when(c.contains("&"), marked).otherwise(c)
 
 
 def cell_text(c: Column) -> Column:
-    """Cell text: tags removed, whitespace trimmed."""
-    return F.regexp_replace(F.regexp_replace(c, "<[^>]+>", ""), r"^\s+|\s+$", "")
+    """Text of a cell: its pieces between tags, each without white space around it, joined; entities decoded."""
+    blanks = F.regexp_replace(c, r"&nbsp;|&#160;|&#[xX][aA]0;", "\u00a0")
+    joined = F.regexp_replace(blanks, f"{BLANK}*<[^>]+>{BLANK}*", "")
+    return unescape(F.regexp_replace(joined, f"^{BLANK}+|{BLANK}+$", ""))
 
 
 def row_cells(markup: Column) -> Column:
@@ -87,7 +119,7 @@ def ld_postings(html: Column, city: Column | None = None) -> Column:
     as array<struct<title, company, location, experience, salary, posted_date, job_url>>;
     the location is the page's city (null without one)."""
     def items(body):
-        return F.when(body.startswith("["), F.from_json(body, f"array<{LD_POSTING_SCHEMA}>")) \
+        return F.when(body.rlike(r"^\s*\["), F.from_json(body, f"array<{LD_POSTING_SCHEMA}>")) \
             .otherwise(F.array(F.from_json(body, LD_POSTING_SCHEMA)))
     all_items = F.flatten(F.transform(ld_json_blocks(html), items))
     postings = F.filter(all_items, lambda it: it.getField("@type") == "JobPosting")

@@ -20,15 +20,14 @@ def map_distinct(df: DataFrame, cols: str | Sequence[str], fn: Callable[[DataFra
     of rows x dictionary. The distinct step aggregates partially on the map
     side (hot values collapse before the shuffle).
 
-    Both the input and the mapping are written to the shared folder and read
-    back: the (possibly deep) input plan runs once although the distinct step
-    and the join both need it, and ``fn`` runs exactly where it stands. The
-    mapping joins back null-safely; the engine broadcasts it only under its own
+    Only the mapping is written to the shared folder and read back, so ``fn``
+    runs exactly where it stands. The distinct step reads the input by itself,
+    pruned to the key columns; the join reads it once more, whole, and no copy
+    of it is made. The mapping joins back null-safely; the engine broadcasts it only under its own
     size threshold, else the join is a shuffle join with skew splitting."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     outs = [out] if isinstance(out, str) else list(out)
     keys = [f"_k{i}" for i in range(len(cols))]
-    df = materialise(df, "distinct-input")
     distinct = df.select(*[F.col(c).alias(k) for c, k in zip(cols, keys)]).distinct()
     # The keys are few bytes but CPU-heavy: deal them to as many tasks as the
     # session shuffles to (the cluster's setting follows its data). Hash of a

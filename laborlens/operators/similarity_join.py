@@ -11,7 +11,8 @@ come from an inverted index with a prefix filter:
   ``len - o + m`` of each, so a name is filed under every combination of ``m``
   of these (``m`` up to 3, less for long names: a combination is far rarer than
   a character);
-* names with a combination in common and fitting lengths are candidates.
+* names with a combination in common are candidates, unless their lengths or
+  128-bit signatures of their sets show that the overlap is too small.
 
 Only candidates are scored (bit-parallel LCS over whole Arrow batches). Nothing
 with a score of ``cutoff`` or more is missed, so the best match is that of
@@ -21,8 +22,8 @@ Names equal to a canonical name after token sorting score 100 and leave first.
 The rest goes through descending cutoffs: a high one makes short prefixes and
 few candidates, and a name that finds a match there can't find a better one
 below. A combination held by more than ``BLOCK`` canonical names is cut into
-blocks of that many, each met by its own copy of the names, so no combination
-is joined in one task.
+blocks of about that many, each met by its own copy of the names, so no
+combination is joined in one task.
 
 Null names and names without characters match nothing. Names are matched once
 per distinct value; the canonical table may hold repeated names (the smallest
@@ -35,10 +36,11 @@ import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laborlens.functions import dictionaries as D
@@ -130,13 +132,24 @@ def _ship_by_value() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def signature(name: str) -> tuple[int, int]:
+    """The set of (character, occurrence) pairs hashed to 128 bits, as two signed longs."""
+    bits = 0
+    for e in elements(name):
+        bits |= 1 << (e * 0x9E3779B97F4A7C15 >> 40) % 128
+    halves = (bits >> 64, bits & (1 << 64) - 1)
+    return tuple(h - (1 << 64) if h >> 63 else h for h in halves)
+
+
 def _filer(cutoff: float, rank: dict[int, int]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             filed = [combinations(s, cutoff, rank) for s in rows["sorted"]]
-            out = rows.loc[rows.index.repeat([len(f) for f in filed])].reset_index(drop=True)
-            out["combination"] = np.fromiter(itertools.chain.from_iterable(filed), np.int64, len(out))
-            yield out
+            times = [len(f) for f in filed]
+            signed = [signature(x) for x in rows["sorted"]]
+            yield pd.DataFrame({"id": rows["id"], "size": rows["sorted"].str.len(), "high": [h for h, _ in signed],
+                                "low": [w for _, w in signed]}).loc[rows.index.repeat(times)].assign(
+                combination=np.fromiter(itertools.chain.from_iterable(filed), np.int64, sum(times)))
     return run
 
 
@@ -165,19 +178,30 @@ def element_ranks(names: DataFrame) -> dict[int, int]:
 
 
 def candidates(names: DataFrame, canon: DataFrame, cutoff: float, rank: dict[int, int]) -> DataFrame:
-    """(sorted, canon_sorted): the distinct pairs that share a combination and whose lengths can score ``cutoff``."""
+    """(id, canon_id): the distinct pairs of (id, sorted) rows that share a combination and
+    whose lengths and signatures can score ``cutoff``."""
     _ship_by_value()
-    file = _filer(cutoff, rank)
-    left = names.select("sorted").mapInPandas(file, "sorted string, combination long")
-    right = (canon.select("sorted").mapInPandas(file, "sorted string, combination long")
-             .withColumnRenamed("sorted", "canon_sorted"))
-    right = materialise(right, "similarity-index")
-    held = right.groupBy("combination").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    left = left.join(held, "combination").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = right.join(held, "combination").withColumn("block", F.pmod(F.xxhash64("canon_sorted"), F.col("blocks")).cast("int"))
-    la, lb = F.length("sorted"), F.length("canon_sorted")
-    reach = 200 * F.least(la, lb) >= cutoff * (la + lb)
-    return left.join(right, ["combination", "block"]).where(reach).select("sorted", "canon_sorted").distinct()
+    file, shape = _filer(cutoff, rank), "id long, size int, high long, low long, combination long"
+    # a name far longer than every canonical one has many combinations and no partner
+    longest = canon.agg(F.coalesce(F.max(F.length("sorted")), F.lit(0))).first()[0] * (200 / cutoff - 1)
+    left = names.where(F.length("sorted") <= longest).select("id", "sorted").mapInPandas(file, shape)
+    right = canon.select("id", "sorted").mapInPandas(file, shape)
+    right = materialise(right.select(F.col("id").alias("canon_id"), *[F.col(c).alias(f"canon_{c}") for c in ("size", "high", "low")],
+                                     "combination"), "similarity-index")
+    # the few combinations of very many canonical names: their number of blocks
+    common = right.groupBy("combination").count().where(F.col("count") > BLOCK).select(
+        "combination", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    common = materialise(common, "similarity-common")
+    blocks = F.coalesce("blocks", F.lit(1))
+    left = left.join(common, "combination", "left").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("blocks")
+    right = right.join(common, "combination", "left").withColumn("block", F.pmod(F.xxhash64("canon_id"), blocks).cast("int")).drop("blocks")
+
+    def kept(a: str, b: str) -> Column:
+        """At most so many characters of ``a`` are in ``b``: a bit that only ``a`` has stands for one or more that are not."""
+        return F.col(f"{a}size") - sum((F.bit_count(F.col(a + h).bitwiseAND(F.bitwise_not(F.col(b + h)))) for h in ("high", "low")), F.lit(0))
+
+    reach = 200 * F.least(kept("", "canon_"), kept("canon_", "")) >= cutoff * (F.col("size") + F.col("canon_size"))
+    return left.join(right, ["combination", "block"]).where(reach).select("id", "canon_id").distinct()
 
 
 class BestMatch:
@@ -187,38 +211,38 @@ class BestMatch:
     ``candidates``: pairs that were scored, known once the matches were written."""
 
     def __init__(self, names: DataFrame, canon: DataFrame, cutoff: float = D.COMPANY_MATCH_CUTOFF,
-                 tiers: Sequence[float] = (90.0,)):
+                 tiers: Sequence[float] = (92.0, 85.0, 78.0)):
         if not 0 < cutoff <= 100:
             raise ValueError("cutoff must be above 0 and at most 100")
+        one = F.monotonically_increasing_id().alias("id")  # given once, in what is written
         named = materialise(names.select("name").distinct().select("name", token_sort(F.col("name")).alias("sorted"))
                             .where("sorted <> ''"), "similarity-names")
         table = materialise(canon.select("name", "priority", token_sort(F.col("name")).alias("sorted")).where("sorted <> ''")
                             .groupBy("sorted").agg(F.min(F.struct("priority", "name")).alias("best"))
-                            .select("sorted", F.col("best.priority").alias("priority"), F.col("best.name").alias("match")),
+                            .select(one, "sorted", F.col("best.priority").alias("priority"), F.col("best.name").alias("match")),
                             "similarity-canon")
         self.candidates = 0
         keys = named.select("sorted").distinct()
         equal = keys.join(table.select("sorted", "match"), "sorted").withColumn("score", F.lit(100.0))
-        todo = materialise(keys.join(table.select("sorted"), "sorted", "left_anti"), "similarity-todo")
+        todo = materialise(keys.join(table.select("sorted"), "sorted", "left_anti").select(one, "sorted"), "similarity-todo")
         found = [equal]
         rank = element_ranks(table)
         for tier in [*(t for t in sorted(tiers, reverse=True) if t > cutoff), float(cutoff)]:
             best = self._tier(todo, table, tier, rank)
-            found.append(best)
-            todo = materialise(todo.join(best.select("sorted"), "sorted", "left_anti"), "similarity-todo")
-        both = found[0]
-        for f in found[1:]:
-            both = both.unionByName(f)
+            found.append(best.select("sorted", "match", "score"))
+            todo = materialise(todo.join(best.select("id"), "id", "left_anti"), "similarity-todo")
+        both = reduce(DataFrame.unionByName, found)
         self.matches = named.join(both, "sorted").select("name", "match", "score")
 
     def _tier(self, todo: DataFrame, table: DataFrame, cutoff: float, rank: dict[int, int]) -> DataFrame:
-        scored = candidates(todo, table, cutoff, rank).withColumn("score", _scorer()("sorted", "canon_sorted"))
-        ranked = scored.join(table.withColumnRenamed("sorted", "canon_sorted"), "canon_sorted")
+        canon = table.select(F.col("id").alias("canon_id"), F.col("sorted").alias("canon_sorted"), "priority", "match")
+        pairs = candidates(todo, table, cutoff, rank).join(todo, "id").join(canon, "canon_id")
+        scored = pairs.withColumn("score", _scorer()("sorted", "canon_sorted"))
         reached = F.when(F.col("score") >= cutoff, F.struct((-F.col("score")).alias("worse"), "priority", "match"))
-        best = materialise(ranked.groupBy("sorted").agg(F.min(reached).alias("best"), F.count(F.lit(1)).alias("pairs")),
+        best = materialise(scored.groupBy("id", "sorted").agg(F.min(reached).alias("best"), F.count(F.lit(1)).alias("pairs")),
                            "similarity-best")
         self.candidates += best.agg(F.sum("pairs")).first()[0] or 0
-        return best.where("best is not null").select("sorted", "best.match", (-F.col("best.worse")).alias("score"))
+        return best.where("best is not null").select("id", "sorted", "best.match", (-F.col("best.worse")).alias("score"))
 
 
 def best_matches(names: DataFrame, canon: DataFrame, cutoff: float = D.COMPANY_MATCH_CUTOFF) -> DataFrame:

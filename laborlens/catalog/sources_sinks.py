@@ -22,7 +22,8 @@ from laborlens.functions.dates import parse_published
 from laborlens.operators.html import card_postings, ld_postings, page_postings, table_rows
 from laborlens.session import materialise, scratch_path
 from laborlens.sinks import documents as K
-from laborlens.sinks.landing import land_chunked, land_envelopes, write_table
+from laborlens.sinks.landing import land_chunked, land_envelopes
+from laborlens.sinks.snapshots import SnapshotTable
 from laborlens.sources import bronze, tables
 
 RUN_TS = "20240131T060000Z"
@@ -276,9 +277,12 @@ SELECT sector, CAST(sum(open_positions) AS BIGINT) AS total_hiring, CAST(sum(tot
 FROM ({sql_gold_company(with_titles=False)}) GROUP BY sector""", ops="K3 K10")
 def q_gold_roundtrip(spark, sf_dir):
     from laborlens.plans import gold
-    path = scratch_path(spark, "gold-sector")
-    write_table(gold.sector(gold_company(spark, sf_dir, with_titles=False)), path)
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    table = SnapshotTable(spark, scratch_path(spark, "gold-sector"))
+    sectors = gold.sector(gold_company(spark, sf_dir, with_titles=False))
+    # an older version with fewer columns, then the whole table: read as of the newest commit
+    table.overwrite(sectors.select("sector").limit(3), "run-1")
+    table.overwrite(sectors, "run-2")
+    return table.read()
 
 
 @register("city_summary_document", sql=lambda: f"""

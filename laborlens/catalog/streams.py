@@ -37,11 +37,11 @@ def _silver_stream(spark, sf_dir):
     return Z.silver_news_stream(Z.news_stream(spark, root), d.canonical, d.city_aliases)
 
 
-def _sql_news_parsed() -> str:
+def _sql_news_parsed(more: str = "") -> str:
     with_norm = R.company_map(R.NEWS, "company", "company_norm", dic())
     return f"""
 SELECT *, {S.news_url_key('url', 'title', 'company')} AS url_key FROM (
-  SELECT company_norm, {S.normalise_city('city', dic().city_aliases)} AS city, signal_type, headcount, url, title, company,
+  SELECT company_norm, {S.normalise_city('city', dic().city_aliases)} AS city, signal_type, headcount, url, title, company{more},
          {S.parse_published('published_at')} AS published_ts,
          {S.signal_score_tenths('signal_type', 'headcount')} AS score_tenths
   FROM ({with_norm}))
@@ -100,8 +100,32 @@ def _sql_stream_history() -> str:
 def q_stream_history(spark, sf_dir):
     state, ck = scratch_path(spark, "z4-state"), scratch_path(spark, "z4-ck")
     Z.history_upsert(_silver_stream(spark, sf_dir), state, ck)
-    hist = Z.latest_state(spark, state)
+    hist = Z.read_history(spark, state)
     tr = H.trend(hist)
     meta = hist.groupBy("company", "city").agg(F.count(F.lit(1)).alias("n_points"), F.max("date").alias("last_date"))
     return tr.join(meta, ["company", "city"]).select(
         "company", "city", F.array_join(F.col("trend").cast("array<string>"), ",").alias("trend"), "n_points", "last_date")
+
+
+@register("stream_earliest_news", sql=lambda: f"""
+SELECT url_key, title, company_norm, city, signal_type, scraped_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY url_key ORDER BY scraped_at NULLS FIRST, published_ts, title NULLS FIRST) AS _r
+  FROM ({_sql_news_parsed(", scraped_at")})) WHERE _r = 1""", ops="Z1 Z2 U2")
+def q_stream_earliest(spark, sf_dir):
+    """Z2 with U2's row: the copy of each URL that was scraped first, kept in keyed state."""
+    silver = _silver_stream(spark, sf_dir)
+    out = scratch_path(spark, "z2-earliest")
+    Z.run_earliest(silver, out, scratch_path(spark, "z2-earliest-ck"))
+    return Z.read_earliest(spark, out, silver.schema).select("url_key", "title", "company_norm", "city", "signal_type", "scraped_at")
+
+
+@register("stream_windowed_signals", sql=lambda: f"""
+SELECT strftime(date_trunc('day', published_ts), '%Y-%m-%d') AS day, company_norm, signal_type, count(*) AS articles,
+       CAST(sum(score_tenths) AS BIGINT) AS score_tenths
+FROM ({_sql_news_parsed()}) GROUP BY 1, 2, 3""", ops="Z3")
+def q_stream_windows(spark, sf_dir):
+    """Z3 as event-time windows in update mode with an idempotent sink."""
+    out = scratch_path(spark, "z3-windows")
+    Z.windowed_signals(_silver_stream(spark, sf_dir), out, scratch_path(spark, "z3-windows-ck"))
+    return Z.read_windows(spark, out).select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "company_norm",
+                                             "signal_type", "articles", "score_tenths")

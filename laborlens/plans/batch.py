@@ -30,6 +30,7 @@ from laborlens.operators import history as H
 from laborlens.plans import gold, silver
 from laborlens.sinks import documents as K
 from laborlens.sinks.landing import write_table
+from laborlens.sinks.snapshots import SnapshotTable
 from laborlens.sources import bronze
 from laborlens.streaming.incremental import latest_state
 
@@ -57,6 +58,12 @@ def run(spark: SparkSession, raw_root: str, out_root: str, as_of: str, run_ts: s
         write_table(df, path)
         return spark.read.parquet(path)
 
+    def publish(df: DataFrame, name: str) -> DataFrame:
+        """K3: the next version of a gold table; readers see the one before until it is complete."""
+        table = SnapshotTable(spark, f"{out_root}/{name}")
+        table.overwrite(df, run_ts)
+        return table.read(run_ts)
+
     # silver (written once, read back by every consumer)
     s_jobs = materialise(silver.jobs(jobs_bronze.select(*job_cols), dic), "silver_jobs")
     s_news = materialise(silver.news(news_bronze.select(*[f.name for f in schemas.NEWS.fields]), dic, as_of_ts,
@@ -67,10 +74,10 @@ def run(spark: SparkSession, raw_root: str, out_root: str, as_of: str, run_ts: s
     # gold
     g_company = gold.company(silver.recent_jobs(s_jobs, as_of_ts, recent_days), s_news, s_reg,
                              it_sector=dic.it_sector, sectors=dic.sectors)
-    g_company = materialise(g_company.withColumns({"run_ts": F.lit(run_ts), "updated_at": F.lit(today)}),
+    g_company = publish(g_company.withColumns({"run_ts": F.lit(run_ts), "updated_at": F.lit(today)}),
                             "gold_companies")
-    g_city = materialise(gold.city(g_company, dic.it_sector), "gold_districts")
-    g_sector = materialise(gold.sector(g_company), "gold_sectors")
+    g_city = publish(gold.city(g_company, dic.it_sector), "gold_districts")
+    g_sector = publish(gold.sector(g_company), "gold_sectors")
 
     # history: prior state -> new version; trend and is_new per company x city
     served = g_company.where((F.col("company_norm") != "") & (F.col("city") != ""))

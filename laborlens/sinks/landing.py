@@ -33,8 +33,9 @@ def _stamped(df: DataFrame, run_ts: str, batch_ts: str) -> DataFrame:
 
 def land_envelopes(records: DataFrame, path: str, partition_cols: dict[str, Column], id_col: str, array_field: str,
                    count_field: str, run_ts: str, batch_ts: str, max_records: int = 500) -> None:
-    """K1: append records as JSON envelopes (each run lands new files) ``{batch_ts, run_id, <count_field>,
-    <array_field>: [...]}`` under ``<partition_cols>/year=/month=/day=/hour=/run=``."""
+    """K1: land records as JSON envelopes ``{batch_ts, run_id, <count_field>, <array_field>: [...]}``
+    under ``<partition_cols>/year=/month=/day=/hour=/run=``. A run that is landed again
+    replaces its own folders; those of other runs stay."""
     keys = list(partition_cols)
     keyed = records.select(*[e.alias(k)
                              for k, e in partition_cols.items()],
@@ -43,7 +44,7 @@ def land_envelopes(records: DataFrame, path: str, partition_cols: dict[str, Colu
     env = _stamped(b.groupBy(*keys, "_task", "_bucket").agg(F.collect_list("_rec").alias(array_field))
                    .withColumn(count_field, F.size(array_field)).drop("_task", "_bucket"), run_ts, batch_ts)
     order = [k for k in keys if k == "source"] + ["year", "month", "day", "hour"] + [k for k in keys if k != "source"] + ["run"]
-    env.write.mode("append").partitionBy(*order).json(path)
+    env.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*order).json(path)
 
 
 def land_chunked(records: DataFrame, path: str, source: str, order_col: str, run_ts: str, batch_ts: str,
@@ -56,12 +57,13 @@ def land_chunked(records: DataFrame, path: str, source: str, order_col: str, run
         F.struct(*records.columns)).alias("records")).withColumn("chunk_index", F.col("chunk")))
     chunks = order.agg(F.max("chunk") + 1).first()[0] or 0
     env = _stamped(env.withColumn("chunk_count", F.lit(chunks)).withColumn("source", F.lit(source)), run_ts, batch_ts)
-    (env.withColumn("part", F.format_string("%06d", "chunk")).drop("chunk").write.mode("append")
-     .partitionBy("source", "year", "month", "day", "hour", "run", "part").json(path))
+    (env.withColumn("part", F.format_string("%06d", "chunk")).drop("chunk").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("source", "year", "month", "day", "hour", "run", "part").json(path))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a gold table (a fresh path per run; never the path being read)."""
+    """Overwrite a plain table (a fresh path per run; never the path being read): for
+    tables that readers follow from run to run see ``sinks.snapshots``."""
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

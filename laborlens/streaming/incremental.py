@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from laborlens import schemas
 from laborlens.functions import dictionaries as D
@@ -21,7 +22,8 @@ from laborlens.functions.scoring import signal_score_tenths
 from laborlens.functions.similarity import with_company_norm
 from laborlens.functions.text import normalise_city, parse_count
 from laborlens.operators import history as H
-from laborlens.operators.dedupe import news_url_key
+from laborlens.operators.dedupe import keep_first, news_url_key
+from laborlens.sinks.snapshots import SnapshotTable
 from laborlens.sources.bronze import CORRUPT
 
 
@@ -120,8 +122,11 @@ def dedupe_stream(silver: DataFrame, delay: str = "30 days") -> DataFrame:
 def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> int:
     """Run a streaming frame to completion (availableNow) into parquet files; the
     number of late rows this run dropped, with a warning if there are any."""
-    q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-         .outputMode(mode).trigger(availableNow=True).start())
+    return run_counting_late(df.writeStream.format("parquet").option("path", out).outputMode(mode), checkpoint)
+
+
+def run_counting_late(writer, checkpoint: str) -> int:
+    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     late: dict[int, int] = {}
     done = False
     while not done:  # only the latest progress reports are kept, so they are taken as the job goes
@@ -129,7 +134,7 @@ def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append
         late.update({p["batchId"]: sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"]) for p in q.recentProgress})
     n = sum(late.values())
     if n:
-        warnings.warn(f"{n} rows were older than the watermark and dropped", stacklevel=2)
+        warnings.warn(f"{n} rows were older than the watermark and dropped", stacklevel=3)
     return n
 
 
@@ -159,35 +164,176 @@ def read_daily_signals(spark: SparkSession, out: str) -> DataFrame:
             .agg(F.sum("articles").alias("articles"), F.sum("score_tenths").alias("score_tenths")))
 
 
-def history_upsert(silver: DataFrame, state_root: str, checkpoint: str, points: int = D.HISTORY_POINTS) -> None:
-    """Per micro-batch, add the batch's per-(company, city, day) sums to the
-    state's entries of the same day, keep the ``points`` latest days per key, and
-    write the result as a state version named by run and batch (never over the
-    version being read). A batch that is repeated after a lost commit writes the
-    same version again from the same base, so its sums count once."""
-    run = run_number(silver.sparkSession, state_root, checkpoint)
+#: state provider of jobs with arbitrary state: large state stays on disk, changes are checkpointed
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DAY_MS = 86_400_000
+U2_ORDER = ["scraped_at", "published_ts", "title"]
+
+
+class KeepEarliest(StatefulProcessor):
+    """Per key the smallest row so far by ``order`` (nulls first), as state until the
+    event clock has passed the row's time by ``keep_ms``; a row is emitted when it
+    becomes the smallest. A row older than the clock allows is emitted as late and
+    changes nothing. The clock runs ``grace_ms`` ahead of Spark's watermark, so that
+    rows up to that much too late still arrive here."""
+
+    def __init__(self, order: list[str], columns: list[str], schema: str, time_col: str, keep_ms: int, grace_ms: int):
+        self.order, self.columns, self.schema, self.time_col = order, columns, schema, time_col
+        self.keep_ms, self.grace_ms = keep_ms, grace_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState("best", self.schema)
+
+    def _place(self, row) -> tuple:
+        return tuple((row[c] is not None, row[c]) if row[c] is not None else (False, "") for c in self.order)
+
+    def handleInputRows(self, key, rows, timerValues):
+        mark = timerValues.getCurrentWatermarkInMs()
+        oldest = mark + self.grace_ms - self.keep_ms if mark > 0 else None
+        old = self.best.get() if self.best.exists() else None
+        best = None if old is None else Row(**dict(zip(self.columns, old, strict=True)))
+        first = best
+        for row in rows:
+            time = int(row[self.time_col].timestamp() * 1000)
+            if oldest is not None and time < oldest:
+                yield Row(**{c: row[c] for c in self.columns}, late=True)
+            elif best is None or self._place(row) < self._place(best):
+                best = Row(**{c: row[c] for c in self.columns})
+        if best is not None and best is not first:
+            self.best.update(tuple(best[c] for c in self.columns))
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            time = int(best[self.time_col].timestamp() * 1000)
+            self.handle.registerTimer(max(mark + 1, time + self.keep_ms - self.grace_ms))
+            yield Row(**{c: best[c] for c in self.columns}, late=False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.best.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def earliest_stream(silver: DataFrame, keep_days: int = 30, grace_days: int = 365) -> DataFrame:
+    """Z2 as U2 has it: per URL key the row that batch ``keep_first`` keeps, whatever the
+    order in which files land, with state that expires ``keep_days`` of event time after
+    the row it holds. Emits each improvement (``late`` false) and each late row (``late``
+    true). Rows more than ``grace_days`` beyond that are dropped and counted by Spark."""
+    columns = [c for c in silver.columns if c != "late"]
+    rest = [c for c in columns if c not in (*U2_ORDER, "url_key")]
+    kept = silver.select(*columns).schema
+    out = T.StructType([*kept.fields, T.StructField("late", T.BooleanType())])
+    processor = KeepEarliest([*U2_ORDER, *rest], columns, kept, "published_ts", keep_days * DAY_MS, grace_days * DAY_MS)
+    return (silver.withWatermark("published_ts", f"{grace_days} days").groupBy("url_key")
+            .transformWithState(processor, out, "Update", "EventTime"))
+
+
+def run_earliest(silver: DataFrame, out: str, checkpoint: str, keep_days: int = 30, grace_days: int = 365) -> None:
+    """Run ``earliest_stream`` to completion: improvements under ``out/kept``, late rows under
+    ``out/late``, one folder per batch, written again if the batch is repeated."""
+    spark = silver.sparkSession
+    run = run_number(spark, f"{out}/kept", checkpoint)
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    def sink(batch: DataFrame, batch_id: int) -> None:
         version = f"{run:08d}-{batch_id:08d}"
+        # one write, the flag as a partition column, so that the state is read and advanced once
+        batch.write.mode("overwrite").partitionBy("late").parquet(f"{out}/kept/v={version}")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    try:
+        q = (earliest_stream(silver, keep_days, grace_days).writeStream.foreachBatch(sink).outputMode("update")
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        else:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def _emitted(spark: SparkSession, out: str, late: bool, schema: T.StructType) -> DataFrame:
+    whole = T.StructType([*schema.fields, T.StructField("late", T.BooleanType())])
+    rows = spark.read.schema(whole).option("basePath", out).parquet(f"{out}/kept/v=*")
+    return rows.where(F.col("late") == late).select(*schema.fieldNames())
+
+
+def read_earliest(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """One row per URL key: the smallest of those emitted."""
+    return keep_first(_emitted(spark, out, False, schema), ["url_key"], U2_ORDER)
+
+
+def read_late(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """The side table of late rows."""
+    return _emitted(spark, out, True, schema)
+
+
+def windowed_signals(silver: DataFrame, out: str, checkpoint: str, width: str = "1 day", delay: str = "400 days") -> int:
+    """Z3 with event-time state: tumbling ``width`` windows per company and signal type, held
+    until the watermark (``delay`` behind the newest row) passes them. Each batch writes
+    the windows that changed, under its own name, so a repeated batch changes nothing.
+    Returns the number of rows too late for their window."""
+    spark = silver.sparkSession
+    run = run_number(spark, out, checkpoint)
+    counts = (silver.withWatermark("published_ts", delay)
+              .groupBy(F.window("published_ts", width).alias("w"), "company_norm", "signal_type")
+              .agg(F.count(F.lit(1)).alias("articles"), F.sum("score_tenths").cast("bigint").alias("score_tenths"))
+              .select(F.col("w.start").alias("window_start"), "company_norm", "signal_type", "articles", "score_tenths"))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        version = f"{run:08d}-{batch_id:08d}"
+        batch.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{out}/v={version}")
+    return run_counting_late(counts.writeStream.foreachBatch(sink).outputMode("update"), checkpoint)
+
+
+def read_windows(spark: SparkSession, out: str) -> DataFrame:
+    """The newest counts of every window, company and signal type."""
+    schema = "window_start timestamp, company_norm string, signal_type string, articles long, score_tenths long, version string"
+    rows = spark.read.schema(schema).parquet(f"{out}/v=*")
+    return (rows.groupBy("window_start", "company_norm", "signal_type")
+            .agg(F.max(F.struct("version", "articles", "score_tenths")).alias("e"))
+            .select("window_start", "company_norm", "signal_type", "e.articles", "e.score_tenths"))
+
+
+def merged_history(points: int = D.HISTORY_POINTS):
+    """Rows of several state folders -> the rows that stand for them: sums per key and day,
+    the ``points`` latest days per key. Cutting early is safe: a day with that many
+    later ones in some folders has them in all."""
+    def merge(rows: DataFrame) -> DataFrame:
+        sums = (rows.groupBy("company", "city", "date").agg(F.sum("hiring").alias("hiring"), F.sum("layoffs").alias("layoffs"))
+                .withColumn("score", F.col("hiring") - F.col("layoffs")))
+        return H.update_history(sums.limit(0), sums, points=points)
+    return merge
+
+
+def history_upsert(silver: DataFrame, state_root: str, checkpoint: str, points: int = D.HISTORY_POINTS, fanout: int = 4) -> None:
+    """Per micro-batch, add the batch's per-(company, city, day) sums to the state.
+    The state is log-structured (``SnapshotTable.upsert``): a batch writes the keys it
+    changes, full levels are merged, and ``read_history`` merges the rest on read. A
+    batch that is repeated after a lost commit builds on the version before its own,
+    so its sums count once."""
+    spark = silver.sparkSession
+    run = run_number(spark, state_root, checkpoint)
+    table = SnapshotTable(spark, state_root)
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
         hc = F.coalesce("headcount", F.lit(0))
         entries = (batch.groupBy(F.col("company_norm").alias("company"), "city",
                                  F.date_format("published_ts", "yyyy-MM-dd").alias("date"))
                    .agg(F.sum(F.when(F.col("signal_type") == "hiring", hc).otherwise(0)).cast("bigint").alias("hiring"),
                         F.sum(F.when(F.col("signal_type") == "layoff", hc).otherwise(0)).cast("bigint").alias("layoffs")))
-        # a repeated batch starts from the version before its own, never from its own
-        current = latest_state(spark, state_root, before=version)
-        merged = (current.select("company", "city", "date", "hiring", "layoffs").unionByName(entries)
-                  .groupBy("company", "city", "date")
-                  .agg(F.sum("hiring").alias("hiring"), F.sum("layoffs").alias("layoffs"))
-                  .withColumn("score", F.col("hiring") - F.col("layoffs")))
-        trimmed = H.update_history(merged.limit(0), merged, points=points)
-        trimmed.write.mode("overwrite").parquet(f"{state_root}/v={version}")
+        table.upsert(entries, f"{run:08d}-{batch_id:08d}", merged_history(points), fanout)
     q = (silver.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def read_history(spark: SparkSession, state_root: str, points: int = D.HISTORY_POINTS) -> DataFrame:
+    """The history that ``history_upsert`` keeps, merged over its folders."""
+    return merged_history(points)(SnapshotTable(spark, state_root).read(schema=schemas.HISTORY))
+
+
 def _folder(spark: SparkSession, path: str):
     """(Hadoop file system, path object, its class) of a shared folder."""
     cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -203,8 +349,10 @@ def run_number(spark: SparkSession, state_root: str, checkpoint: str) -> int:
     if fs.exists(mark):
         return int(fs.listStatus(mark)[0].getPath().getName())
     root = cls(state_root)
-    names = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
-    n = 1 + max([int(v[2:10]) for v in names if v.startswith("v=") and v[2:10].isdigit()], default=0)
+    folders = [root, cls(f"{state_root}/_commits")]
+    names = [st.getPath().getName() for f in folders if fs.exists(f) for st in fs.listStatus(f)]
+    names = [v.removeprefix("v=") for v in names]
+    n = 1 + max([int(v[:8]) for v in names if v[:8].isdigit() and v[8:9] == "-"], default=0)
     fs.mkdirs(cls(f"{checkpoint}-run/{n}"))
     return n
 
@@ -218,6 +366,8 @@ def latest_state(spark: SparkSession, state_root: str, before: str | None = None
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return spark.createDataFrame([], schemas.HISTORY)
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{state_root}/_commits")):  # kept by history_upsert
+        return merged_history()(SnapshotTable(spark, state_root).read(before=before, schema=schemas.HISTORY))
     versions = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.getPath().getName().startswith("v="))
     done = [v for v in versions if (before is None or v < f"v={before}") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{state_root}/{v}/_SUCCESS"))]
     if not done:

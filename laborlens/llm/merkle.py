@@ -246,3 +246,52 @@ def verified_proofs(spark: SparkSession, manifest: Manifest, claimed: Column) ->
     """The proofs with ``folded_root`` (from the claimed leaf and the siblings) and ``verified``."""
     rows = manifest.proofs().withColumn("folded_root", fold(claimed, F.col("proof")))
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+
+def manifest_sql(docs: str = "documents") -> str:
+    """DuckDB twin of the two-way manifest over ``docs`` with every seventh row (by crc32 of its
+    id) tampered: trees level by level, siblings looked up per leaf and level, proofs folded as lists."""
+    def field(c: str) -> str:
+        return f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(n_chars: str) -> str:
+        return f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+    byte = "list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda v, z: xor(v >> 1, 3988292384::BIGINT * (v & 1)), xor(c, x))"
+    crc = (f"xor(4294967295::BIGINT, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda k: ascii(k)::BIGINT), "
+           f"lambda c, x: {byte}, 4294967295::BIGINT))")
+
+    def levels(name: str, start: str, by: str) -> str:
+        key = f"{by}, " if by else ""
+        return f"""{name} AS ({start} UNION ALL
+           SELECT {key}level + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (n + 1) // 2 FROM {name}
+           WHERE n > 1 GROUP BY {key}level, idx // 2, n)"""
+
+    def steps(tree: str, place: str, depth: str, extra: str) -> str:
+        return f"""SELECT l.id, '{tree}' AS tree, s.level, CASE WHEN b.digest IS NULL THEN 'N' WHEN ({place} >> s.level) % 2 = 1
+                     THEN 'L' || b.digest ELSE 'R' || b.digest END AS step
+                   FROM (SELECT *, unnest(range(0, {depth})) AS level FROM leaves) s JOIN leaves l ON s.id = l.id
+                   LEFT JOIN {tree} b ON b.level = s.level AND b.idx = xor({place} >> s.level, 1) {extra}"""
+    return f"""
+    WITH RECURSIVE plain AS MATERIALIZED (
+      SELECT doc_id, lang, {leaf('n_chars')} AS leaf, CASE WHEN {crc} % 7 = 0 THEN {leaf('(n_chars + 1)')} END AS changed FROM {docs}),
+    numbered AS MATERIALIZED (
+      SELECT *, (row_number() OVER () - 1)::BIGINT AS id, (dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1)::BIGINT AS g,
+             (row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1)::BIGINT AS idx,
+             (count(*) OVER (PARTITION BY lang))::BIGINT AS n FROM plain),
+    {levels('up', "SELECT g, 0::BIGINT AS level, idx, leaf AS digest, n FROM numbered", "g")},
+    nodes AS MATERIALIZED (SELECT * FROM up),
+    subroots AS MATERIALIZED (SELECT g, digest, level AS depth, (count(*) OVER ())::BIGINT AS n FROM nodes WHERE n = 1),
+    {levels('rise', "SELECT 0::BIGINT AS level, g AS idx, digest, n FROM subroots", "")},
+    tops AS MATERIALIZED (SELECT * FROM rise),
+    leaves AS MATERIALIZED (SELECT l.*, s.digest AS subroot, s.depth, (SELECT max(level) FROM tops) AS height
+                            FROM numbered l JOIN subroots s ON l.g = s.g),
+    found AS ({steps('nodes', 'l.idx', 'depth', 'AND b.g = l.g')} UNION ALL {steps('tops', 'l.g', 'height', '')}),
+    proofs AS (SELECT id, list(step ORDER BY tree, level) AS steps FROM found GROUP BY id),
+    folded AS (SELECT l.*, coalesce(p.steps, []) AS steps, list_reduce(coalesce(p.steps, []), lambda a, s: CASE s[1]
+                 WHEN 'L' THEN sha256(s[2:] || a) WHEN 'R' THEN sha256(a || s[2:]) ELSE sha256(a) END,
+                 coalesce(l.changed, l.leaf)) AS folded_root FROM leaves l LEFT JOIN proofs p ON l.id = p.id)
+    SELECT doc_id, leaf, subroot, r.digest AS root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256,
+           folded_root, folded_root = r.digest AS verified
+    FROM folded, (SELECT digest FROM tops WHERE n = 1) r"""

@@ -163,3 +163,4 @@ ORACLES["op5_exact_topk"] = """
     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
 ORACLES["op8_mixing"] = mix_sql()
+ORACLES["op13_merkle_manifest"] = merkle.manifest_sql()

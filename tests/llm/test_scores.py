@@ -83,6 +83,35 @@ def test_least_loaded_is_lpt():
     assert sharding.least_loaded(sizes, 3) == want
 
 
+def test_ridge_scores_equal_one_solve_over_all_rows(spark):
+    """Partition sums give the least squares of the whole matrix with its penalty."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(700, len(quality.STATS))) * r.uniform(0.5, 3, len(quality.STATS))
+    y = (x[:, 0] + np.sin(2 * x[:, 1]) + r.normal(size=700) * 0.3 > 0).astype(int)
+    rows = [(x[i].tolist(), int(y[i]), i % 5 == 1) for i in range(700)]
+    model = quality.fit(spark.createDataFrame(rows, "stats array<double>, label int, fold boolean").repartition(7))
+    stay = np.array([not f for _, _, f in rows])
+    a = model.features(x[stay])
+    n, d = a.shape
+    penalty = np.full(d, quality.RIDGE * n)
+    penalty[-1] = 1e-9 * n
+    weights, *_ = np.linalg.lstsq(np.vstack([a, np.diag(np.sqrt(penalty))]), np.concatenate([y[stay], np.zeros(d)]), rcond=None)
+    assert np.allclose(model.raw(x), model.features(x) @ weights, atol=1e-6)
+    # calibrated values are the isotonic fit of the calibration fold: non-decreasing, and its mean is kept
+    assert (np.diff(model.values) >= 0).all()
+    fold = model.score(x[~stay])
+    assert abs(fold.mean() - y[~stay].mean()) < 0.05
+
+
+def test_fourier_features_approximate_the_gaussian_kernel():
+    r = np.random.default_rng(9)
+    model = quality.Model(np.zeros(len(quality.STATS)), np.ones(len(quality.STATS)), None, np.zeros(1), np.zeros(1), 0.5)
+    x = r.normal(size=(60, len(quality.STATS)))
+    f = model.features(x)[:, :quality.FEATURES]
+    exact = np.exp(-quality.GAMMA * ((x[:, None] - x[None]) ** 2).sum(-1))
+    assert abs(f @ f.T - exact).max() < 0.3 and abs(f @ f.T - exact).mean() < 0.06
+
+
 def brute_topk(rows, k):
     vec = {}
     for i, v in rows:
@@ -220,6 +249,70 @@ def test_fingerprints_are_local():
     assert fingerprint.likeness(fingerprint.EMPTY, fa) == 0.0 and fingerprint.likeness(fingerprint.EMPTY, fingerprint.EMPTY) == 1.0
 
 
+def plain_phrases(text):
+    """The parse from its definition, one unit after the other: (root name, hashes of the phrase names)."""
+    full = (1 << 64) - 1
+
+    def mix(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 & full
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB & full
+        return x ^ x >> 31
+
+    def toss(values, bits):
+        out = []
+        for i, v in enumerate(values):
+            left = values[i - 1] if i else ~v & (1 << bits) - 1
+            place = next(k for k in range(bits) if (v ^ left) >> k & 1)
+            out.append(place << 1 | v >> place & 1)
+        return out
+
+    symbols, level, found = [int(fingerprint.BYTE[b]) for b in text.encode()], 0, set()
+    while level == 0 or len(symbols) > 1:
+        units = []
+        for value in symbols:
+            if units and units[-1][0] == value:
+                units[-1][1] += 1
+            else:
+                units.append([value, 1])
+        names = [v if n == 1 else mix(v + n * 0xC2B2AE3D27D4EB4F & full) for v, n in units]
+        labels = toss(toss(toss(names, 64), 8), 8)
+        cuts = [0] + [i for i in range(1, len(names) - 1) if labels[i - 1] < labels[i] > labels[i + 1]] + [len(names)]
+        symbols = [mix(sum(names[a + j] * pow(0x9E3779B97F4A7C15, j, 1 << 64) for j in range(b - a)) & full)
+                   for a, b in zip(cuts, cuts[1:], strict=False)]
+        level += 1
+        if level >= fingerprint.LOW or len(symbols) == 1:
+            found |= {mix(x + 0x9E3779B97F4A7C15 & full) >> 32 for x in symbols}
+    return symbols[0], found
+
+
+def test_fingerprints_equal_a_plain_parse():
+    from llm_data import edge_texts, words
+    texts = [t for _, t, _ in edge_texts() if t and len(t) < 3000] + [words(n, n) for n in (1, 2, 3, 5, 40, 200)]
+    texts += ["a", "ab", "aba", "aab" * 50, "abcab" * 30, "\x00\x00", "é" * 9]
+    sets = []
+    for text, got in zip(texts, fingerprint.fingerprints(texts), strict=True):
+        root, found = plain_phrases(text)
+        sets.append(found)
+        assert got == f"{root:016x}:" + "".join(f"{v:08x}" for v in sorted(found)[:fingerprint.SKETCH]), text[:50]
+    marks = fingerprint.fingerprints(texts)
+    for a, b, x, y in ((a, b, x, y) for a, x in zip(marks, sets) for b, y in zip(marks, sets)):
+        if len(x | y) <= fingerprint.SKETCH:  # the sketches are the sets
+            assert fingerprint.likeness(a, b) == pytest.approx(1.0 if a[:16] == b[:16] else len(x & y) / len(x | y))
+
+
+def test_likeness_is_near_the_true_likeness_of_phrase_sets():
+    from llm_data import words
+    base = words(900, 21)
+    for share in (0.0, 0.2, 0.5, 0.8, 1.0):
+        at = int(len(base) * share)
+        other = base[:at] + words(900, 22)[at:]
+        x, y = plain_phrases(base)[1], plain_phrases(other)[1]
+        got = fingerprint.likeness(*fingerprint.fingerprints([base, other]))
+        assert abs(got - len(x & y) / len(x | y)) < 0.2
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(max_size=300) | st.text("ab", max_size=300), max_size=6))
 def test_fingerprint_of_a_batch_is_that_of_each(texts):

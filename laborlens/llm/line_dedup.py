@@ -1,9 +1,10 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 Documents are taken in batches of ascending id. A batch's distinct line
-hashes are anti-joined with all earlier runs (bucketed and sorted by hash, so
-the runs are merged without another shuffle); hashes not seen before become
-the batch's own run at level 0. When a level holds ``fanout`` runs they are
+hashes are anti-joined with each earlier run, one after the other: all are
+bucketed alike and sorted by hash on disk, so they are merged bucket by bucket
+and neither side is shuffled. Hashes not seen before become the batch's own run
+at level 0. When a level holds ``fanout`` runs they are
 compacted into one run of the next level, so a batch meets few runs however
 many came before. Because batches ascend, a hash in any run belongs to a
 smaller document; within a batch the smallest document keeps its lines.
@@ -94,6 +95,13 @@ class Runs:
         runs = [r for level in self.levels for r in level]
         return reduce(DataFrame.unionByName, runs) if runs else None
 
+    def unseen(self, keys: DataFrame) -> DataFrame:
+        """The rows of ``keys`` (bucketed by ``h``) whose hash is in no run: one anti-join per run, without a shuffle."""
+        for level in self.levels:
+            for run in level:
+                keys = keys.join(run.select("h").hint("merge"), "h", "left_anti")
+        return keys
+
     def add(self, run: DataFrame, level: int = 0) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
@@ -101,8 +109,8 @@ class Runs:
         if len(self.levels[level]) == self.fanout:
             merged = reduce(DataFrame.unionByName, self.levels[level])
             self.levels[level] = []
-            self.add(keep_bucketed(merged.repartition(self.buckets, "h"), f"lines_level{level + 1}", self.buckets, "h"),
-                     level + 1)
+            self.add(keep_bucketed(merged.repartition(self.buckets, "h"), f"lines_level{level + 1}", self.buckets, "h",
+                                   sort=True), level + 1)
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10,
@@ -122,16 +130,13 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     runs, marks = Runs(spark, n, fanout), []
     for k in range(len(cuts) + 1):
         keys = (table.where(F.col("batch") == k).groupBy("h")
-                .agg(F.min("d").alias("first"), F.count(F.lit(1)).alias("n")).repartition(n, "h"))
-        earlier = runs.all()
-        if earlier is None:
-            marked = keys.withColumn("seen", F.lit(False))
-        else:
-            marked = keys.join(earlier.select("h", F.lit(True).alias("was")), "h", "left").select(
-                "h", "first", "n", F.coalesce("was", F.lit(False)).alias("seen"))
-        marked = keep_bucketed(marked, "lines_batch", n, "h")
-        runs.add(marked.where(~F.col("seen")).select("h"))
-        marks.append(marked.withColumn("batch", F.lit(k)))
+                .agg(F.min("d").alias("first"), F.count(F.lit(1)).alias("n")).repartition(n, "h"))  # shuffled once, into the buckets
+        keys = keep_bucketed(keys, "lines_batch", n, "h", sort=True)
+        new = runs.unseen(keys)
+        own = keep_bucketed(new, "lines_run", n, "h", sort=True)
+        runs.add(own.select("h"))
+        known = keys.join(own.select("h"), "h", "left_anti")
+        marks += [df.withColumn("seen", F.lit(seen)).withColumn("batch", F.lit(k)) for df, seen in ((own, False), (known, True))]
     # hashes of one document only (the bulk) take no part in the join back
     all_marks = (reduce(DataFrame.unionByName, marks)
                  .where(F.col("seen") | (F.col("n") > 1)).select("batch", "h", "first", "seen", "n"))

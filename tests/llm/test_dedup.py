@@ -58,6 +58,26 @@ def test_line_dedup_keeps_columns(spark):
     assert Counter(r.source for r in out.collect()) == Counter(r.source for r in df.collect())
 
 
+def test_a_batch_meets_the_runs_without_a_shuffle(spark):
+    """Keys and runs are bucketed alike: the anti-joins read them as they lie."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = line_dedup.Runs(spark, 3, 4)
+        made = lambda a, b: line_dedup.keep_bucketed(
+            spark.range(a, b).selectExpr("cast(cast(id as string) as binary) as h"), "test_run", 3, "h")
+        for k in range(2):
+            runs.add(made(k * 10, k * 10 + 10))
+        new = runs.unseen(made(5, 40))
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert sorted(int(bytes(r.h)) for r in new.collect()) == list(range(20, 40))
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
 def test_runs_are_levelled(spark):
     """After many batches few runs are left, and together they hold every hash once."""
     runs = line_dedup.Runs(spark, 2, 3)

@@ -4,7 +4,8 @@ Five stages, each working on everything that the one before kept; a stage's
 result is written as Parquet and read back as the next one's input:
 
 1. quality       documents that the quality classifier rejects go
-2. line_dedup    lines seen in an earlier document go; ``n_chars`` follows the text
+2. line_dedup    lines seen in an earlier document go, and documents that keep none of
+                 their lines; ``n_chars`` follows the text
 3. near_dedup    one document of each near-duplicate group stays
 4. mixing        documents are taken as often as the mix to target weights takes them
 5. bpe           ids and decoded text of every document taken, as digests
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from laborlens.llm.bpe_table import encode_decode
 from laborlens.llm.common import keep, load
-from laborlens.llm.line_dedup import dedup_lines
+from laborlens.llm.line_dedup import rebuilt_rows
 from laborlens.llm.minhash import drop_near_duplicates
 from laborlens.llm.mixing import mixed_documents
 from laborlens.llm.quality import filter_quality
@@ -33,7 +34,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    rows = rebuilt_rows(docs).where((F.col("kept") != "") | (F.col("n_dropped") == 0))
+    text = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return rows.select(*[text.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

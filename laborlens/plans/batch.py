@@ -39,18 +39,20 @@ def run(spark: SparkSession, raw_root: str, out_root: str, as_of: str, run_ts: s
         history_root: str | None = None, dic: silver.Dictionaries | None = None,
         job_sources: Sequence[str] = ("board_a", "board_b"), news_source: str = "news",
         register_source: str = "register", recent_days: int = 0, window_days: int = 30,
-        multiline: bool | None = None) -> dict[str, DataFrame]:
+        multiline: bool | None = None, since: str | None = None, until: str | None = None) -> dict[str, DataFrame]:
+    """See the module. ``since`` and ``until`` (ISO dates) restrict jobs and news to what
+    landed on these days; the register is always read whole."""
     dic = dic or silver.Dictionaries()
     as_of_ts = F.to_timestamp(F.lit(as_of))
     today = as_of[:10]
 
     # bronze (every landed run; a missing source is an empty relation)
-    job_parts = [bronze.load_source(spark, raw_root, s, schemas.JOB, multiline) for s in job_sources]
+    job_parts = [bronze.load_source(spark, raw_root, s, schemas.JOB, multiline, since, until) for s in job_sources]
     jobs_bronze = job_parts[0]
     for p in job_parts[1:]:
         jobs_bronze = jobs_bronze.unionByName(p, allowMissingColumns=True)
     job_cols = [f.name for f in schemas.JOB.fields]
-    news_bronze = bronze.load_source(spark, raw_root, news_source, schemas.NEWS, multiline)
+    news_bronze = bronze.load_source(spark, raw_root, news_source, schemas.NEWS, multiline, since, until)
     reg_bronze = bronze.load_source(spark, raw_root, register_source, schemas.REGISTER, multiline)
 
     def materialise(df: DataFrame, name: str) -> DataFrame:

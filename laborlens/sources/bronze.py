@@ -9,6 +9,9 @@ from ``_metadata.file_path``.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +21,15 @@ from laborlens import schemas
 LAYOUT_KEYS = ["source", "year", "month", "day", "hour", "city", "run"]
 
 
+def day_folders(spark: SparkSession, path: str, since: str, until: str) -> list[str]:
+    """The landed folders below ``path`` of the days from ``since`` to ``until`` (ISO dates, both
+    included) that exist: one look at the file system per day, no listing of other days."""
+    first, last = dt.date.fromisoformat(since), dt.date.fromisoformat(until)
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    names = [f"{path}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
+    return [n for n in names if path_exists(spark, n)]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -28,15 +40,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 CORRUPT = "_corrupt_record"
 
 
-def _read_json(spark: SparkSession, path: str, record: T.StructType, whole_file: bool) -> DataFrame:
+def _read_json(spark: SparkSession, path: str | Sequence[str], record: T.StructType, whole_file: bool) -> DataFrame:
     schema = schemas.any_envelope(record).add(T.StructField(CORRUPT, T.StringType()))
     return (spark.read.schema(schema).option("recursiveFileLookup", "true").option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", str(whole_file).lower()).json(path)
+            .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", str(whole_file).lower()).json(path if isinstance(path, str) else list(path))
             .withColumn("_file", F.col("_metadata.file_path")))
 
 
-def read_envelopes(spark: SparkSession, path: str, record: T.StructType, multiline: bool | None = None) -> DataFrame:
-    """A1: every envelope under ``path`` (all runs ever landed), plus layout keys
+def read_envelopes(spark: SparkSession, path: str | Sequence[str], record: T.StructType,
+                   multiline: bool | None = None) -> DataFrame:
+    """A1: every envelope under ``path`` (all runs ever landed; or several folders), plus layout keys
     and ``_corrupt_record`` (the text of an envelope that can't be read, else null).
 
     ``multiline``: true if each file is one (pretty-printed) envelope, false if
@@ -69,11 +82,19 @@ def unnest_records(envelopes: DataFrame, record: T.StructType) -> DataFrame:
 
 
 def load_source(spark: SparkSession, root: str, source: str, record: T.StructType,
-                multiline: bool | None = None) -> DataFrame:
+                multiline: bool | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
     """A1-A3: one source's records; a source that never landed is an empty
-    relation with the declared schema (not a column-less frame)."""
-    path = f"{root.rstrip('/')}/source={source}"
-    if not path_exists(spark, path):
+    relation with the declared schema (not a column-less frame). With ``since``
+    and ``until`` (ISO dates, both or none) only the folders of these days are
+    listed and opened, whatever else has landed."""
+    if (since is None) != (until is None):
+        raise ValueError("give both since and until, or none")
+    path: str | list[str] = f"{root.rstrip('/')}/source={source}"
+    there = path_exists(spark, path)
+    if there and since is not None:
+        path = day_folders(spark, path, since, until)
+        there = bool(path)
+    if not there:
         empty = spark.createDataFrame([], record)
         for k in LAYOUT_KEYS:
             empty = empty.withColumn(f"landed_{k}", F.lit(None).cast("string"))

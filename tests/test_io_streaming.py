@@ -1,5 +1,6 @@
 """Landing/reading round trips and streaming jobs on small literal data."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from laborlens import schemas
@@ -94,6 +95,22 @@ def test_land_and_read_envelopes(spark, tmp_path):
     assert counts == {"news": 5}
 
 
+def test_a_date_range_opens_only_its_folders(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    for day in (29, 30, 31):
+        land_envelopes(news_df(spark).limit(day - 28), root, {"source": F.lit("news"), "city": F.col("city")}, "url", "records",
+                       "record_count", f"run{day}", f"2024-01-{day}T06:00:00Z")
+    load = lambda **kw: bronze.load_source(spark, root, "news", schemas.NEWS, **kw)
+    one = load(since="2024-01-30", until="2024-01-30")
+    assert one.count() == 2 and {r.landed_day for r in one.collect()} == {"30"}
+    assert all("/day=30/" in f for f in one.inputFiles()) and len(load().inputFiles()) > len(one.inputFiles())
+    assert load(since="2024-01-30", until="2024-02-02").count() == 5 and load().count() == 6
+    none = load(since="2023-01-01", until="2023-01-03")
+    assert none.count() == 0 and none.columns == one.columns
+    with pytest.raises(ValueError):
+        load(since="2024-01-30")
+
+
 def test_stream_dedupe_and_history(spark, tmp_path):
     root = str(tmp_path / "landed")
     land_envelopes(news_df(spark), root, {"source": F.lit("news"), "city": F.col("city")}, "url", "records",

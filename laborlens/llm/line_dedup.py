@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laborlens.llm.common import ASCII_SPACE, keep_bucketed, partitions, prepare, shared
+from laborlens.llm.common import ASCII_SPACE, keep, keep_bucketed, partitions, prepare, shared
 
 SPACE = ASCII_SPACE.encode()
 ROWS_PER_STEP = 512
@@ -135,11 +135,11 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         new = runs.unseen(keys)
         own = keep_bucketed(new, "lines_run", n, "h", sort=True)
         runs.add(own.select("h"))
-        known = keys.join(own.select("h"), "h", "left_anti")
-        marks += [df.withColumn("seen", F.lit(seen)).withColumn("batch", F.lit(k)) for df, seen in ((own, False), (known, True))]
-    # hashes of one document only (the bulk) take no part in the join back
-    all_marks = (reduce(DataFrame.unionByName, marks)
-                 .where(F.col("seen") | (F.col("n") > 1)).select("batch", "h", "first", "seen", "n"))
+        known = keys.join(own.select("h").hint("merge"), "h", "left_anti")
+        # hashes of one document only (the bulk) take no part in the join back
+        marks.append(keep(own.where("n > 1").withColumn("seen", F.lit(False)).unionByName(known.withColumn("seen", F.lit(True)))
+                          .withColumn("batch", F.lit(k)), "line-marks"))
+    all_marks = reduce(DataFrame.unionByName, marks).select("batch", "h", "first", "seen", "n")
     total = table.count()
     lost = F.col("seen") | (F.col("first").isNotNull() & (F.col("d").isNull() | (F.col("d") > F.col("first"))))
     hot = all_marks.where(F.col("n") > F.lit(total * HOT_SHARE))

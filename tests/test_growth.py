@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from laborlens.catalog import core
 from laborlens.functions.dates import parse_published
 from laborlens.functions.scoring import signal_score, tenths_of_count
 from laborlens.operators.dedupe import keep_first
@@ -62,3 +63,10 @@ def test_score_of_a_read_count(spark):
     df = spark.createDataFrame([(t, c) for t in ("layoff", "hiring", "neutral", None) for c in counts], "t string, c long")
     got = df.select((tenths_of_count("t", "c") / 10.0).alias("new"), signal_score("t", "c").alias("old")).collect()
     assert all(r.new == r.old for r in got)
+
+
+def test_tables_with_one_consumer_are_not_written(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(core, "materialise", lambda df, name: written.append(name) or df)
+    core.gold_company(spark, "/root/testdata/sf0.001", with_titles=False)
+    assert written == ["silver-register"]

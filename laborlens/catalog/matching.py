@@ -9,15 +9,20 @@ from laborlens.catalog.registry import register
 from laborlens.functions import dictionaries as D
 from laborlens.operators.dictionary import Dictionary
 from laborlens.operators.similarity_join import best_matches
+from laborlens.session import materialise
 from laborlens.sources import tables
 
 BLANKS = r"[ \t\n]+"
 WORD = 24  # characters of a word that a name keeps
+START = 256  # characters of a text that are searched for its first words before the whole text is
 
 
 def _words(spark, sf_dir):
     """(doc_id, source, w): the first two words of every document that has them."""
-    d = tables.read(spark, sf_dir, "documents").select("doc_id", "source", F.split(F.trim("text"), BLANKS, 3).alias("_w"))
+    # the start of a text will do where it holds two words and the blank behind them
+    start = F.substring("text", 1, START)
+    text = F.when(start.rlike(r"^ *[^ \t\n]+[ \t\n]+[^ \t\n]+[ \t\n]"), start).otherwise(F.col("text"))
+    d = tables.read(spark, sf_dir, "documents").select("doc_id", "source", F.split(F.trim(text), BLANKS, 3).alias("_w"))
     return d.select("doc_id", "source", *[F.substring(F.get("_w", i), 1, WORD).alias(f"w{i + 1}") for i in (0, 1)]).where(
         "length(w1) > 1 and length(w2) > 1")
 
@@ -46,7 +51,7 @@ WHERE _r = 1""", ops="J7 X1")
 def q_similarity_join(spark, sf_dir):
     """Landed spellings (words swapped, a letter lost, a suffix) against
     the table of all names, through the indexed similarity join."""
-    words = _words(spark, sf_dir)
+    words = materialise(_words(spark, sf_dir).select("doc_id", "w1", "w2"), "similarity-words")  # the texts are read once
     canon = words.groupBy(F.concat_ws(" ", "w1", "w2").alias("name")).agg(F.min("doc_id").alias("priority"))
     suffix = F.when(F.col("doc_id") % 3 == 0, F.lit(" Ltd")).otherwise("")
     names = words.select(F.concat(F.expr("substring(w2, 2)"), F.lit(" "), "w1", suffix).alias("name"))

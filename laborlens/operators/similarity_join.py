@@ -12,7 +12,12 @@ come from an inverted index with a prefix filter:
   of these (``m`` up to 3, less for long names: a combination is far rarer than
   a character);
 * names with a combination in common are candidates, unless their lengths or
-  128-bit signatures of their sets show that the overlap is too small.
+  128-bit signatures of their sets show that the overlap is too small;
+* two names that share ``k`` elements share many combinations of them. The rarest
+  ``m`` are one that both are filed under, so a pair leaves the join under that one:
+  elsewhere both signatures show an earlier element. Only the ``EXACT`` most frequent
+  elements have a bit of their own and can show it, so a pair may come more than once
+  (which changes no minimum), and never not at all.
 
 Only candidates are scored (bit-parallel LCS over whole Arrow batches). Nothing
 with a score of ``cutoff`` or more is missed, so the best match is that of
@@ -34,7 +39,6 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -53,7 +57,11 @@ BLOCK = 2_000
 COMBINE = ((3, 24), (2, 120), (1, math.inf))
 #: (character, occurrence) pairs whose frequency is counted to order the rest; any order is right
 ORDERED = 4_096
+#: the most frequent of them, with a bit of their own among the 128 of a signature
+EXACT = 96
+LISTED = 1 << 60  # above every number of an unlisted element
 PAIRS_PER_STEP = 8_192
+ROWS_PER_STEP = 1 << 17
 
 
 def least_overlap(length: int, cutoff: float) -> int:
@@ -74,28 +82,67 @@ def sizes_met(length: int, cutoff: float) -> set[int]:
     return {min(own, combination_size(n, cutoff)) for n in range(max(1, lo), hi + 1)}
 
 
-def elements(name: str) -> list[int]:
-    """The (character, occurrence) pairs of a name, as numbers."""
-    seen: Counter = Counter()
-    out = []
-    for c in name:
-        out.append(ord(c) << 24 | seen[c])
-        seen[c] += 1
-    return out
-
-
-def combinations(name: str, cutoff: float, rank: dict[int, int]) -> list[int]:
-    """Hashes of the combinations under which the index files a name."""
-    n = len(name)
-    if not n:
-        return []
-    ordered = sorted(elements(name), key=lambda e: (rank.get(e, -1), e))
+def element_keys(names: list[str], listed: np.ndarray) -> np.ndarray:
+    """The (character, occurrence) pairs of names of one length as numbers, one row a name,
+    rarest first. ``listed`` holds the ranked pairs, the most frequent last: their number is
+    LISTED and their place; the others come before them in any fixed order."""
+    size = len(names[0])
+    codes = np.sort(np.array(names, dtype=f"<U{size}").view(np.uint32).reshape(len(names), size), axis=1).astype(np.int64)
+    place = np.arange(size)
+    starts = np.ones(codes.shape, bool)
+    starts[:, 1:] = codes[:, 1:] != codes[:, :-1]
+    keys = codes << 24 | (place - np.maximum.accumulate(np.where(starts, place, 0), axis=1))
+    if len(listed):
+        by_code = np.argsort(listed)
+        at = by_code[np.minimum(np.searchsorted(listed, keys, sorter=by_code), len(listed) - 1)]
+        keys = np.where(listed[at] == keys, LISTED + at, keys)
+    return np.sort(keys, axis=1)
+
+
+def element_bits(keys: np.ndarray, listed: int) -> np.ndarray:
+    """The bit of each element in a signature: one of its own for the EXACT most frequent
+    elements (the most frequent is bit 0), a shared one for the rest."""
+    nth = LISTED + listed - 1 - keys
+    shared = EXACT + (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(128 - EXACT)
+    return np.where((keys >= LISTED) & (nth < EXACT), nth, shared.astype(np.int64))
+
+
+def halves(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of rows of bits, as two signed longs (high, low)."""
+    one = np.uint64(1) << (bits % 64).astype(np.uint64)
+    return tuple(np.bitwise_or.reduce(np.where(bits // 64 == half, one, np.uint64(0)), axis=-1).view(np.int64) for half in (1, 0))
+
+
+def earlier_bits(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For combinations (last axis: the bits of their elements, rarest first) the own bits of the
+    elements that come before their last one and are not in them, as two signed longs."""
+    nth = np.arange(EXACT)
+    # the elements with own bits that are rarer than the one with bit b
+    rarer = np.zeros((129, EXACT), np.int64)
+    for b in range(EXACT):
+        rarer[b] = np.where(nth > b, nth, 128)
+    high, low = halves(np.where(rarer[:128] == 128, 128, rarer[:128]))
+    return tuple(m[bits[..., -1]] & ~h for m, h in zip((np.where(np.arange(128) < EXACT, x, 0) for x in (high, low)), halves(bits), strict=True))
+
+
+def combinations(keys: np.ndarray, cutoff: float) -> Iterator[np.ndarray]:
+    """The places of the elements in each combination under which names of this length are filed."""
+    n = keys.shape[1]
     spare = n - least_overlap(n, cutoff)
-    out = set()
-    for m in sizes_met(n, cutoff):
+    for m in sorted(sizes_met(n, cutoff)):
         # two lengths that meet under m agree on it, so its prefix is long enough on both sides
-        out.update(hash((m, *c)) for c in itertools.combinations(ordered[:spare + m], m))
-    return list(out)
+        yield np.array(list(itertools.combinations(range(spare + m), m)), np.int64)
+
+
+def hashed(elements: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each combination (last axis)."""
+    h = np.full(elements.shape[:-1], elements.shape[-1], np.uint64)
+    for i in range(elements.shape[-1]):
+        h = (h ^ elements[..., i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
+    return h.view(np.int64)
 
 
 def lcs_of_pairs(left: Sequence[str], right: Sequence[str]) -> np.ndarray:
@@ -104,11 +151,15 @@ def lcs_of_pairs(left: Sequence[str], right: Sequence[str]) -> np.ndarray:
     la, lb = (np.array([len(x) for x in side], np.int64) for side in (left, right))
     codes = [x.view(np.uint32).reshape(len(x), -1) for x in (a, b)]
     words = -(-codes[1].shape[1] // 64)
-    place = np.arange(words * 64)
-    target = np.zeros((len(b), words * 64), np.uint32)
-    target[:, :codes[1].shape[1]] = codes[1]
-    inside = place < lb[:, None]
-    pack = lambda bits: np.packbits(bits, axis=1, bitorder="little").view("<u8")
+    target = codes[1]
+    inside = np.arange(target.shape[1]) < lb[:, None]
+
+    def pack(bits: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(bits), words * 8), np.uint8)
+        some = np.packbits(bits, axis=1, bitorder="little")
+        out[:, :some.shape[1]] = some
+        return out.view("<u8")
+
     full = pack(inside)
     v = full.copy()
     for i in range(int(la.max(initial=0))):
@@ -132,24 +183,28 @@ def _ship_by_value() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def signature(name: str) -> tuple[int, int]:
-    """The set of (character, occurrence) pairs hashed to 128 bits, as two signed longs."""
-    bits = 0
-    for e in elements(name):
-        bits |= 1 << (e * 0x9E3779B97F4A7C15 >> 40) % 128
-    halves = (bits >> 64, bits & (1 << 64) - 1)
-    return tuple(h - (1 << 64) if h >> 63 else h for h in halves)
-
-
-def _filer(cutoff: float, rank: dict[int, int]):
+def _filer(cutoff: float, listed: np.ndarray, earlier: bool):
+    """Index rows of (id, sorted): one per combination; with ``earlier`` also its ``earlier_bits``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            filed = [combinations(s, cutoff, rank) for s in rows["sorted"]]
-            times = [len(f) for f in filed]
-            signed = [signature(x) for x in rows["sorted"]]
-            yield pd.DataFrame({"id": rows["id"], "size": rows["sorted"].str.len(), "high": [h for h, _ in signed],
-                                "low": [w for _, w in signed]}).loc[rows.index.repeat(times)].assign(
-                combination=np.fromiter(itertools.chain.from_iterable(filed), np.int64, sum(times)))
+            for size, alike in rows.groupby(rows["sorted"].str.len()):
+                if not size:
+                    continue
+                at, step = 0, 0
+                while at < len(alike):
+                    some = alike.iloc[at:at + max(1, step)]
+                    keys = element_keys(some["sorted"].tolist(), listed)
+                    filed = list(combinations(keys, cutoff))
+                    at, step = at + len(some), ROWS_PER_STEP // sum(map(len, filed))
+                    bits = element_bits(keys, len(listed))
+                    high, low = halves(bits)
+                    for places in filed:
+                        times = len(places)
+                        out = {"id": np.repeat(some["id"].to_numpy(), times), "size": np.full(len(some) * times, size, np.int32),
+                               "high": np.repeat(high, times), "low": np.repeat(low, times)}
+                        if earlier:
+                            out["earlier_high"], out["earlier_low"] = (x.ravel() for x in earlier_bits(bits[:, places]))
+                        yield pd.DataFrame(out | {"combination": hashed(keys[:, places]).ravel()})
     return run
 
 
@@ -178,16 +233,18 @@ def element_ranks(names: DataFrame) -> dict[int, int]:
 
 
 def candidates(names: DataFrame, canon: DataFrame, cutoff: float, rank: dict[int, int]) -> DataFrame:
-    """(id, canon_id): the distinct pairs of (id, sorted) rows that share a combination and
-    whose lengths and signatures can score ``cutoff``."""
+    """(id, canon_id): the pairs of (id, sorted) rows that share a combination and whose lengths
+    and signatures can score ``cutoff``; a pair comes again only if it shares rarer elements
+    than the EXACT ones."""
     _ship_by_value()
-    file, shape = _filer(cutoff, rank), "id long, size int, high long, low long, combination long"
+    listed = np.array(sorted(rank, key=rank.get), np.int64)
+    shape = "id long, size int, high long, low long, combination long"
     # a name far longer than every canonical one has many combinations and no partner
     longest = canon.agg(F.coalesce(F.max(F.length("sorted")), F.lit(0))).first()[0] * (200 / cutoff - 1)
-    left = names.where(F.length("sorted") <= longest).select("id", "sorted").mapInPandas(file, shape)
-    right = canon.select("id", "sorted").mapInPandas(file, shape)
-    right = materialise(right.select(F.col("id").alias("canon_id"), *[F.col(c).alias(f"canon_{c}") for c in ("size", "high", "low")],
-                                     "combination"), "similarity-index")
+    left = names.where(F.length("sorted") <= longest).select("id", "sorted").mapInPandas(
+        _filer(cutoff, listed, True), shape.replace("combination", "earlier_high long, earlier_low long, combination"))
+    right = canon.select("id", "sorted").mapInPandas(_filer(cutoff, listed, False), shape)
+    right = right.select(F.col("id").alias("canon_id"), *[F.col(c).alias(f"canon_{c}") for c in ("size", "high", "low")], "combination")
     # the few combinations of very many canonical names: their number of blocks
     common = right.groupBy("combination").count().where(F.col("count") > BLOCK).select(
         "combination", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
@@ -200,8 +257,10 @@ def candidates(names: DataFrame, canon: DataFrame, cutoff: float, rank: dict[int
         """At most so many characters of ``a`` are in ``b``: a bit that only ``a`` has stands for one or more that are not."""
         return F.col(f"{a}size") - sum((F.bit_count(F.col(a + h).bitwiseAND(F.bitwise_not(F.col(b + h)))) for h in ("high", "low")), F.lit(0))
 
+    # both have a rarer element that is not in this combination: they meet under another one too
+    first = sum((F.bit_count(F.col(h).bitwiseAND(F.col(f"canon_{h}")).bitwiseAND(F.col(f"earlier_{h}"))) for h in ("high", "low")), F.lit(0)) == 0
     reach = 200 * F.least(kept("", "canon_"), kept("canon_", "")) >= cutoff * (F.col("size") + F.col("canon_size"))
-    return left.join(right, ["combination", "block"]).where(reach).select("id", "canon_id").distinct()
+    return left.join(right, ["combination", "block"]).where(first & reach).select("id", "canon_id")
 
 
 class BestMatch:

@@ -55,16 +55,13 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
 
 def keep_bucketed(df: DataFrame, name: str, buckets: int, col: str, sort: bool = False) -> DataFrame:
-    """Write ``df`` to the shared warehouse bucketed (and ``sort``: sorted) by ``col``; later
-    joins and cogroups on ``col`` read it without another shuffle. On a cluster the
-    warehouse must be a folder that all machines share: the default one is refused."""
+    """Write ``df`` to the shared folder as a table bucketed (and ``sort``: sorted) by ``col``; later
+    joins and cogroups on ``col`` read it without another shuffle. The session's warehouse is
+    not written, so it need be neither shared nor writable."""
     spark = df.sparkSession
-    where = spark.conf.get("spark.sql.warehouse.dir")
-    if not spark.sparkContext.master.startswith("local") and where.split(":", 1)[-1].lstrip("/") == os.path.join(
-            os.getcwd(), "spark-warehouse").lstrip("/"):
-        raise ValueError("set spark.sql.warehouse.dir to a folder that all executors share")
     table = f"laborlens_{name}_{uuid.uuid4().hex[:12]}"
-    writer = df.write.option("compression", "zstd").format("parquet").bucketBy(buckets, col)
+    writer = (df.write.option("compression", "zstd").option("path", shared(spark, name)).format("parquet")
+              .bucketBy(buckets, col))
     (writer.sortBy(col) if sort else writer).saveAsTable(table)
     return spark.table(table)
 
